@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from formwork.functions.geometry import decode_geometry
 from formwork.functions.rules import calculate, check_constraint
 from formwork.functions.text import KEEP_CLASS, WHITESPACE_CLASS, clean_string, strip_strings
-from formwork.functions.coerce import flatten_for_text
-from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, sheet_sort, sort_by_label
+from formwork.functions.coerce import TYPE_NAMES, flatten_for_text
+from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, geo_sort, sheet_sort, sort_by_label
 from formwork.operators.forms import (
     explode_choices,
     first_available,
@@ -418,3 +418,290 @@ def q_decode_points(spark, sf_dir):
         F.when(d["polygons"].isNotNull(), F.size(F.element_at(d["polygons"], 1))).alias("n_rings"),
         F.when(compat["polygons"].isNotNull(), F.size(compat["polygons"])).alias("compat_polygons"),
     )
+
+
+def _square_text(with_hole: Column | None) -> Column:
+    """Unit square of a customer's grid cell as MultiPolygon text (optional hole)."""
+    k = F.col("c_custkey")
+    x0, y0 = (k % 40).cast("double"), F.expr("c_custkey div 40").cast("double")
+
+    def ring(off: float, size: float) -> Column:
+        pts = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
+        return F.concat(
+            F.lit("["),
+            F.concat_ws(", ", *[F.concat(F.lit("["), (x0 + off + size * dx).cast("string"), F.lit(", "), (y0 + off + size * dy).cast("string"), F.lit("]")) for dx, dy in pts]),
+            F.lit("]"),
+        )
+
+    rings = ring(0.0, 1.0) if with_hole is None else F.when(with_hole, F.concat(ring(0.0, 1.0), F.lit(", "), ring(0.25, 0.5))).otherwise(ring(0.0, 1.0))
+    return F.concat(F.lit('{"type": "MultiPolygon", "coordinates": [['), rings, F.lit("]]}"))
+
+
+@register(
+    "polygon_rings",
+    """WITH m AS (SELECT c_custkey AS id, c_custkey % 40 AS x, c_custkey // 40 AS y, c_acctbal FROM customer
+                 WHERE c_mktsegment = 'MACHINERY' AND c_acctbal >= 0),
+            pts AS (SELECT * FROM (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1), (4, 0, 0)) v(i, dx, dy))
+       SELECT id, 0 AS polygon, 0 AS ring, i AS vertex, CAST(x + dx AS DOUBLE) AS x, CAST(y + dy AS DOUBLE) AS y FROM m, pts
+       UNION ALL
+       SELECT id, 0, 1, i, x + 0.25 + 0.5 * dx, y + 0.25 + 0.5 * dy FROM m, pts WHERE c_acctbal > 5000""",
+)
+def q_polygon_rings(spark, sf_dir):
+    """F6 + F7: multipolygons (squares, some with a hole) to vertex rows."""
+    g = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), decode_geometry(_geometry_text()).alias("geometry"))
+    return polygon_rings(g, "id", "geometry")
+
+
+@register(
+    "geojson_features",
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS id, 'Feature' AS type, {_KIND_SQL} AS geometry_type, c_name AS name,
+               CAST({_ORG_BASE_SQL} AS VARCHAR) AS opened
+        FROM customer""",
+)
+def q_geojson_features(spark, sf_dir):
+    """O4 + F8 (the K8 line format): features read back field by field."""
+    base = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("c_custkey") % 1000).cast("int"))
+    units = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), base.alias("opened"),
+        decode_geometry(_geometry_text()).alias("geometry"),
+    )
+    feats = geojson_feature(geo_sort(units), "geometry")
+    j = F.col("feature")
+    return feats.select(
+        F.get_json_object(j, "$.properties.id").alias("id"), F.get_json_object(j, "$.type").alias("type"),
+        F.get_json_object(j, "$.geometry.type").alias("geometry_type"), F.get_json_object(j, "$.properties.name").alias("name"),
+        F.get_json_object(j, "$.properties.opened").alias("opened"),
+    )
+
+
+@register(
+    "shared_arcs",
+    """WITH cells AS (SELECT c_custkey AS id, CAST(c_custkey % 40 AS DOUBLE) AS x, CAST(c_custkey // 40 AS DOUBLE) AS y FROM customer),
+            segs AS (SELECT id, x AS x1, y AS y1, x + 1 AS x2, y AS y2 FROM cells
+                     UNION ALL SELECT id, x + 1, y, x + 1, y + 1 FROM cells
+                     UNION ALL SELECT id, x, y + 1, x + 1, y + 1 FROM cells
+                     UNION ALL SELECT id, x, y, x, y + 1 FROM cells)
+       SELECT x1, y1, x2, y2, count(DISTINCT id) AS n_units, min(id) AS unit_min, max(id) AS unit_max
+       FROM segs GROUP BY x1, y1, x2, y2""",
+)
+def q_shared_arcs(spark, sf_dir):
+    """K9: every customer is a unit square on a 40-wide grid; borders stored once."""
+    g = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), decode_geometry(_square_text(None)).alias("geometry"))
+    return shared_arcs(g, "id", "geometry")
+
+
+# ---------------------------------------------------------------------------
+# Rules and validation
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "constraint_range",
+    """WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS q FROM lineitem)
+       SELECT l_orderkey, l_linenumber, COALESCE(q <= 40, false) AS qty_le_40, COALESCE(q >= 5, false) AS qty_ge_5,
+              false AS qty_bad_rule, q IS NOT NULL AS qty_other, COALESCE(q <= 40, false) AS qty_text_le_40
+       FROM l""",
+)
+def q_constraint_range(spark, sf_dir):
+    """F4 numeric rules on a number column and on its text; a bad threshold is false."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_quantity")).alias("q")
+    )
+    li = li.withColumn("q_text", F.col("q").cast("string"))
+    t = {f.name: f.dataType for f in li.schema.fields}
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        check_constraint("q", ".<=40", t["q"]).alias("qty_le_40"),
+        check_constraint("q", ".>=5", t["q"]).alias("qty_ge_5"),
+        check_constraint("q", ".<=abc", t["q"]).alias("qty_bad_rule"),
+        check_constraint("q", "required-if(other)", t["q"]).alias("qty_other"),
+        check_constraint("q_text", ".<=40", t["q_text"]).alias("qty_text_le_40"),
+    )
+
+
+@register(
+    "constraint_regex",
+    """WITH o AS (SELECT o_orderkey, NULLIF(o_orderpriority, '5-LOW') AS p FROM orders)
+       SELECT o_orderkey, COALESCE(regexp_matches(p, '^(?:[1-3]-)'), false) AS prio_ok,
+              COALESCE(regexp_matches(p, '^(?:URGENT)'), false) AS urgent_ok,
+              COALESCE(regexp_matches(p, '^(?:\\d-[A-Z]+ [A-Z]+)'), false) AS two_words
+       FROM o""",
+)
+def q_constraint_regex(spark, sf_dir):
+    """F4 regex rules: match anchored at the start only; null is false."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("p"))
+    return o.select(
+        "o_orderkey",
+        check_constraint("p", "regex(., '[1-3]-')").alias("prio_ok"),
+        check_constraint("p", "regex(., 'URGENT')").alias("urgent_ok"),
+        check_constraint("p", "regex(., '\\d-[A-Z]+ [A-Z]+')").alias("two_words"),
+    )
+
+
+@register(
+    "calculate",
+    """WITH l AS (SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, l_tax, l_quantity,
+                         CASE WHEN l_linestatus = 'O' AND l_quantity < 3 THEN 0 ELSE l_quantity END AS qz,
+                         CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS qn FROM lineitem)
+       SELECT l_orderkey, l_linenumber,
+              CAST(round(CASE WHEN qz = 0 THEN NULL ELSE l_extendedprice / qz END) AS BIGINT) AS unit_price,
+              CAST(round(abs(l_discount * 100 - l_tax * 100)) AS BIGINT) AS spread,
+              CAST(round(COALESCE(qn, 0) + 1) AS BIGINT) AS qty_plus_one,
+              CAST(0 AS BIGINT) AS unsupported
+       FROM l""",
+)
+def q_calculate(spark, sf_dir):
+    """formulas translated to native expressions; per-row division by zero is null,
+    an unsupported formula gives 0."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_quantity",
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") < 3), F.lit(0.0)).otherwise(F.col("l_quantity")).alias("qz"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_quantity")).alias("qn"),
+    )
+    cols = set(li.columns)
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        calculate("round(${l_extendedprice} div ${qz}, 0)", cols)[0].alias("unit_price"),
+        calculate("abs(${l_discount} * 100 - ${l_tax} * 100)", cols)[0].alias("spread"),
+        calculate("coalesce(${qn}, 0) + 1", cols)[0].alias("qty_plus_one"),
+        calculate("${l_quantity} ^ 2", cols)[0].alias("unsupported"),
+    )
+
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+
+
+@register(
+    "choice_membership",
+    """SELECT o_orderkey,
+              COALESCE(NULLIF(o_orderpriority, '5-LOW') IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), false) AS priority_valid,
+              false AS status_valid
+       FROM orders""",
+)
+def q_choice_membership(spark, sf_dir):
+    """Membership in the list named like the question; empty list -> false."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("p"), "o_orderstatus")
+    return o.select(
+        "o_orderkey",
+        choice_membership(F.col("p"), PRIORITIES[:3]).alias("priority_valid"),
+        choice_membership(F.col("o_orderstatus"), []).alias("status_valid"),
+    )
+
+
+# Fixed rule tables of the order "form".
+ORDER_QUESTIONS = [
+    ("grp", "begin group", None, None, None),
+    ("o_orderpriority", "select_one priority", "yes", None, "regex(., '[1-4]-')"),
+    ("o_orderstatus", "select_one status", None, None, None),
+    ("o_totalprice", "decimal", None, None, ".>=5000"),
+    ("total_k", "calculate", None, "round(${o_totalprice} div 1000, 0)", ".<=450"),
+]
+ORDER_CHOICES = [("o_orderpriority", p) for p in PRIORITIES] + [("o_orderstatus", s) for s in ("F", "O", "P")]
+QUESTION_SCHEMA = "name string, type string, required string, calculation string, constraint string"
+
+
+def order_rules(spark: SparkSession, questions=None, choices=None) -> Rules:
+    qs = spark.createDataFrame(questions or ORDER_QUESTIONS, QUESTION_SCHEMA)
+    cs = spark.createDataFrame(choices or ORDER_CHOICES, "list_name string, label string")
+    return select_rules(qs, cs)
+
+
+_PRIO_IN = "(" + ", ".join(f"'{p}'" for p in PRIORITIES) + ")"
+_ORDER_VALID_SQL = f"""COALESCE(regexp_matches(o_orderpriority, '^(?:[1-4]-)'), false) AND COALESCE(o_totalprice >= 5000, false)
+                 AND COALESCE(CAST(round(o_totalprice / 1000) AS BIGINT) <= 450, false)"""
+_ORDER_CHOICES_SQL = f"COALESCE(o_orderpriority IN {_PRIO_IN}, false) AND COALESCE(o_orderstatus IN ('F', 'O', 'P'), false)"
+
+
+@register(
+    "validate_rows",
+    f"""WITH o AS (SELECT NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority, o_orderkey, o_orderstatus, o_totalprice FROM orders),
+            f AS (SELECT o_orderkey, CAST(round(o_totalprice / 1000) AS BIGINT) AS total_k,
+                         {_ORDER_VALID_SQL} AS constraints_validation_summary,
+                         COALESCE(o_orderpriority IN {_PRIO_IN}, false) AS o_orderpriority_choices_valid,
+                         COALESCE(o_orderstatus IN ('F', 'O', 'P'), false) AS o_orderstatus_choices_valid FROM o)
+       SELECT *, o_orderpriority_choices_valid AND o_orderstatus_choices_valid AS choices_validation_summary
+       FROM f WHERE constraints_validation_summary AND o_orderpriority_choices_valid AND o_orderstatus_choices_valid""",
+)
+def q_validate_rows(spark, sf_dir):
+    """V2 + A4 + V4 + P12: calculated column, constraint and choice summaries, strict
+    filter."""
+    o = table(spark, sf_dir, "orders").select(
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority"), "o_orderkey", "o_orderstatus", "o_totalprice"
+    )
+    checked = valid_rows(validate_rows(o, order_rules(spark)), strict=True)
+    return checked.select(
+        "o_orderkey", "total_k", "constraints_validation_summary", "o_orderpriority_choices_valid",
+        "o_orderstatus_choices_valid", "choices_validation_summary",
+    )
+
+
+def version_rules(spark: SparkSession) -> dict[str, Rules]:
+    f_rules = order_rules(spark, [("o_orderpriority", "text", None, None, "regex(., '[1-2]-')"),
+                                  ("double_k", "calculate", None, "round(${o_totalprice} div 500, 0)", None)], [])
+    o_rules = order_rules(spark, [("o_totalprice", "decimal", None, None, ".>=100000"),
+                                  ("o_orderpriority", "select_one priority", None, None, None)],
+                          [("o_orderpriority", p) for p in PRIORITIES[:3]])
+    return {"F": f_rules, "O": o_rules}
+
+
+@register(
+    "validate_by_version",
+    f"""SELECT o_orderkey, o_orderstatus AS form_version,
+               CASE WHEN o_orderstatus = 'F' THEN CAST(round(o_totalprice / 500) AS BIGINT) END AS double_k,
+               CASE o_orderstatus WHEN 'F' THEN COALESCE(regexp_matches(o_orderpriority, '^(?:[1-2]-)'), false)
+                                  WHEN 'O' THEN COALESCE(o_totalprice >= 100000, false)
+                                                AND COALESCE(o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'), false)
+                                  ELSE false END AS row_valid,
+               o_orderstatus IN ('F', 'O') AS has_template
+        FROM orders""",
+)
+def q_validate_by_version(spark, sf_dir):
+    """V3 + J5: each row checked against its own version's rules; a version without
+    rules has no template."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("form_version"), "o_orderpriority", "o_totalprice")
+    out = validate_rows_by_version(o, version_rules(spark))
+    return out.select("o_orderkey", "form_version", "double_k", "row_valid", "has_template")
+
+
+@register(
+    "structure_findings",
+    """SELECT * FROM (
+         SELECT 'error' AS severity, 'missing_column' AS kind, 'o_clerk' AS "column", NULL AS expected, NULL AS actual,
+                'Strategy CREATE: required column missing: o_clerk' AS message, CAST(NULL AS BIGINT) AS n_values, CAST(NULL AS BIGINT) AS n_uncastable
+         UNION ALL
+         SELECT 'error', 'invalid_type', 'org_unit_id', 'Int64', 'string',
+                'Invalid type for column ''org_unit_id'': expected Int64, got string',
+                (SELECT count(*) FROM orders), (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT')
+         UNION ALL
+         SELECT 'error', 'invalid_type', 'o_totalprice', 'Int64', 'double',
+                'Invalid type for column ''o_totalprice'': expected Int64, got double', (SELECT count(*) FROM orders), 0
+         UNION ALL
+         SELECT 'warning', 'unexpected_column', 'o_comment_x', NULL, NULL, 'Unexpected column found: ''o_comment_x''',
+                (SELECT count(*) FROM orders), NULL)""",
+)
+def q_structure_findings(spark, sf_dir):
+    """V1 + U1 + P9: schema findings of a CREATE import, with per-column value counts
+    and the number of values that would fail the cast to the expected type (F15)."""
+    o = table(spark, sf_dir, "orders")
+    subs = o.select(
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("X"), F.col("o_custkey").cast("string")))
+        .otherwise(F.col("o_custkey").cast("string")).alias("org_unit_id"),
+        F.col("o_orderdate").alias("created_at"), "o_orderpriority", "o_totalprice",
+        F.col("o_orderstatus").alias("o_comment_x"),
+    )
+    questions = [("o_totalprice", "integer", None, None, None), ("o_clerk", "text", "yes", None, None),
+                 ("o_orderpriority", "select_one priority", None, None, None)]
+    rules = order_rules(spark, questions, ORDER_CHOICES)
+    _, findings, invalid = validate_structure(spark, subs, rules, "CREATE")
+    names = [r["column"] for r in findings.select("column").collect() if r["column"] in subs.columns]
+    stats = []
+    for c in names:
+        n_bad = (
+            F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(TYPE_NAMES[invalid[c][0]]).isNull())
+            if c in invalid else F.lit(None).cast("bigint")
+        )
+        stats.append(F.struct(F.lit(c).alias("column"), F.count(F.col(f"`{c}`")).alias("n_values"), n_bad.alias("n_uncastable")))
+    counts = subs.agg(F.array(*stats).alias("s")).select(F.inline("s"))
+    return findings.join(counts, "column", "left").select(
+        "severity", "kind", "column", "expected", "actual", "message", "n_values", "n_uncastable"
+    )
