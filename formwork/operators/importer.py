@@ -97,7 +97,9 @@ class _Prepared:
         return out if out is not None else F.lit(None).cast("string")
 
     def fields(self, rules: Rules) -> list[str]:
-        return [c for c in question_fields(self.df, rules.names()) if c in self.source_columns]
+        """Question columns in frame order, calculated ones included (they are part of
+        the frame when the document is built)."""
+        return question_fields(self.df, rules.names())
 
     def render(self, form_id, uuid: Column) -> Column:
         return self._per_version(lambda r, v: render_submission(self.df, self.fields(r), form_id, v, r.group(), uuid))

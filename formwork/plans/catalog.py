@@ -705,3 +705,173 @@ def q_structure_findings(spark, sf_dir):
     return findings.join(counts, "column", "left").select(
         "severity", "kind", "column", "expected", "actual", "message", "n_values", "n_uncastable"
     )
+
+
+# ---------------------------------------------------------------------------
+# Import routing and outboxes
+# ---------------------------------------------------------------------------
+
+FORM_ID = 77
+LATEST_VERSION = "3"
+RUN_EPOCH = 1_700_000_000
+EDITOR = 42
+
+
+def _uuid_sql(key: str) -> str:
+    h = f"md5({key})"
+    return " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+
+
+def _fields_sql(fields: list[tuple[str, str]]) -> str:
+    return " || ".join(f"'        <{n}>' || {expr} || '</{n}>' || chr(10)" for n, expr in fields)
+
+
+_ORDER_FIELDS_SQL = _fields_sql(
+    [("o_orderstatus", "o_orderstatus"), ("o_orderpriority", "o_orderpriority"),
+     ("o_totalprice", "CAST(o_totalprice AS VARCHAR)"), ("total_k", "CAST(round(o_totalprice / 1000) AS BIGINT)")]
+)
+_NS_SQL = "xmlns:jr=\"http://openrosa.org/javarosa\" xmlns:orx=\"http://openrosa.org/xforms\""
+
+
+@register(
+    "split_create_update",
+    """SELECT o_orderkey,
+              CASE WHEN o_orderstatus = 'O' AND o_totalprice >= 20000 THEN 'create'
+                   WHEN o_orderstatus <> 'O' THEN 'update' ELSE 'unrouted' END AS route
+       FROM orders""",
+)
+def q_split_create_update(spark, sf_dir):
+    """Create / update / unrouted (D-10)."""
+    subs = _combined_submissions(spark, sf_dir)
+    return subs.select("o_orderkey", route(subs).alias("route"))
+
+
+def _combined_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    return o.select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "O", F.lit(None)).otherwise(key).alias("id"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None)).otherwise(F.concat(F.lit("uuid:"), F.md5(key))).alias("instanceID"),
+        F.when(F.col("o_totalprice") < 20000, F.lit(None)).otherwise(F.col("o_custkey")).alias("org_unit_id"),
+        "o_orderstatus", "o_orderpriority", "o_totalprice",
+    )
+
+
+def _instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Server-side instance table: every order is an instance; some are locked."""
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 7 == 0).alias("is_locked"))
+
+
+@register(
+    "create_outbox",
+    f"""WITH s AS (SELECT o_orderkey, CASE WHEN o_totalprice < 20000 THEN NULL ELSE o_custkey END AS org_unit_id,
+                          o_orderstatus, o_orderpriority, o_totalprice, round(o_totalprice / 10000, 2) AS latitude,
+                          {_uuid_sql("'{\"o_orderkey\":' || o_orderkey || '}'")} AS uuid,
+                          ({_ORDER_VALID_SQL}) AND ({_ORDER_CHOICES_SQL}) AS valid FROM orders),
+            r AS (SELECT *, CASE WHEN NOT valid THEN 'invalid' WHEN org_unit_id IS NULL THEN 'bad_org_unit' END AS reason FROM s)
+       SELECT o_orderkey, CASE WHEN reason IS NULL THEN 'imported' ELSE 'ignored' END AS outcome, reason,
+              CASE WHEN reason IS NULL THEN uuid END AS instance_uuid,
+              CASE WHEN reason IS NULL THEN '<data {_NS_SQL}' || chr(10) || '      id="{FORM_ID}" version="{LATEST_VERSION}">' || chr(10)
+                   || '    <grp>' || chr(10) || {_ORDER_FIELDS_SQL} || '    </grp>' || chr(10) || '    <meta>' || chr(10)
+                   || '        <instanceID>uuid:' || uuid || '</instanceID>' || chr(10) || '    </meta>' || chr(10) || '</data>' END AS document,
+              CASE WHEN reason IS NULL THEN '{{"id":"' || uuid || '","orgUnitId":' || org_unit_id || ',"created_at":{RUN_EPOCH},"formId":{FORM_ID},'
+                   || '"accuracy":0,"altitude":0,"latitude":' || CAST(latitude AS VARCHAR) || ',"longitude":null,'
+                   || '"file":"outbox/creates/' || uuid || '.xml","name":"' || uuid || '.xml"}}' END AS payload
+       FROM r""",
+)
+def q_create_outbox(spark, sf_dir):
+    """K4 (+ V2, V4, F9, F11, F13, F14, P10, P11): outbox of a CREATE import."""
+    o = table(spark, sf_dir, "orders")
+    subs = o.select(
+        "o_orderkey",
+        F.when(F.col("o_totalprice") < 20000, F.lit(None)).otherwise(F.col("o_custkey")).alias("org_unit_id"),
+        "o_orderstatus", "o_orderpriority", "o_totalprice", F.round(F.col("o_totalprice") / 10000, 2).alias("latitude"),
+    )
+    out = create_outbox(subs, order_rules(spark), FORM_ID, latest_version_id=LATEST_VERSION, created_at=RUN_EPOCH,
+                        directory="outbox/creates", key_cols=["o_orderkey"], keep=["o_orderkey"])
+    return out.select("o_orderkey", "outcome", "reason", "instance_uuid", "document", "payload")
+
+
+@register(
+    "update_outbox",
+    f"""WITH s AS (SELECT o_orderkey, CASE WHEN o_totalprice > 450000 THEN 'n' || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS id,
+                          CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE md5(CAST(o_orderkey AS VARCHAR)) END AS uuid,
+                          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_custkey END AS org_unit_id,
+                          o_orderstatus, o_orderpriority, o_totalprice,
+                          ({_ORDER_VALID_SQL}) AND ({_ORDER_CHOICES_SQL}) AS valid FROM orders),
+            r AS (SELECT *, CASE WHEN NOT valid THEN 'invalid' WHEN uuid IS NULL THEN 'missing_instance_id'
+                                 WHEN NOT regexp_matches(id, '^[0-9]+$') THEN 'bad_id' WHEN o_orderkey % 7 = 0 THEN 'locked' END AS reason FROM s)
+       SELECT o_orderkey, CASE WHEN reason IS NULL THEN 'updated' ELSE 'ignored' END AS outcome, reason,
+              CASE WHEN regexp_matches(id, '^[0-9]+$') THEN CAST(id AS BIGINT) END AS instance_id,
+              CASE WHEN reason IS NULL THEN '<?xml version="1.0" encoding="utf-8"?>' || chr(10) || '<data {_NS_SQL} id="{FORM_ID}" version="{LATEST_VERSION}" instance="'
+                   || id || '">' || chr(10) || '    <grp>' || chr(10) || {_ORDER_FIELDS_SQL} || '    </grp>' || chr(10) || '    <meta>' || chr(10)
+                   || '        <instanceID>uuid:' || uuid || '</instanceID>' || chr(10) || '    <editUserID>{EDITOR}</editUserID></meta>' || chr(10) || '</data>' END AS document,
+              CASE WHEN reason IS NULL AND COALESCE(org_unit_id <> 0, false)
+                   THEN '{{"org_unit":"' || org_unit_id || '","formID":{FORM_ID},"accuracy":0,"altitude":0,"latitude":null,"longitude":null}}' END AS payload,
+              reason IS NULL AND COALESCE(org_unit_id <> 0, false) AS patch_org_unit
+       FROM r""",
+)
+def q_update_outbox(spark, sf_dir):
+    """K5 (+ J6 lock lookup, F10 enrichment, F11, F14): outbox of an UPDATE import."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    subs = o.select(
+        "o_orderkey",
+        F.when(F.col("o_totalprice") > 450000, F.concat(F.lit("n"), key)).otherwise(key).alias("id"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None)).otherwise(F.concat(F.lit("uuid:"), F.md5(key))).alias("instanceID"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_custkey")).alias("org_unit_id"),
+        "o_orderstatus", "o_orderpriority", "o_totalprice",
+    )
+    out = update_outbox(subs, order_rules(spark), FORM_ID, instances=_instances(spark, sf_dir), editor=EDITOR,
+                        latest_version_id=LATEST_VERSION, keep=["o_orderkey"])
+    return out.select("o_orderkey", "outcome", "reason", "instance_id", "document", "payload", "patch_org_unit")
+
+
+@register(
+    "delete_outbox",
+    """WITH s AS (SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'x' || o_orderkey
+                                                     WHEN '2-HIGH' THEN ' ' || o_orderkey || ' '
+                                                     WHEN '3-MEDIUM' THEN o_orderkey || '.5'
+                                                     WHEN '5-LOW' THEN NULL
+                                                     ELSE CAST(o_orderkey AS VARCHAR) END AS id FROM orders)
+       SELECT o_orderkey,
+              CASE WHEN id IS NOT NULL AND regexp_matches(id, '^ *[0-9]+ *$') THEN 'deleted' ELSE 'ignored' END AS outcome,
+              CASE WHEN id IS NULL THEN 'missing_id' WHEN NOT regexp_matches(id, '^ *[0-9]+ *$') THEN 'bad_id' END AS reason,
+              CASE WHEN regexp_matches(id, '^ *[0-9]+ *$') THEN CAST(trim(id) AS BIGINT) END AS instance_id
+       FROM s""",
+)
+def q_delete_outbox(spark, sf_dir):
+    """K6 + F13: integer ids like Python ``int`` on text; others ignored."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    p = F.col("o_orderpriority")
+    subs = o.select(
+        "o_orderkey",
+        F.when(p == "1-URGENT", F.concat(F.lit("x"), key)).when(p == "2-HIGH", F.concat(F.lit(" "), key, F.lit(" ")))
+        .when(p == "3-MEDIUM", F.concat(key, F.lit(".5"))).when(p == "5-LOW", F.lit(None)).otherwise(key).alias("id"),
+    )
+    return delete_outbox(subs, keep=["o_orderkey"])
+
+
+@register(
+    "import_summary",
+    f"""WITH s AS (SELECT CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderkey END AS id,
+                          CASE WHEN o_totalprice < 20000 THEN NULL ELSE o_custkey END AS org, o_orderkey, o_orderpriority,
+                          ({_ORDER_VALID_SQL}) AND ({_ORDER_CHOICES_SQL}) AS valid FROM orders),
+            r AS (SELECT *, CASE WHEN id IS NULL AND org IS NOT NULL THEN 'create' WHEN id IS NOT NULL THEN 'update' ELSE 'unrouted' END AS route FROM s),
+            o AS (SELECT CASE WHEN route = 'create' THEN CASE WHEN valid THEN 'imported' ELSE 'ignored' END
+                              WHEN route = 'update' THEN CASE WHEN valid AND o_orderpriority <> '4-NOT SPECIFIED' AND o_orderkey % 7 <> 0
+                                                              THEN 'updated' ELSE 'ignored' END
+                              ELSE 'unrouted' END AS outcome FROM r)
+       SELECT count(*) FILTER (WHERE outcome = 'imported') AS imported, count(*) FILTER (WHERE outcome = 'updated') AS updated,
+              count(*) FILTER (WHERE outcome = 'ignored') AS ignored, count(*) FILTER (WHERE outcome = 'deleted') AS deleted,
+              count(*) FILTER (WHERE outcome = 'unrouted') AS unrouted
+       FROM o""",
+)
+def q_import_summary(spark, sf_dir):
+    """K7 + A3: CREATE_AND_UPDATE routed in one pass, then the outcome counts."""
+    outbox = route_import(_combined_submissions(spark, sf_dir), "CREATE_AND_UPDATE", order_rules(spark), FORM_ID,
+                          instances=_instances(spark, sf_dir), editor=EDITOR, latest_version_id=LATEST_VERSION,
+                          created_at=RUN_EPOCH, key_cols=["o_orderkey"])
+    return outcome_summary(outbox)
