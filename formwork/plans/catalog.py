@@ -32,14 +32,18 @@ from formwork.operators.onehot import flatten_submissions
 from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, project_org_units
 from formwork.operators.validate import (
     Rules,
+    check_table_schema,
     choice_membership,
     select_rules,
+    table_columns,
     validate_rows,
     validate_rows_by_version,
     validate_structure,
     valid_rows,
 )
-from formwork.sources.readers import read_form_submissions
+from formwork.session import scratch_path
+from formwork.sinks.writers import MANIFEST, snapshot_if_changed, write_file
+from formwork.sources.readers import read_form_submissions, read_org_units, read_submissions
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -875,3 +879,93 @@ def q_import_summary(spark, sf_dir):
                           instances=_instances(spark, sf_dir), editor=EDITOR, latest_version_id=LATEST_VERSION,
                           created_at=RUN_EPOCH, key_cols=["o_orderkey"])
     return outcome_summary(outbox)
+
+
+# ---------------------------------------------------------------------------
+# Text, sinks and sources
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "flatten_text",
+    """SELECT event_id, CAST(ts AS VARCHAR) AS ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(value > 100 AS INTEGER) AS big,
+              to_json(string_split(event_type, 'i')) AS parts, to_json({'user_id': user_id, 'event_type': event_type}) AS who
+       FROM events""",
+)
+def q_flatten_text(spark, sf_dir):
+    """temporal -> text, boolean -> 0/1, list and struct -> JSON text."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", F.col("ts").cast("date").alias("day"), (F.col("value") > 100).alias("big"),
+        F.split("event_type", "i").alias("parts"), F.struct("user_id", "event_type").alias("who"),
+    )
+    return flatten_for_text(ev)
+
+
+@register(
+    "strip_strings",
+    f"""SELECT doc_id, {_strip_sql("' ' || chr(9) || chr(10) || text || ' ' || chr(12288) || ' '")} AS text,
+               {_strip_sql("chr(133) || lang || ' '")} AS lang, n_chars
+        FROM documents""",
+)
+def q_strip_strings(spark, sf_dir):
+    """Unicode whitespace trimmed at both ends of every text column."""
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat(F.lit(" \t\n"), "text", F.lit(" 　 ")).alias("text"), F.concat(F.lit("\u0085"), "lang", F.lit(" ")).alias("lang"), "n_chars",
+    )
+    return strip_strings(d)
+
+
+ORDER_COLUMNS_SQL = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+
+@register("table_drift", f"SELECT {ORDER_COLUMNS_SQL} FROM orders")
+def q_table_drift(spark, sf_dir):
+    """S6 + V5 + K2's by-name alignment: a frame with the table's columns in another
+    order passes the guard and is aligned to the table's order."""
+    orders = table(spark, sf_dir, "orders")
+    orders.createOrReplaceTempView("formwork_drift_target")
+    incoming = orders.select(*reversed(orders.columns))
+    check_table_schema(spark, incoming, "formwork_drift_target")
+    return incoming.select(*table_columns(spark, "formwork_drift_target"))
+
+
+@register("snapshot", "SELECT 1 AS number, 'v1' AS name, count(*) AS rows FROM orders")
+def q_snapshot(spark, sf_dir):
+    """K3 + A7 + K1: the same content written twice gives one version."""
+    root = scratch_path(spark, "snapshot")
+    orders = table(spark, sf_dir, "orders")
+    snapshot_if_changed(spark, orders, root)
+    snapshot_if_changed(spark, orders.select(*reversed(orders.columns)).repartition(3), root)
+    return spark.read.parquet(f"{root}/{MANIFEST}").select("number", "name", "rows")
+
+
+@register("read_files", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def q_read_files(spark, sf_dir):
+    """K1 then S1: customers written as CSV and read back by suffix with a schema."""
+    cust = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customers") + ".csv"
+    write_file(cust, path, "csv")
+    return read_submissions(spark, path, schema=cust.schema)
+
+
+@register(
+    "org_units_from_csv",
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS org_unit_type,
+               {_ORG_BASE_SQL} AS opening_date,
+               CAST({_ORG_BASE_SQL} AS TIMESTAMP) + to_hours(CAST(c_custkey % 24 AS BIGINT)) + to_minutes(CAST(c_custkey % 60 AS BIGINT)) AS created_at,
+               CAST(r_regionkey AS VARCHAR) AS level_1_ref, n_name AS level_2_name
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+        WHERE c_mktsegment = 'BUILDING'""",
+)
+def q_org_units_from_csv(spark, sf_dir):
+    """K1 then S3 + P1 + P2: the org-unit export as CSV text, read back for one type."""
+    path = scratch_path(spark, "orgunits") + ".csv"
+    write_file(_org_unit_export(spark, sf_dir), path, "csv")
+    units = project_org_units(read_org_units(spark, path, type_name="BUILDING"))
+    return units.select("id", "name", "org_unit_type", "opening_date", "created_at", "level_1_ref", "level_2_name")
+
+
+@register("sheet_sort", "SELECT c_acctbal, c_custkey, c_mktsegment, c_name, c_nationkey FROM customer")
+def q_sheet_sort(spark, sf_dir):
+    """O3: columns alphabetical, rows by the original column order."""
+    return sheet_sort(table(spark, sf_dir, "customer"))
