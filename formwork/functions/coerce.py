@@ -10,6 +10,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     MapType,
+    StringType,
     StructType,
     TimestampNTZType,
     TimestampType,
@@ -38,16 +39,32 @@ def parse_dates(c: Column | str, kind: str = "date", strict: bool = True) -> Col
     raise ValueError(f"kind must be 'date' or 'datetime', not {kind!r}")
 
 
-def coerce_int(c: Column | str) -> Column:
+# Text that a number cast can accept. Casting other text under ANSI makes the JVM throw
+# and catch an exception per row, which is far slower than a regex test; so text is
+# tested first and only candidates are cast (the cast still decides, e.g. on overflow).
+INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+FLOAT_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?\s*$|^\s*[+-]?(?i:inf|infinity|nan)\s*$"
+
+
+def text_to_number(c: Column, to: str, data_type=None) -> Column:
+    """``try_cast`` that tests text first (see ``INT_TEXT``); non-text goes straight to
+    ``try_cast``. ``data_type`` is the column's Spark type when known."""
+    if data_type is not None and not isinstance(data_type, StringType):
+        return c.try_cast(to)
+    pattern = INT_TEXT if to in ("bigint", "int", "long", "integer") else FLOAT_TEXT
+    return F.when(c.rlike(pattern), c.try_cast(to))
+
+
+def coerce_int(c: Column | str, data_type=None) -> Column:
     """integer value like Python ``int(x)``: ``' 12 '`` -> 12, ``'12.7'`` -> null,
     12.7 -> 12; anything else null."""
-    return _c(c).try_cast("bigint")
+    return text_to_number(_c(c), "bigint", data_type)
 
 
 def number_or_zero(df: DataFrame, name: str, absent: float | None = 0.0) -> Column:
     """``float(x or 0)`` when the column exists, else ``absent`` (0 or null)."""
     if name in df.columns:
-        return F.coalesce(_c(name).try_cast("double"), F.lit(0.0))
+        return F.coalesce(text_to_number(_c(name), "double", df.schema[name].dataType), F.lit(0.0))
     if absent is None:
         return F.lit(None).cast("double")
     return F.lit(absent)

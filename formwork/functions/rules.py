@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from formwork.functions.coerce import text_to_number
+
 # The rule syntax of the form definitions.
 REGEX_RULE = re.compile(r"regex\(.,\s*'(.+)'\)")
 LE_PREFIX = ".<="
@@ -41,7 +43,7 @@ def check_constraint(c: Column | str, rule: str, data_type=None) -> Column:
             threshold = float(rule[3:])
         except ValueError:
             return F.lit(False)
-        value = col.cast("double") if isinstance(data_type, NumericType) else text.try_cast("double")
+        value = col.cast("double") if isinstance(data_type, NumericType) else text_to_number(text, "double", StringType())
         result = value <= F.lit(threshold) if rule.startswith(LE_PREFIX) else value >= F.lit(threshold)
     else:
         result = col.isNotNull()
@@ -81,8 +83,9 @@ class _Parser:
     """expr := term (('+'|'-') term)* ; term := unary (('*'|'div') unary)* ;
     unary := '-' unary | atom ; atom := number | ${field} | func '(' args ')' | '(' expr ')'"""
 
-    def __init__(self, tokens: list[tuple[str, str]], columns: set[str]):
-        self.t, self.i, self.columns = tokens, 0, columns
+    def __init__(self, tokens: list[tuple[str, str]], columns: set[str] | dict):
+        self.t, self.i, self.columns = tokens, 0, set(columns)
+        self.types = columns if isinstance(columns, dict) else {}
 
     def peek(self) -> tuple[str, str] | None:
         return self.t[self.i] if self.i < len(self.t) else None
@@ -124,7 +127,7 @@ class _Parser:
             name = value[2:-1].strip()
             if name not in self.columns:
                 raise FormulaError(f"field {name!r} is not a column")
-            return F.col("`" + name + "`").try_cast("double")
+            return text_to_number(F.col("`" + name + "`"), "double", self.types.get(name))
         if value == "(":
             inner = self.expr()
             self.take(")")
@@ -156,8 +159,9 @@ class _Parser:
         raise FormulaError(f"wrong number of arguments for {fn}")
 
 
-def formula_column(formula: str, columns: set[str]) -> Column:
-    """Translate a formula to a double-valued column; raises ``FormulaError``."""
+def formula_column(formula: str, columns: set[str] | dict) -> Column:
+    """Translate a formula to a double-valued column; raises ``FormulaError``.
+    ``columns`` is the set of column names, or a name -> Spark type dict."""
     text = formula.strip()
     if text in ("0", "0.0"):
         return F.lit(0.0)
@@ -168,7 +172,7 @@ def formula_column(formula: str, columns: set[str]) -> Column:
     return out
 
 
-def calculate(formula: str, columns: set[str]) -> tuple[Column, str | None]:
+def calculate(formula: str, columns: set[str] | dict) -> tuple[Column, str | None]:
     """(column, problem). The value is rounded half up and cast to bigint; a
     formula outside the grammar gives the constant 0 and a problem text (D-18).
     Division by zero gives null for that row only."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from formwork.functions.coerce import text_to_number
 from formwork.operators.columns import q
 
 QUESTION_FIELDS = ("name", "type", "label", "calculate")
@@ -29,7 +30,7 @@ def latest_version(
     third of all rows is combined before the shuffle) joined back on the form key;
     AQE turns the join into a broadcast once the per-form table is measured small.
     """
-    vint = q(version_col).cast("string").try_cast("bigint")
+    vint = text_to_number(q(version_col).cast("string"), "bigint")
     order = q(position_col) if position_col else q(version_col).cast("string")
     per_form = metadata.groupBy(q(form_col).alias("_form")).agg(
         F.max(vint).alias("_latest_int"),

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formwork.functions.coerce import coerce_int
+from formwork.functions.coerce import coerce_int, text_to_number
 from formwork.functions.documents import (
     create_payload,
     enrich_submission,
@@ -57,8 +57,8 @@ def split_create_update(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]
     return df.where(r == "create"), df.where(r == "update"), df.where(r == UNROUTED)
 
 
-def _truthy(c: Column) -> Column:
-    num = c.cast("string").try_cast("double")
+def _truthy(c: Column, data_type=None) -> Column:
+    num = text_to_number(c, "double", data_type)
     return F.coalesce(F.when(num.isNotNull(), num != 0).otherwise(c.cast("string") != ""), F.lit(False))
 
 
@@ -108,11 +108,20 @@ class _Prepared:
         return self._per_version(lambda r, v: enrich_submission(self.df, self.fields(r), form_id, v, r.group(), uuid, instance, editor, attribute))
 
 
+def _stage(p: _Prepared, cols: dict[str, Column]) -> dict[str, Column]:
+    """Add per-row values used by several output columns as columns of their own, so
+    they are computed once per row (Catalyst does not inline a costly expression that
+    is referenced more than once) and return references to them."""
+    p.df = p.df.select("*", *[c.alias(n) for n, c in cols.items()])
+    return {n: F.col(n) for n in cols}
+
+
 def _create_columns(p: _Prepared, form_id: int, created_at: int, directory: str, key_cols: list[str] | None) -> dict[str, Column]:
     df = p.df
-    uuid = instance_uuid(row_key(df, key_cols or p.source_columns))
-    org = coerce_int(q("org_unit_id")) if "org_unit_id" in df.columns else F.lit(None).cast("bigint")
+    org = coerce_int(q("org_unit_id"), df.schema["org_unit_id"].dataType) if "org_unit_id" in df.columns else F.lit(None).cast("bigint")
     reason = F.when(~p.valid, F.lit("invalid")).when(~p.has_template, F.lit("no_template")).when(org.isNull(), F.lit("bad_org_unit"))
+    staged = _stage(p, {"_c_uuid": instance_uuid(row_key(df, key_cols or p.source_columns)), "_c_reason": reason})
+    uuid, reason = staged["_c_uuid"], staged["_c_reason"]
     ok = reason.isNull()
     return {
         "outcome": F.when(ok, F.lit(IMPORTED)).otherwise(F.lit(IGNORED)),
@@ -120,15 +129,15 @@ def _create_columns(p: _Prepared, form_id: int, created_at: int, directory: str,
         "instance_id": F.lit(None).cast("bigint"),
         "instance_uuid": F.when(ok, uuid),
         "document": F.when(ok, p.render(form_id, uuid)),
-        "payload": F.when(ok, create_payload(df, uuid, form_id, created_at, directory)),
+        "payload": F.when(ok, create_payload(p.df, uuid, form_id, created_at, directory)),
         "patch_org_unit": F.lit(False),
     }
 
 
 def _update_columns(p: _Prepared, form_id: int, editor, attribute: str, locked: Column) -> dict[str, Column]:
     df = p.df
-    uuid = strip_uuid(df, "instanceID")
-    iid = coerce_int(q("id"))
+    staged = _stage(p, {"_u_uuid": strip_uuid(df, "instanceID"), "_u_iid": coerce_int(q("id"), df.schema["id"].dataType)})
+    uuid, iid = staged["_u_uuid"], staged["_u_iid"]
     reason = (
         F.when(~p.valid, F.lit("invalid"))
         .when(uuid.isNull(), F.lit("missing_instance_id"))
@@ -136,15 +145,16 @@ def _update_columns(p: _Prepared, form_id: int, editor, attribute: str, locked:
         .when(iid.isNull(), F.lit("bad_id"))
         .when(locked, F.lit("locked"))
     )
+    has_ou = _truthy(q("org_unit_id"), df.schema["org_unit_id"].dataType) if "org_unit_id" in df.columns else F.lit(False)
+    reason = _stage(p, {"_u_reason": reason})["_u_reason"]
     ok = reason.isNull()
-    has_ou = _truthy(q("org_unit_id")) if "org_unit_id" in df.columns else F.lit(False)
     return {
         "outcome": F.when(ok, F.lit(UPDATED)).otherwise(F.lit(IGNORED)),
         "reason": reason,
         "instance_id": iid,
         "instance_uuid": F.when(ok, uuid),
         "document": F.when(ok, p.enrich(form_id, uuid, iid, editor, attribute)),
-        "payload": F.when(ok & has_ou, update_payload(df, form_id)),
+        "payload": F.when(ok & has_ou, update_payload(p.df, form_id)),
         "patch_org_unit": ok & has_ou,
     }
 
@@ -157,7 +167,7 @@ def _locks(df: DataFrame, instances: DataFrame | None) -> tuple[DataFrame, Colum
     locks = instances.groupBy(F.col("id").cast("bigint").alias("_lock_id")).agg(
         F.bool_or(F.coalesce(F.col("is_locked"), F.lit(False))).alias("_locked")
     )
-    joined = df.join(locks, coerce_int(q("id")) == F.col("_lock_id"), "left")
+    joined = df.join(locks, coerce_int(q("id"), df.schema["id"].dataType) == F.col("_lock_id"), "left")
     return joined, F.coalesce(F.col("_locked"), F.lit(False))
 
 
@@ -190,16 +200,16 @@ def update_outbox(df: DataFrame, rules: Rules | None, form_id: int, *, instances
     unit, the patch body; the lock is checked before the patch is planned (D-9)."""
     _require(df, ["id", "instanceID"], "UPDATE")
     p = _Prepared(df, rules, rules_by_version, strict, latest_version_id, version_col)
-    joined, locked = _locks(p.df, instances)
-    p.df = joined
-    return _select(joined, keep or [], _update_columns(p, form_id, editor, instance_attribute, locked))
+    p.df, locked = _locks(p.df, instances)
+    cols = _update_columns(p, form_id, editor, instance_attribute, locked)
+    return _select(p.df, keep or [], cols)
 
 
 def delete_outbox(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """K6: ``deleted`` with the integer instance id, or ``ignored`` for a missing or
     non-integer id."""
     _require(df, ["id"], "DELETE")
-    iid = coerce_int(q("id"))
+    iid = coerce_int(q("id"), df.schema["id"].dataType)
     reason = F.when(q("id").isNull(), F.lit("missing_id")).when(iid.isNull(), F.lit("bad_id"))
     return df.select(
         *[q(k) for k in keep or []],
@@ -225,10 +235,10 @@ def route_import(df: DataFrame, strategy: str, rules: Rules | None, form_id: int
                              rules_by_version=rules_by_version, strict=strict, latest_version_id=latest_version_id, keep=keep, version_col=version_col)
     if strategy != "CREATE_AND_UPDATE":
         raise ValueError(f"unknown import strategy {strategy!r}")
-    r = route(df)
     p = _Prepared(df, rules, rules_by_version, strict, latest_version_id, version_col)
-    joined, locked = _locks(p.df, instances) if "id" in df.columns else (p.df, F.lit(False))
-    p.df = joined
+    p.df = p.df.select("*", route(df).alias("_route"))
+    r = F.col("_route")
+    p.df, locked = _locks(p.df, instances) if "id" in df.columns else (p.df, F.lit(False))
     stamp = int(created_at if created_at is not None else time.time())
     create = _create_columns(p, form_id, stamp, directory, key_cols)
     update = _update_columns(p, form_id, editor, instance_attribute, locked) if "instanceID" in df.columns and "id" in df.columns else None
@@ -238,7 +248,7 @@ def route_import(df: DataFrame, strategy: str, rules: Rules | None, form_id: int
     unrouted = {n: F.lit(None).cast(t) for n, t in OUTBOX_TYPES.items()}
     unrouted.update(outcome=F.lit(UNROUTED), patch_org_unit=F.lit(False))
     cols = {n: F.when(r == "create", create[n]).when(r == "update", update[n]).otherwise(unrouted[n]) for n in OUTBOX_TYPES}
-    return _select(joined, keep or [], cols, r)
+    return _select(p.df, keep or [], cols, r)
 
 
 def outcome_summary(outbox: DataFrame) -> DataFrame:

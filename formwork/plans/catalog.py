@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from formwork.functions.geometry import decode_geometry
 from formwork.functions.rules import calculate, check_constraint
 from formwork.functions.text import KEEP_CLASS, WHITESPACE_CLASS, clean_string, strip_strings
-from formwork.functions.coerce import TYPE_NAMES, flatten_for_text
+from formwork.functions.coerce import TYPE_NAMES, flatten_for_text, text_to_number
 from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, geo_sort, sheet_sort, sort_by_label
 from formwork.operators.forms import (
     explode_choices,
@@ -43,7 +43,7 @@ from formwork.operators.validate import (
 )
 from formwork.session import scratch_path
 from formwork.sinks.writers import MANIFEST, snapshot_if_changed, write_file
-from formwork.sources.readers import read_form_submissions, read_org_units, read_submissions
+from formwork.sources.readers import read_form_submissions, read_org_units, read_submissions, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,7 +61,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, spread over the cores when its file has fewer splits than that."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _strip_sql(x: str) -> str:
@@ -701,7 +702,7 @@ def q_structure_findings(spark, sf_dir):
     stats = []
     for c in names:
         n_bad = (
-            F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(TYPE_NAMES[invalid[c][0]]).isNull())
+            F.count_if(F.col(f"`{c}`").isNotNull() & text_to_number(F.col(f"`{c}`"), TYPE_NAMES[invalid[c][0]], subs.schema[c].dataType).isNull())
             if c in invalid else F.lit(None).cast("bigint")
         )
         stats.append(F.struct(F.lit(c).alias("column"), F.count(F.col(f"`{c}`")).alias("n_values"), n_bad.alias("n_uncastable")))

@@ -38,6 +38,20 @@ def _read(reader, path: str) -> DataFrame:
         raise
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin an under-split input over the cluster's cores.
+
+    A source with fewer splits than cores (e.g. one file written as a single row
+    group) would put all row-level work of a query in a few tasks. When the scan has
+    at least ``min_partitions`` splits (default: the default parallelism), as any
+    large input does, this is a no-op and adds no shuffle. An explicit partition count
+    is kept by AQE (it does not coalesce user repartitions)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def read_submissions(spark: SparkSession, path: str, schema: StructType | str | None = None, check_empty: bool = True) -> DataFrame:
     """A submissions file chosen by its lower-cased suffix.
 
