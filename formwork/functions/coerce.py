@@ -31,7 +31,7 @@ def parse_dates(c: Column | str, kind: str = "date", strict: bool = True) -> Col
     Strict parsing raises on bad text (ANSI); lenient parsing gives null."""
     col = _c(c)
     if kind == "date":
-        return F.to_date(col, DATE_FORMAT) if strict else F.try_to_date(col, F.lit(DATE_FORMAT))
+        return F.to_date(col, DATE_FORMAT) if strict else F.try_to_timestamp(col, F.lit(DATE_FORMAT)).cast("date")
     if kind == "datetime":
         if strict:
             return F.to_timestamp_ntz(col, F.lit(DATETIME_FORMAT))

@@ -119,7 +119,8 @@ def _stage(p: _Prepared, cols: dict[str, Column]) -> dict[str, Column]:
 def _create_columns(p: _Prepared, form_id: int, created_at: int, directory: str, key_cols: list[str] | None) -> dict[str, Column]:
     df = p.df
     org = coerce_int(q("org_unit_id"), df.schema["org_unit_id"].dataType) if "org_unit_id" in df.columns else F.lit(None).cast("bigint")
-    reason = F.when(~p.valid, F.lit("invalid")).when(~p.has_template, F.lit("no_template")).when(org.isNull(), F.lit("bad_org_unit"))
+    # A row whose version has no rules cannot be validated: it fails on the template.
+    reason = F.when(~p.has_template, F.lit("no_template")).when(~p.valid, F.lit("invalid")).when(org.isNull(), F.lit("bad_org_unit"))
     staged = _stage(p, {"_c_uuid": instance_uuid(row_key(df, key_cols or p.source_columns)), "_c_reason": reason})
     uuid, reason = staged["_c_uuid"], staged["_c_reason"]
     ok = reason.isNull()
@@ -139,9 +140,9 @@ def _update_columns(p: _Prepared, form_id: int, editor, attribute: str, locked:
     staged = _stage(p, {"_u_uuid": strip_uuid(df, "instanceID"), "_u_iid": coerce_int(q("id"), df.schema["id"].dataType)})
     uuid, iid = staged["_u_uuid"], staged["_u_iid"]
     reason = (
-        F.when(~p.valid, F.lit("invalid"))
+        F.when(~p.has_template, F.lit("no_template"))
+        .when(~p.valid, F.lit("invalid"))
         .when(uuid.isNull(), F.lit("missing_instance_id"))
-        .when(~p.has_template, F.lit("no_template"))
         .when(iid.isNull(), F.lit("bad_id"))
         .when(locked, F.lit("locked"))
     )
