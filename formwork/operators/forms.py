@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, IntegralType
 
 from formwork.functions.coerce import text_to_number
 from formwork.operators.columns import q
@@ -30,12 +30,17 @@ def latest_version(
     third of all rows is combined before the shuffle) joined back on the form key;
     AQE turns the join into a broadcast once the per-form table is measured small.
     """
-    vint = text_to_number(q(version_col).cast("string"), "bigint")
-    order = q(position_col) if position_col else q(version_col).cast("string")
-    per_form = metadata.groupBy(q(form_col).alias("_form")).agg(
-        F.max(vint).alias("_latest_int"),
-        F.min_by(q(version_col), order).alias("_first"),
-    )
+    if isinstance(metadata.schema[version_col].dataType, IntegralType):
+        # Integer versions: a plain max, i.e. a hash aggregate with a fixed-width buffer.
+        vint = q(version_col).cast("bigint")
+        per_form = metadata.groupBy(q(form_col).alias("_form")).agg(F.max(vint).alias("_latest_int"), F.lit(None).alias("_first"))
+    else:
+        vint = text_to_number(q(version_col).cast("string"), "bigint")
+        order = q(position_col) if position_col else q(version_col).cast("string")
+        per_form = metadata.groupBy(q(form_col).alias("_form")).agg(
+            F.max(vint).alias("_latest_int"),
+            F.min_by(q(version_col), order).alias("_first"),
+        )
     joined = metadata.join(per_form, q(form_col).eqNullSafe(F.col("_form")), "inner")
     keep = F.when(F.col("_latest_int").isNotNull(), vint == F.col("_latest_int")).otherwise(
         q(version_col) == F.col("_first")
