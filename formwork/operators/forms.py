@@ -33,19 +33,19 @@ def latest_version(
     if isinstance(metadata.schema[version_col].dataType, IntegralType):
         # Integer versions: a plain max, i.e. a hash aggregate with a fixed-width buffer.
         vint = q(version_col).cast("bigint")
-        per_form = metadata.groupBy(q(form_col).alias("_form")).agg(F.max(vint).alias("_latest_int"), F.lit(None).alias("_first"))
+        per_form = metadata.groupBy(q(form_col).alias("__lv_form")).agg(F.max(vint).alias("__lv_latest"), F.lit(None).alias("__lv_first"))
     else:
         vint = text_to_number(q(version_col).cast("string"), "bigint")
         order = q(position_col) if position_col else q(version_col).cast("string")
-        per_form = metadata.groupBy(q(form_col).alias("_form")).agg(
-            F.max(vint).alias("_latest_int"),
-            F.min_by(q(version_col), order).alias("_first"),
+        per_form = metadata.groupBy(q(form_col).alias("__lv_form")).agg(
+            F.max(vint).alias("__lv_latest"),
+            F.min_by(q(version_col), order).alias("__lv_first"),
         )
-    joined = metadata.join(per_form, q(form_col).eqNullSafe(F.col("_form")), "inner")
-    keep = F.when(F.col("_latest_int").isNotNull(), vint == F.col("_latest_int")).otherwise(
-        q(version_col) == F.col("_first")
+    joined = metadata.join(per_form, q(form_col).eqNullSafe(F.col("__lv_form")), "inner")
+    keep = F.when(F.col("__lv_latest").isNotNull(), vint == F.col("__lv_latest")).otherwise(
+        q(version_col) == F.col("__lv_first")
     )
-    return joined.where(keep).drop("_form", "_latest_int", "_first")
+    return joined.where(keep).drop("__lv_form", "__lv_latest", "__lv_first")
 
 
 def first_available(value: Column, position: Column) -> Column:

@@ -128,8 +128,9 @@ def read_form_definition(spark: SparkSession, path: str, kind: str, version: str
     if version is not None:
         df = df.where(F.col(version_col) == F.lit(version))
     elif version_col in df.columns:
-        df = latest_version(df.withColumn("_form", F.lit(1)), "_form", version_col).drop("_form")
-    return strip_strings(df.na.drop("all"))
+        df = latest_version(df.withColumn("__definition", F.lit(1)), "__definition", version_col).drop("__definition")
+    sheet_columns = [c for c in df.columns if c != version_col]
+    return strip_strings(df.na.drop("all", subset=sheet_columns))
 
 
 def read_geometries(spark: SparkSession, path: str, fmt: str = "parquet", id_col: str = "id", geometry_col: str = "geometry") -> DataFrame:

@@ -124,3 +124,41 @@ def test_updated_since_boundary(spark):
     assert updated_since(df, None).count() == 2
     with pytest.raises(ValueError):
         parse_cutoff("15/01/2024")
+
+
+def test_read_form_definition_latest_and_named(spark, tmp_dir):
+    from formwork.sources.readers import read_form_definition
+
+    qs = spark.createDataFrame(
+        [("1", " age ", "integer"), ("2", "age", "integer "), ("2", "sex", "select_one sex"), ("2", None, None), ("10", "x", "text")],
+        "form_version string, name string, type string",
+    )
+    qs.write.parquet(f"{tmp_dir}/def/questions")
+    latest = read_form_definition(spark, f"{tmp_dir}/def", "questions")
+    assert [r.name for r in latest.collect()] == ["x"]  # 10 > 2 as integers
+    named = read_form_definition(spark, f"{tmp_dir}/def", "questions", version="2").collect()
+    assert sorted((r.name, r.type) for r in named) == [("age", "integer"), ("sex", "select_one sex")]  # trimmed, all-null row dropped
+    with pytest.raises(ValueError):
+        read_form_definition(spark, f"{tmp_dir}/def", "answers")
+
+
+def test_read_geometries(spark, tmp_dir):
+    from formwork.sources.readers import read_geometries
+
+    spark.createDataFrame([(1, "g")], "ou long, shape string").write.parquet(f"{tmp_dir}/g")
+    assert read_geometries(spark, f"{tmp_dir}/g", id_col="ou", geometry_col="shape").collect()[0].asDict() == {"id": 1, "geometry": "g"}
+
+
+def test_write_table_replace_and_append(spark):
+    from formwork.operators.fingerprint import is_empty, row_count
+    from formwork.sinks.writers import write_table
+
+    spark.sql("DROP TABLE IF EXISTS fw_subs")
+    write_table(spark, spark.createDataFrame([(1, "a")], "x int, y string"), "fw_subs")
+    write_table(spark, spark.createDataFrame([("b", 2)], "y string, x int"), "fw_subs", "append")  # by name
+    got = sorted(tuple(r) for r in spark.table("fw_subs").collect())
+    assert got == [(1, "a"), (2, "b")] and row_count(spark.table("fw_subs")) == 2 and not is_empty(spark.table("fw_subs"))
+    with pytest.raises(ValueError):  # V5 before an append
+        write_table(spark, spark.createDataFrame([(3, "c", 1)], "x int, y string, z int"), "fw_subs", "append")
+    write_table(spark, spark.createDataFrame([(9, "z")], "x int, y string"), "fw_subs")
+    assert spark.table("fw_subs").count() == 1
