@@ -60,9 +60,11 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, spread over the cores when its file has fewer splits than that."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A driver table. With ``spread_rows`` (queries whose per-row work dominates, e.g.
+    long texts) an input with fewer splits than cores is spread over them first."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def _strip_sql(x: str) -> str:
@@ -81,7 +83,7 @@ def _clean_sql(x: str) -> str:
 @register("clean_names", f"SELECT doc_id, {_clean_sql('text')} AS clean_text FROM documents")
 def q_clean_names(spark, sf_dir):
     """F1 over whole document texts."""
-    return table(spark, sf_dir, "documents").select("doc_id", clean_string("text").alias("clean_text"))
+    return table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", clean_string("text").alias("clean_text"))
 
 
 @register(
@@ -365,8 +367,8 @@ def _geometry_text() -> Column:
     )
 
 
-def _geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), _geometry_text().alias("geometry"))
+def _geometries(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+    return table(spark, sf_dir, "customer", spread_rows).select(F.col("c_custkey").alias("id"), _geometry_text().alias("geometry"))
 
 
 _KIND_SQL = """CASE WHEN c_mktsegment = 'HOUSEHOLD' OR c_acctbal < 0 THEN NULL
@@ -414,7 +416,7 @@ def q_decode_points(spark, sf_dir):
     """point coordinates, polygon and ring counts; bad JSON and Polygon give null.
     ``compat_polygons`` counts polygons in the reference's shape (one per ring of the
     first polygon)."""
-    g = _geometries(spark, sf_dir)
+    g = _geometries(spark, sf_dir, spread_rows=True)
     d = decode_geometry("geometry")
     compat = decode_geometry("geometry", compat=True)
     return g.select(
@@ -558,7 +560,7 @@ def q_constraint_regex(spark, sf_dir):
 def q_calculate(spark, sf_dir):
     """formulas translated to native expressions; per-row division by zero is null,
     an unsupported formula gives 0."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem", spread_rows=True).select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_quantity",
         F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") < 3), F.lit(0.0)).otherwise(F.col("l_quantity")).alias("qz"),
         F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_quantity")).alias("qn"),
@@ -910,7 +912,7 @@ def q_flatten_text(spark, sf_dir):
 )
 def q_strip_strings(spark, sf_dir):
     """Unicode whitespace trimmed at both ends of every text column."""
-    d = table(spark, sf_dir, "documents").select(
+    d = table(spark, sf_dir, "documents", spread_rows=True).select(
         "doc_id", F.concat(F.lit(" \t\n"), "text", F.lit(" 　 ")).alias("text"), F.concat(F.lit("\u0085"), "lang", F.lit(" ")).alias("lang"), "n_chars",
     )
     return strip_strings(d)
