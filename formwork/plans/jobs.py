@@ -116,6 +116,8 @@ def extract_form_metadata(
     meta = read_form_metadata(spark, metadata_path, fmt)
     if form_id is not None:
         meta = meta.where(F.col("form_id") == F.lit(str(form_id)))
+    if meta.isEmpty():  # D-22: a clear error instead of an empty sheet
+        raise ValueError(f"no form metadata found in {metadata_path!r}" + (f" for form {form_id}" if form_id is not None else ""))
     latest = latest_version(meta, "form_id", "version")
     sheet = sort_by_label(join_questions_choices(questions_from_map(latest), explode_choices(latest), ("form_id", "version", "name")))
     _publish(spark, sheet, sinks)

@@ -172,3 +172,19 @@ def test_check_table_schema(spark):
     check_table_schema(spark, spark.createDataFrame([(1,)], "z int"), "does_not_exist")
     with pytest.raises(ValueError, match="new columns"):
         check_table_schema(spark, spark.createDataFrame([(1, "a", 2)], "x int, y string, z int"), "t_guard")
+
+
+def test_choices_by_code_and_list_from_type(spark):  # D-7 options
+    qs = spark.createDataFrame([("sex", "select_one genders", None, None, None)], Q_SCHEMA)
+    cs = spark.createDataFrame([("genders", "m", "Male"), ("genders", "f", "Female")], "list_name string, name string, label string")
+    df = spark.createDataFrame([("m",), ("Male",)], "sex string")
+    by_code = validate_rows(df, select_rules(qs, cs, by="name", list_from_type=True)).collect()
+    assert [r.sex_choices_valid for r in by_code] == [True, False]
+    default = validate_rows(df, select_rules(qs, cs)).collect()  # list named like the question: none -> false
+    assert [r.sex_choices_valid for r in default] == [False, False]
+
+
+def test_numeric_ids_accepted(spark):  # D-24
+    r = Rules([])
+    ok, _, invalid = validate_structure(spark, spark.createDataFrame([(5,)], "id bigint"), r, "DELETE")
+    assert ok and not invalid
