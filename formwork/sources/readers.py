@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from formwork.functions.text import strip_strings
 from formwork.operators.forms import latest_version
@@ -52,17 +52,41 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target)
 
 
-def read_submissions(spark: SparkSession, path: str, schema: StructType | str | None = None, check_empty: bool = True) -> DataFrame:
+def infer_csv_schema(spark: SparkSession, path: str, rows: int = 10_000) -> StructType:
+    """Column types inferred from the header and the first ``rows`` lines only, like
+    the reference, instead of a full extra pass over the file. Quoted fields spanning
+    several lines are not supported by this sample; give a schema for such files."""
+    head = _read(spark.read.text, path).limit(rows + 1)
+    lines = head.rdd.map(lambda r: r.value)  # at most rows + 1 short strings
+    return spark.read.csv(lines, header=True, inferSchema=True).schema
+
+
+def _typed(name: str, data_type, path: str):
+    """A CSV text column cast to its type; a non-empty value that does not fit fails
+    the job (no silent nulls), in the same pass as the caller's work."""
+    text = F.col(f"`{name}`")
+    if isinstance(data_type, StringType):
+        return text
+    typed = text.try_cast(data_type)
+    message = F.concat(F.lit(f"unparsable value in {path}, column {name}: "), text)
+    return F.when(text.isNotNull() & typed.isNull(), F.raise_error(message)).otherwise(typed).alias(name)
+
+
+def read_submissions(spark: SparkSession, path: str, schema: StructType | str | None = None, check_empty: bool = True,
+                     infer_rows: int = 10_000) -> DataFrame:
     """A submissions file chosen by its lower-cased suffix.
 
-    CSV: header row; types inferred unless ``schema`` is given (give one in production
-    to skip the inference pass); over-long rows are truncated (PERMISSIVE). Parquet as
-    is. Unknown suffix, missing path and no rows raise."""
+    CSV: header row; types inferred from the first ``infer_rows`` rows unless
+    ``schema`` is given; over-long rows are truncated (PERMISSIVE). Parquet as is.
+    Unknown suffix, missing path and no rows raise."""
     lower = path.lower().rstrip("/")
     if lower.endswith(".csv"):
-        reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-        df = _read(reader.csv, path)
+        base = schema if schema is not None else infer_csv_schema(spark, path, infer_rows)
+        if isinstance(base, str):
+            base = StructType.fromDDL(base)
+        as_text = StructType([StructField(f.name, StringType()) for f in base.fields])
+        raw = _read(spark.read.option("header", True).option("mode", "PERMISSIVE").schema(as_text).csv, path)
+        df = raw.select(*[_typed(f.name, f.dataType, path) for f in base.fields])
     elif lower.endswith(".parquet"):
         df = _read(spark.read.parquet, path)
     else:

@@ -162,3 +162,14 @@ def test_write_table_replace_and_append(spark):
         write_table(spark, spark.createDataFrame([(3, "c", 1)], "x int, y string, z int"), "fw_subs", "append")
     write_table(spark, spark.createDataFrame([(9, "z")], "x int, y string"), "fw_subs")
     assert spark.table("fw_subs").count() == 1
+
+
+def test_csv_types_from_first_rows(spark, tmp_dir):
+    lines = ["a,b"] + [f"{i},x" for i in range(30)] + ["oops,y"]
+    with open(f"{tmp_dir}/s.csv", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    sampled = read_submissions(spark, f"{tmp_dir}/s.csv", infer_rows=10)
+    assert dict(sampled.dtypes)["a"] == "int"
+    with pytest.raises(Exception, match="unparsable value"):  # no silent nulls for values past the sample
+        sampled.collect()
+    assert dict(read_submissions(spark, f"{tmp_dir}/s.csv").dtypes)["a"] == "string"
