@@ -48,15 +48,20 @@ def project_org_units(raw: DataFrame, strict: bool = True) -> DataFrame:
     return raw.select(*base, *project_levels(raw))
 
 
+def org_unit_type_name(types: DataFrame, type_id: int) -> str:
+    """Name of a type id; raises when the id is unknown. Fetches at most two rows."""
+    found = types.where(F.col("id") == F.lit(type_id)).select("name").limit(2).collect()
+    if not found:
+        raise ValueError(f"no organisation unit type with id {type_id}")
+    return found[0]["name"]
+
+
 def filter_org_unit_type(units: DataFrame, types: DataFrame, type_id: int | None, type_col: str = "org_unit_type") -> DataFrame:
     """With a type id, look the type up (raise when absent) and keep the units of
-    that type; without one keep all units. The lookup fetches at most two rows."""
+    that type; without one keep all units."""
     if type_id is None:
         return units
-    found = types.where(F.col("id") == F.lit(type_id)).select("name").limit(2).collect()
-    if not found:
-        raise ValueError(f"no organisation unit type with id {type_id}")
-    return units.where(q(type_col) == F.lit(found[0]["name"]))
+    return units.where(q(type_col) == F.lit(org_unit_type_name(types, type_id)))
 
 
 def attach_geometry(units: DataFrame, geometries: DataFrame, id_col: str = "id", geometry_col: str = "geometry") -> DataFrame:

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from formwork.functions.coerce import cast_expected
 from formwork.functions.geometry import decode_geometry
+from formwork.functions.text import output_name
 from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, sort_by_label
 from formwork.operators.forms import explode_choices, join_questions_choices, latest_version, questions_from_map, replace_labels
 from formwork.operators.importer import outcome_summary, route_import
 from formwork.operators.onehot import flatten_submissions
-from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, project_org_units
+from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, org_unit_type_name, project_org_units
 from formwork.operators.validate import Rules, check_table_schema, validate_rows, validate_structure
 from formwork.sinks.writers import snapshot_if_changed, write_file, write_geojson_lines, write_table
 from formwork.sources.readers import read_form_metadata, read_form_submissions, read_org_units, read_submissions
@@ -28,20 +29,34 @@ from formwork.sources.readers import read_form_metadata, read_form_submissions,
 
 @dataclass
 class Sinks:
-    """Where a job writes: a file (K1), a table (K2) and/or a versioned snapshot (K3)."""
+    """Where a job writes: a file (K1), a table (K2) and/or a versioned snapshot (K3).
+
+    The file goes to ``path``; or, with ``directory``, to the caller's ``name`` there,
+    else to the job's default name (F16)."""
 
     path: str | None = None
     fmt: str = "parquet"
     table: str | None = None
     mode: str = "replace"
     snapshot_root: str | None = None
+    directory: str | None = None
+    name: str | None = None
+
+    def file_path(self, base: str, prefix: str = "") -> str | None:
+        if self.path:
+            return self.path
+        if self.directory:
+            return output_name(base, "." + self.fmt, self.directory, custom=self.name, prefix=prefix)
+        return None
 
 
-def _publish(spark: SparkSession, df: DataFrame, sinks: Sinks | None, check_schema: bool = False) -> str | None:
+def _publish(spark: SparkSession, df: DataFrame, sinks: Sinks | None, check_schema: bool = False,
+             base: str = "", prefix: str = "") -> str | None:
     if sinks is None:
         return None
-    if sinks.path:
-        write_file(df, sinks.path, sinks.fmt)
+    path = sinks.file_path(base, prefix)
+    if path:
+        write_file(df, path, sinks.fmt)
     if sinks.table:
         if check_schema:
             check_table_schema(spark, df, sinks.table)
@@ -63,6 +78,7 @@ def extract_submissions(
     updated_col: str = "updated_at",
     sort: bool = True,
     sinks: Sinks | None = None,
+    form_name: str = "submissions",
 ) -> DataFrame:
     """§3.1: S2 (+P7 pushed down) -> J3 when ``choices`` is given -> P4 -> F3 + P5 +
     P3 (+O1 when ``sort``) -> K1/K2 (after V5)/K3."""
@@ -70,7 +86,7 @@ def extract_submissions(
     if choices is not None:
         subs = replace_labels(subs, choices, language=language)
     out = flatten_submissions(clean_column_names(subs), sort=sort)
-    _publish(spark, out, sinks, check_schema=True)
+    _publish(spark, out, sinks, check_schema=True, base=form_name)
     return out
 
 
@@ -89,9 +105,11 @@ def extract_org_units(
     lines when ``geo_path`` is given."""
     raw = read_org_units(spark, export_path)
     units = project_org_units(raw)
+    type_name = None
     if type_id is not None:
         if types is None:
             raise ValueError("a type table is needed to filter by type id")
+        type_name = org_unit_type_name(types, type_id)  # D-19: names the default file too
         units = filter_org_unit_type(units, types, type_id)
     if geometries is not None:
         units = attach_geometry(units, geometries)
@@ -100,7 +118,7 @@ def extract_org_units(
     if geo_path:
         geo = out.withColumn("geometry", decode_geometry("geometry")) if "geometry" in out.columns else out
         write_geojson_lines(geo, geo_path)
-    _publish(spark, out, sinks)
+    _publish(spark, out, sinks, base=type_name or "", prefix="ou_" if type_name else "orgunits")
     return out
 
 
@@ -111,6 +129,7 @@ def extract_form_metadata(
     form_id: str | None = None,
     fmt: str = "json",
     sinks: Sinks | None = None,
+    form_name: str = "form",
 ) -> DataFrame:
     """§3.4: S4 -> A1 -> F19 + F18 -> J1 -> O2 -> K1/K2/K3."""
     meta = read_form_metadata(spark, metadata_path, fmt)
@@ -120,7 +139,7 @@ def extract_form_metadata(
         raise ValueError(f"no form metadata found in {metadata_path!r}" + (f" for form {form_id}" if form_id is not None else ""))
     latest = latest_version(meta, "form_id", "version")
     sheet = sort_by_label(join_questions_choices(questions_from_map(latest), explode_choices(latest), ("form_id", "version", "name")))
-    _publish(spark, sheet, sinks)
+    _publish(spark, sheet, sinks, base=form_name, prefix="md_")
     return sheet
 
 

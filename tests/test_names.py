@@ -108,6 +108,9 @@ def test_output_name_rules():
     assert output_name("Mon Formulaire!", ".csv", "out", now=now) == "out/mon_formulaire_2024-05-06_07-08.csv"
     assert output_name("x", ".parquet", "out", custom="sub/file.parquet") == "out/sub/file.parquet"
     assert output_name("x", ".parquet", "out", custom="/abs/file.parquet") == "/abs/file.parquet"
+    assert output_name("x", ".csv", "out", custom="sub/file") == "out/sub/file.csv"
+    assert output_name("Écoles", ".csv", "out", now=now, prefix="ou_") == "out/ou_ecoles_2024-05-06_07-08.csv"
+    assert output_name("", ".csv", "out", now=now, prefix="orgunits") == "out/orgunits_2024-05-06_07-08.csv"
     import pytest
 
     with pytest.raises(ValueError):  # D-14

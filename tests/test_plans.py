@@ -33,7 +33,11 @@ def test_extract_org_units_job(spark, tmp_dir):
         fh.write("\n".join(lines) + "\n")
     geoms = spark.createDataFrame([("1", '{"type": "Point", "coordinates": [1.5, 2.5]}')], "id string, geometry string")
     types = spark.createDataFrame([(3, "District")], "id int, name string")
-    out = extract_org_units(spark, f"{tmp_dir}/units.csv", geometries=geoms, types=types, type_id=3, geo_path=f"{tmp_dir}/geo")
+    out = extract_org_units(spark, f"{tmp_dir}/units.csv", geometries=geoms, types=types, type_id=3, geo_path=f"{tmp_dir}/geo",
+                            sinks=Sinks(fmt="csv", directory=f"{tmp_dir}/files"))
+    import os
+
+    assert [n for n in os.listdir(f"{tmp_dir}/files") if n.startswith("ou_district_") and n.endswith(".csv")]  # D-19
     assert out.count() == 1 and out.columns == sorted(out.columns)
     feature = json.loads(spark.read.text(f"{tmp_dir}/geo").first().value)
     assert feature["geometry"] == {"type": "Point", "coordinates": [1.5, 2.5]} and feature["properties"]["level_1_name"] == "Pays"
