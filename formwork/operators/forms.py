@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType, IntegralType
 
 from formwork.functions.coerce import text_to_number
 from formwork.operators.columns import q
+from formwork.operators.lookup import left_lookup
 
 QUESTION_FIELDS = ("name", "type", "label", "calculate")
 
@@ -141,6 +142,6 @@ def replace_labels(
         )
         if isinstance(df.schema[c].dataType, ArrayType):
             raise ValueError(f"label table too large for the multi-select column {c!r}")
-        result = result.join(lab, q(c).cast("string") == F.col("_code"), "left")
-        result = result.withColumn(c, F.coalesce(F.col("_label"), q(c).cast("string"))).drop("_code", "_label")
+        result = left_lookup(result, q(c).cast("string"), lab, "_code")
+        result = result.withColumn(c, F.coalesce(F.col("_label"), q(c).cast("string"))).drop("_label")
     return result

@@ -28,6 +28,7 @@ from formwork.functions.documents import (
     update_payload,
 )
 from formwork.operators.columns import q, question_fields
+from formwork.operators.lookup import NULL_KEY_BUCKETS, left_lookup  # noqa: F401
 from formwork.operators.validate import Rules, row_validity, validate_rows, version_validity
 
 IMPORTED, UPDATED, DELETED, IGNORED, UNROUTED = "imported", "updated", "deleted", "ignored", "unrouted"
@@ -162,13 +163,15 @@ def _update_columns(p: _Prepared, form_id: int, editor, attribute: str, locked:
 
 def _locks(df: DataFrame, instances: DataFrame | None) -> tuple[DataFrame, Column]:
     """Left lookup of each row's lock flag; no flag counts as unlocked. The lock
-    table is reduced to one row per id first, so the join cannot fan out."""
+    table is reduced to one row per id first, so the join cannot fan out; rows without
+    an integer id (every create row of a combined import) are spread, not piled on the
+    null key (``left_lookup``)."""
     if instances is None:
         return df, F.lit(False)
     locks = instances.groupBy(F.col("id").cast("bigint").alias("_lock_id")).agg(
         F.bool_or(F.coalesce(F.col("is_locked"), F.lit(False))).alias("_locked")
     )
-    joined = df.join(locks, coerce_int(q("id"), df.schema["id"].dataType) == F.col("_lock_id"), "left")
+    joined = left_lookup(df, coerce_int(q("id"), df.schema["id"].dataType), locks, "_lock_id")
     return joined, F.coalesce(F.col("_locked"), F.lit(False))
 
 

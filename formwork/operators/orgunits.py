@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from formwork.functions.coerce import parse_dates
 from formwork.operators.columns import q
+from formwork.operators.lookup import left_lookup
 
 # Headings of the org-unit export and their output names.
 HEADINGS = [
@@ -73,4 +74,4 @@ def attach_geometry(units: DataFrame, geometries: DataFrame, id_col: str = "id",
     finds the lookup small enough to broadcast)."""
     lookup = geometries.groupBy(q(id_col).alias("_gid")).agg(F.max(q(geometry_col)).alias(geometry_col))
     base = units.drop(geometry_col) if geometry_col in units.columns else units
-    return base.join(lookup, q(id_col) == F.col("_gid"), "left").drop("_gid")
+    return left_lookup(base, q(id_col), lookup, "_gid")

@@ -141,3 +141,16 @@ def test_route_per_version_templates(spark):
     assert "<field_a>a</field_a>" in rows[0].document and "field_b" not in rows[0].document
     assert 'version="2"' in rows[1].document and "<field_b>b</field_b>" in rows[1].document
     assert (rows[2].outcome, rows[2].reason) == ("ignored", "no_template")
+
+
+def test_rows_without_id_spread_and_never_match_locks(spark):
+    from formwork.operators.importer import NULL_KEY_BUCKETS
+
+    # A lock row whose id equals a possible bucket number must not lock id-less rows.
+    locks = spark.createDataFrame([(b, True) for b in range(NULL_KEY_BUCKETS)], "id bigint, is_locked boolean")
+    df = spark.createDataFrame([(None, None, i, "value", "b") for i in range(50)] + [("7", "uuid:z", 1, "value", "b")],
+                               "id string, instanceID string, org_unit_id bigint, field_a string, field_b string")
+    out = route_import(df, "CREATE_AND_UPDATE", RULES, 3, instances=locks, created_at=1)
+    s = outcome_summary(out).first().asDict()
+    assert s["imported"] == 50 and s["ignored"] == 1  # id 7 is locked; no create row is
+    assert out.count() == 51
