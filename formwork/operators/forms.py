@@ -72,9 +72,19 @@ def explode_choices(metadata: DataFrame, choices_col: str = "choices", keep: tup
 
 
 def join_questions_choices(questions: DataFrame, choices: DataFrame, on: tuple[str, ...] = ("name",)) -> DataFrame:
-    """Left join on the list name; a question without choices keeps null choices,
-    a question with n choices gives n rows."""
-    return questions.join(choices, list(on), "left")
+    """The left join of questions to choices on the list name: a question without
+    choices keeps null choices, a question with n choices gives n rows.
+
+    Written as two parts so that one list holding a large share of all choices cannot
+    stall a task: the inner join (AQE may split a hot key on either side of it) and the
+    questions whose key has no choice, found against the distinct choice keys (the
+    partial aggregate reduces a hot list to one row before the shuffle)."""
+    keys = list(on)
+    matched = questions.join(choices, keys, "inner")
+    choice_keys = choices.select(*keys).distinct()
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in choices.schema.fields if f.name not in keys]
+    unmatched = questions.join(choice_keys, keys, "left_anti").select(*keys, *[c for c in questions.columns if c not in keys], *extra)
+    return matched.unionByName(unmatched)
 
 
 def _labels_by_column(choices: DataFrame, columns: list[str], language: str | None, max_literal: int) -> dict[str, dict[str, str]] | None:
