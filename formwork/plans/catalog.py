@@ -33,6 +33,7 @@ from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, p
 from formwork.operators.validate import (
     Rules,
     check_table_schema,
+    rules_from_rows,
     choice_membership,
     select_rules,
     table_columns,
@@ -607,10 +608,18 @@ ORDER_CHOICES = [("o_orderpriority", p) for p in PRIORITIES] + [("o_orderstatus"
 QUESTION_SCHEMA = "name string, type string, required string, calculation string, constraint string"
 
 
-def order_rules(spark: SparkSession, questions=None, choices=None) -> Rules:
-    qs = spark.createDataFrame(questions or ORDER_QUESTIONS, QUESTION_SCHEMA)
-    cs = spark.createDataFrame(choices or ORDER_CHOICES, "list_name string, label string")
-    return select_rules(qs, cs)
+def order_rules(spark: SparkSession, questions=None, choices=None, from_tables: bool = False) -> Rules:
+    """Rules of the order "form". The rule tables are literal, so they are turned into
+    ``Rules`` on the driver directly; ``from_tables`` goes through DataFrames and
+    ``select_rules`` (P9) as a definition read from storage would."""
+    qrows = questions or ORDER_QUESTIONS
+    crows = ORDER_CHOICES if choices is None else choices
+    if from_tables:
+        qs = spark.createDataFrame(qrows, QUESTION_SCHEMA)
+        cs = spark.createDataFrame(crows, "list_name string, label string")
+        return select_rules(qs, cs)
+    names = QUESTION_SCHEMA.replace(" string", "").split(", ")
+    return rules_from_rows([dict(zip(names, r)) for r in qrows], list(crows))
 
 
 _PRIO_IN = "(" + ", ".join(f"'{p}'" for p in PRIORITIES) + ")"
@@ -635,7 +644,7 @@ def q_validate_rows(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority"), "o_orderkey", "o_orderstatus", "o_totalprice"
     )
-    checked = valid_rows(validate_rows(o, order_rules(spark)), strict=True)
+    checked = valid_rows(validate_rows(o, order_rules(spark, from_tables=True)), strict=True)
     return checked.select(
         "o_orderkey", "total_k", "constraints_validation_summary", "o_orderpriority_choices_valid",
         "o_orderstatus_choices_valid", "choices_validation_summary",
