@@ -105,3 +105,22 @@ def test_replace_labels_join_path(spark):
                                     "name string, choice_value string, choice_label string, language string")
     got = sorted(r.s for r in replace_labels(df, choices, ["s"], max_literal=1).collect())
     assert got == ["3", "one", "two"]
+
+
+def test_join_questions_choices_with_a_hot_list(spark):
+    qs = spark.range(200).selectExpr("concat('q', id) AS name", "'select_one' AS type")
+    hot = spark.range(5000).selectExpr("'q0' AS name", "CAST(id AS STRING) AS choice_value", "'L' AS choice_label")
+    cold = spark.range(1, 100).selectExpr("concat('q', id) AS name", "'1' AS choice_value", "'one' AS choice_label")
+    out = join_questions_choices(qs, hot.unionByName(cold))
+    assert out.count() == 5000 + 99 + 100  # hot list, one choice each for q1..q99, q100..q199 without choices
+    assert out.where("choice_value IS NULL").count() == 100
+    assert out.columns == ["name", "type", "choice_value", "choice_label"]
+
+
+def test_latest_version_with_a_hot_form(spark):
+    # One form holds a third of all rows; the per-form choice still picks its own max.
+    hot = spark.range(30000).selectExpr("'big' AS form_id", "CAST(id % 7 AS STRING) AS version", "id AS v")
+    rest = spark.range(60000).selectExpr("CAST(id % 500 AS STRING) AS form_id", "CAST(id % 3 AS STRING) AS version", "id AS v")
+    out = latest_version(hot.unionByName(rest))
+    assert out.where("form_id = 'big'").count() == len([i for i in range(30000) if i % 7 == 6])
+    assert out.where("form_id <> 'big'").selectExpr("min(version)").first()[0] == "2"
