@@ -16,23 +16,37 @@ MULTIPOLYGON = "MultiPolygon"
 POLYGONS_TYPE = "array<array<array<array<double>>>>"
 
 
+# Schema of a GeoJSON geometry with the coordinates kept as raw JSON text.
+ENVELOPE = "struct<type: string, coordinates: string>"
+
+
+def compat_polygons(polys: Column) -> Column:
+    """D-12 shape: only the first polygon, each of its rings turned into a polygon."""
+    return F.transform(F.element_at(polys, 1), lambda ring: F.array(ring))
+
+
+def assemble_geometry(kind: Column, point: Column, polys: Column) -> Column:
+    """The decoded struct from the type and the parsed coordinates (null if invalid)."""
+    lon, lat = F.element_at(point, 1), F.element_at(point, 2)
+    valid = ((kind == POINT) & (F.size(point) >= 2) & lon.isNotNull() & lat.isNotNull()) | ((kind == MULTIPOLYGON) & polys.isNotNull())
+    return F.when(
+        valid,
+        F.struct(kind.alias("kind"), F.when(kind == POINT, lon).alias("lon"), F.when(kind == POINT, lat).alias("lat"),
+                 F.when(kind == MULTIPOLYGON, polys).alias("polygons")),
+    )
+
+
 def decode_geometry(geojson: Column | str, compat: bool = False) -> Column:
-    """F6. ``compat=True`` keeps the reference's shape for multipolygons (D-12): only
-    the first polygon, each of its rings (holes too) turned into its own polygon."""
+    """F6 as one column expression. ``compat=True`` keeps the reference's shape for
+    multipolygons (D-12). Inside conditional branches Catalyst may evaluate a parse more
+    than once per row; ``operators.geo.decode_geometries`` stages the parses in their
+    own projections and is the faster form for whole frames."""
     g = F.col(geojson) if isinstance(geojson, str) else geojson
-    kind = F.get_json_object(g, "$.type")
-    coords = F.get_json_object(g, "$.coordinates")
-    point = F.from_json(coords, "array<double>")
-    polys = F.from_json(coords, POLYGONS_TYPE)
-    if compat:
-        polys = F.transform(F.element_at(polys, 1), lambda ring: F.array(ring))
-    lon = F.when(kind == POINT, F.element_at(point, 1))
-    lat = F.when(kind == POINT, F.element_at(point, 2))
-    poly = F.when(kind == MULTIPOLYGON, polys)
-    valid = ((kind == POINT) & (F.size(point) >= 2) & lat.isNotNull() & lon.isNotNull()) | (
-        (kind == MULTIPOLYGON) & polys.isNotNull()
-    )
-    return F.when(valid, F.struct(kind.alias("kind"), lon.alias("lon"), lat.alias("lat"), poly.alias("polygons")))
+    env = F.from_json(g, ENVELOPE)
+    kind, coords = env["type"], env["coordinates"]
+    point = F.when(kind == POINT, F.from_json(coords, "array<double>"))
+    polys = F.when(kind == MULTIPOLYGON, F.from_json(coords, POLYGONS_TYPE))
+    return assemble_geometry(kind, point, compat_polygons(polys) if compat else polys)
 
 
 def geometry_json(decoded: Column | str) -> Column:

@@ -3,14 +3,37 @@ rows (F7), GeoJSON features (F8) and shared boundary segments (K9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
-from formwork.functions.geometry import geometry_json
+from formwork.functions.geometry import ENVELOPE, MULTIPOLYGON, POINT, POLYGONS_TYPE, assemble_geometry, compat_polygons, geometry_json
 from formwork.operators.columns import q
 
 
+def decode_geometries(df: DataFrame, source: str | Column = "geometry", target: str = "geometry", compat_target: str | None = None) -> DataFrame:
+    """F6 over a frame: GeoJSON text in ``source`` decoded into ``target`` (and, when
+    asked, the reference's multipolygon shape into ``compat_target``).
+
+    The document is parsed once into (type, raw coordinates), then the coordinates once
+    into the type's array shape, each in its own projection, so every parse runs once
+    per row; Catalyst keeps the stages because each is used more than once."""
+    g = q(source) if isinstance(source, str) else source
+    outputs = {target} | ({compat_target} if compat_target else set())
+    staged = df.select("*", F.from_json(g, ENVELOPE).alias("__geo"))
+    kind, coords = F.col("__geo.type"), F.col("__geo.coordinates")
+    staged = staged.select(
+        "*",
+        F.when(kind == POINT, F.from_json(coords, "array<double>")).alias("__geo_pt"),
+        F.when(kind == MULTIPOLYGON, F.from_json(coords, POLYGONS_TYPE)).alias("__geo_mp"),
+    )
+    pt, mp = F.col("__geo_pt"), F.col("__geo_mp")
+    decoded = [assemble_geometry(kind, pt, mp).alias(target)]
+    if compat_target:
+        decoded.append(assemble_geometry(kind, pt, compat_polygons(mp)).alias(compat_target))
+    return staged.select(*[q(c) for c in df.columns if c not in outputs], *decoded)
+
+
 def polygon_rings(df: DataFrame, id_col: str = "id", geometry_col: str = "geometry", level: str = "vertex") -> DataFrame:
     """polygons of a decoded multipolygon as rows.
 

@@ -26,7 +26,7 @@ from formwork.operators.forms import (
     questions_from_map,
     replace_labels,
 )
-from formwork.operators.geo import geojson_feature, polygon_rings, shared_arcs
+from formwork.operators.geo import decode_geometries, geojson_feature, polygon_rings, shared_arcs
 from formwork.operators.importer import create_outbox, delete_outbox, outcome_summary, route, route_import, update_outbox
 from formwork.operators.onehot import flatten_submissions
 from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, project_org_units
@@ -417,9 +417,8 @@ def q_decode_points(spark, sf_dir):
     """point coordinates, polygon and ring counts; bad JSON and Polygon give null.
     ``compat_polygons`` counts polygons in the reference's shape (one per ring of the
     first polygon)."""
-    g = _geometries(spark, sf_dir, spread_rows=True)
-    d = decode_geometry("geometry")
-    compat = decode_geometry("geometry", compat=True)
+    g = decode_geometries(_geometries(spark, sf_dir, spread_rows=True), "geometry", "geometry", compat_target="compat")
+    d, compat = F.col("geometry"), F.col("compat")
     return g.select(
         "id", d["kind"].alias("kind"), d["lon"].alias("lon"), d["lat"].alias("lat"),
         F.when(d["polygons"].isNotNull(), F.size(d["polygons"])).alias("n_polygons"),
@@ -456,7 +455,7 @@ def _square_text(with_hole: Column | None) -> Column:
 )
 def q_polygon_rings(spark, sf_dir):
     """F6 + F7: multipolygons (squares, some with a hole) to vertex rows."""
-    g = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), decode_geometry(_geometry_text()).alias("geometry"))
+    g = decode_geometries(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), _geometry_text().alias("geometry")))
     return polygon_rings(g, "id", "geometry")
 
 
@@ -469,10 +468,10 @@ def q_polygon_rings(spark, sf_dir):
 def q_geojson_features(spark, sf_dir):
     """O4 + F8 (the K8 line format): features read back field by field."""
     base = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("c_custkey") % 1000).cast("int"))
-    units = table(spark, sf_dir, "customer").select(
+    units = decode_geometries(table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), base.alias("opened"),
-        decode_geometry(_geometry_text()).alias("geometry"),
-    )
+        _geometry_text().alias("geometry"),
+    ))
     feats = geojson_feature(geo_sort(units), "geometry")
     j = F.col("feature")
     return feats.select(
@@ -494,7 +493,7 @@ def q_geojson_features(spark, sf_dir):
 )
 def q_shared_arcs(spark, sf_dir):
     """K9: every customer is a unit square on a 40-wide grid; borders stored once."""
-    g = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), decode_geometry(_square_text(None)).alias("geometry"))
+    g = decode_geometries(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), _square_text(None).alias("geometry")))
     return shared_arcs(g, "id", "geometry")
 
 

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formwork.functions.coerce import cast_expected
-from formwork.functions.geometry import decode_geometry
 from formwork.functions.text import output_name
 from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, sort_by_label
 from formwork.operators.forms import explode_choices, join_questions_choices, latest_version, questions_from_map, replace_labels
+from formwork.operators.geo import decode_geometries
 from formwork.operators.importer import outcome_summary, route_import
 from formwork.operators.onehot import flatten_submissions
 from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, org_unit_type_name, project_org_units
@@ -116,7 +116,7 @@ def extract_org_units(
     out = canonical_columns(units)
     out = canonical_sort(out, list(units.columns)) if sort else out
     if geo_path:
-        geo = out.withColumn("geometry", decode_geometry("geometry")) if "geometry" in out.columns else out
+        geo = decode_geometries(out) if "geometry" in out.columns else out
         write_geojson_lines(geo, geo_path)
     _publish(spark, out, sinks, base=type_name or "", prefix="ou_" if type_name else "orgunits")
     return out

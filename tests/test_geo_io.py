@@ -173,3 +173,12 @@ def test_csv_types_from_first_rows(spark, tmp_dir):
     with pytest.raises(Exception, match="unparsable value"):  # no silent nulls for values past the sample
         sampled.collect()
     assert dict(read_submissions(spark, f"{tmp_dir}/s.csv").dtypes)["a"] == "string"
+
+
+def test_staged_decoding_equals_the_column_form(spark):
+    from formwork.operators.geo import decode_geometries
+
+    staged = {r.id: (r.geometry, r.compat) for r in decode_geometries(geoms(spark), compat_target="compat").collect()}
+    inline = {r.id: (r.g, r.c) for r in geoms(spark).select("id", decode_geometry("geometry").alias("g"),
+                                                             decode_geometry("geometry", compat=True).alias("c")).collect()}
+    assert staged == inline
