@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formwork.functions.geometry import decode_geometry
 from formwork.functions.rules import calculate, check_constraint
 from formwork.functions.text import KEEP_CLASS, WHITESPACE_CLASS, clean_string, strip_strings
 from formwork.functions.coerce import TYPE_NAMES, flatten_for_text, text_to_number

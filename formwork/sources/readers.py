@@ -17,7 +17,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from formwork.functions.text import strip_strings
 from formwork.operators.forms import latest_version
-from formwork.operators.validate import table_columns  # noqa: F401  (S6 lives with V5)
 
 SUBMISSION_SUFFIXES = (".csv", ".parquet")
 

@@ -144,7 +144,7 @@ def test_route_per_version_templates(spark):
 
 
 def test_rows_without_id_spread_and_never_match_locks(spark):
-    from formwork.operators.importer import NULL_KEY_BUCKETS
+    from formwork.operators.lookup import NULL_KEY_BUCKETS
 
     # A lock row whose id equals a possible bucket number must not lock id-less rows.
     locks = spark.createDataFrame([(b, True) for b in range(NULL_KEY_BUCKETS)], "id bigint, is_locked boolean")
