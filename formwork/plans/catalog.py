@@ -305,7 +305,7 @@ _ORG_BASE_SQL = "(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER))"
 @register(
     "org_unit_projection",
     f"""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS org_unit_type,
-               c_acctbal / 1000 AS latitude, n_nationkey * 1.5 AS longitude,
+               c_acctbal / 1000 AS latitude, CAST(n_nationkey AS DOUBLE) * 1.5 AS longitude,
                {_ORG_BASE_SQL} AS opening_date,
                CASE WHEN c_acctbal < 0 THEN {_ORG_BASE_SQL} + 400 END AS closing_date,
                CAST({_ORG_BASE_SQL} AS TIMESTAMP) + to_hours(CAST(c_custkey % 24 AS BIGINT)) + to_minutes(CAST(c_custkey % 60 AS BIGINT)) AS created_at,
@@ -899,7 +899,8 @@ def q_import_summary(spark, sf_dir):
 @register(
     "flatten_text",
     """SELECT event_id, CAST(ts AS VARCHAR) AS ts, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, CAST(value > 100 AS INTEGER) AS big,
-              to_json(string_split(event_type, 'i')) AS parts, to_json({'user_id': user_id, 'event_type': event_type}) AS who
+              CAST(to_json(string_split(event_type, 'i')) AS VARCHAR) AS parts,
+              CAST(to_json({'user_id': user_id, 'event_type': event_type}) AS VARCHAR) AS who
        FROM events""",
 )
 def q_flatten_text(spark, sf_dir):
