@@ -416,7 +416,7 @@ def q_decode_points(spark, sf_dir):
     """point coordinates, polygon and ring counts; bad JSON and Polygon give null.
     ``compat_polygons`` counts polygons in the reference's shape (one per ring of the
     first polygon)."""
-    g = decode_geometries(_geometries(spark, sf_dir, spread_rows=True), "geometry", "geometry", compat_target="compat")
+    g = decode_geometries(_geometries(spark, sf_dir), "geometry", "geometry", compat_target="compat")
     d, compat = F.col("geometry"), F.col("compat")
     return g.select(
         "id", d["kind"].alias("kind"), d["lon"].alias("lon"), d["lat"].alias("lat"),

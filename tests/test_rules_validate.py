@@ -188,3 +188,12 @@ def test_numeric_ids_accepted(spark):  # D-24
     r = Rules([])
     ok, _, invalid = validate_structure(spark, spark.createDataFrame([(5,)], "id bigint"), r, "DELETE")
     assert ok and not invalid
+
+
+def test_round_half_up_matches_spark_round(spark):
+    from formwork.functions.rules import round_half_up
+
+    vals = [0.5, 1.5, 2.5, -0.5, -2.5, 0.49999999999999994, 2.4999999999999996, 1e15 + 0.5, 1e300, -0.0, 3.7, -3.7]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    rows = df.select(F.round("x", 0).alias("a"), round_half_up(F.col("x")).alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
