@@ -169,7 +169,8 @@ class _Parser:
 
 def formula_column(formula: str, columns: set[str] | dict) -> Column:
     """Translate a formula to a double-valued column; raises ``FormulaError``.
-    ``columns`` is the set of column names, or a name -> Spark type dict."""
+    ``columns`` is a name -> Spark type dict (numeric fields are used as they are), or
+    a set of names (every field is then treated as text and parsed)."""
     text = formula.strip()
     if text in ("0", "0.0"):
         return F.lit(0.0)

@@ -564,7 +564,7 @@ def q_calculate(spark, sf_dir):
         F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") < 3), F.lit(0.0)).otherwise(F.col("l_quantity")).alias("qz"),
         F.when(F.col("l_returnflag") == "R", F.lit(None)).otherwise(F.col("l_quantity")).alias("qn"),
     )
-    cols = set(li.columns)
+    cols = {f.name: f.dataType for f in li.schema.fields}  # types let numeric fields skip the text path
     return li.select(
         "l_orderkey", "l_linenumber",
         calculate("round(${l_extendedprice} div ${qz}, 0)", cols)[0].alias("unit_price"),
