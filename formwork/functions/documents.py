@@ -158,7 +158,8 @@ def create_payload(df: DataFrame, uuid: Column, form_id: int, created_at: int, d
     return F.to_json(
         F.struct(
             uuid.alias("id"),
-            coerce_int(_c("org_unit_id")).alias("orgUnitId"),
+            (coerce_int(_c("org_unit_id"), df.schema["org_unit_id"].dataType) if "org_unit_id" in df.columns
+             else F.lit(None).cast("bigint")).alias("orgUnitId"),
             F.lit(int(created_at)).cast("bigint").alias("created_at"),
             F.lit(int(form_id)).alias("formId"),
             number_or_zero(df, "accuracy", 0).alias("accuracy"),
