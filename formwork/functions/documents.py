@@ -26,7 +26,6 @@ INSTANCE_LINE = "        <instanceID>uuid:"
 INSTANCE_CLOSE = "</instanceID>"
 META_CLOSE = "</meta>"
 ROOT_CLOSE = "</data>"
-EDITOR_INDENT = "    "
 
 
 def _c(c: Column | str) -> Column:
