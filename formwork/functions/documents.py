@@ -42,17 +42,21 @@ def xml_attr(c: Column) -> Column:
     return F.replace(xml_text(c), F.lit('"'), F.lit("&quot;"))
 
 
-def value_text(df: DataFrame, name: str) -> Column:
-    """Text of a field as Python would print it; null is the empty string."""
-    field = df.schema[name]
+def value_text(data_type, name: str) -> Column:
+    """Text of a field of type ``data_type`` as Python would print it; null is the
+    empty string."""
     c = _c(name)
-    if isinstance(field.dataType, BooleanType):
+    if isinstance(data_type, BooleanType):
         c = F.when(c, F.lit("True")).when(~c, F.lit("False"))
-    elif not isinstance(field.dataType, StringType):
+    elif not isinstance(data_type, StringType):
         c = c.cast("string")
     return F.coalesce(c, F.lit(""))
 
 
+def _types(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
 def _as_col(v: Column | str | int | None) -> Column:
     if isinstance(v, Column):
         return v
@@ -79,8 +83,9 @@ def render_submission(
         xml_attr(_as_col(version)),
         F.lit('">\n' + (f"{GROUP_INDENT}<{group}>" if group else "") + "\n"),
     ]
+    types = _types(df)
     for name in fields:
-        parts += [F.lit(f"{FIELD_INDENT}<{name}>"), xml_text(value_text(df, name)), F.lit(f"</{name}>\n")]
+        parts += [F.lit(f"{FIELD_INDENT}<{name}>"), xml_text(value_text(types[name], name)), F.lit(f"</{name}>\n")]
     parts += [
         F.lit((f"{GROUP_INDENT}</{group}>" if group else "") + "\n" + META_OPEN + "\n" + INSTANCE_LINE),
         xml_text(uuid),
@@ -113,8 +118,9 @@ def enrich_submission(
         xml_attr(instance.cast("string")),
         F.lit('">\n' + (f"{GROUP_INDENT}<{group}>" if group else "") + "\n"),
     ]
+    types = _types(df)
     for name in fields:
-        text = xml_text(value_text(df, name))
+        text = xml_text(value_text(types[name], name))
         parts.append(
             F.when(text == "", F.lit(f"{FIELD_INDENT}<{name} />\n")).otherwise(
                 F.concat(F.lit(f"{FIELD_INDENT}<{name}>"), text, F.lit(f"</{name}>\n"))
