@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from formwork.functions.coerce import flatten_for_text
@@ -17,15 +17,23 @@ FORMATS = ("csv", "parquet", "json")
 MANIFEST = "_versions"
 
 
-def write_file(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", single_file: bool = False) -> None:
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """A5 without a second pass: the row count is observed while the frame is written."""
+    obs = Observation("rows_written")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def write_file(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", single_file: bool = False) -> int:
     """K1: CSV (with header; nested, temporal and boolean columns flattened first, F17),
     Parquet or JSON lines. The output is a folder of part files; ``single_file`` asks
-    for one part (one task writes everything: only for small outputs)."""
+    for one part (one task writes everything: only for small outputs). Returns the
+    number of rows written, counted during the write."""
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}; expected one of {FORMATS}")
     out = flatten_for_text(df) if fmt == "csv" else df
     if single_file:
         out = out.coalesce(1)
+    out, obs = _counted(out)
     writer = out.write.mode(mode)
     if fmt == "csv":
         writer.option("header", True).csv(path)
@@ -33,19 +41,23 @@ def write_file(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", sing
         writer.parquet(path)
     else:
         writer.json(path)
+    return int(obs.get["rows"])
 
 
-def write_table(spark: SparkSession, df: DataFrame, table: str, mode: str = "replace") -> None:
+def write_table(spark: SparkSession, df: DataFrame, table: str, mode: str = "replace") -> int:
     """K2: replace (default) or append a catalog table. Appends are checked first (V5)
-    and matched by column name, not position."""
+    and matched by column name, not position. Returns the number of rows written."""
     if mode not in ("replace", "append"):
         raise ValueError("mode must be 'replace' or 'append'")
     if mode == "append" and table_columns(spark, table):
         check_table_schema(spark, df, table)
         cols = table_columns(spark, table)
-        df.select(*[q(c) for c in cols if c in df.columns]).write.mode("append").saveAsTable(table)
-        return
-    df.write.mode("overwrite").saveAsTable(table)
+        out, obs = _counted(df.select(*[q(c) for c in cols if c in df.columns]))
+        out.write.mode("append").saveAsTable(table)
+        return int(obs.get["rows"])
+    out, obs = _counted(df)
+    out.write.mode("overwrite").saveAsTable(table)
+    return int(obs.get["rows"])
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:

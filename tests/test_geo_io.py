@@ -105,7 +105,7 @@ def test_snapshot_written_once(spark, tmp_dir):
 
 def test_read_submissions_rules(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a", ["x"])], "org_unit_id long, f string, l array<string>")
-    write_file(df, f"{tmp_dir}/subs.csv", "csv")  # arrays flattened to JSON text (F17)
+    assert write_file(df, f"{tmp_dir}/subs.csv", "csv") == 1  # arrays flattened to JSON text (F17); rows observed
     back = read_submissions(spark, f"{tmp_dir}/subs.csv")
     assert back.first().l == '["x"]' and dict(back.dtypes)["org_unit_id"] == "int"
     with pytest.raises(ValueError):
@@ -154,8 +154,8 @@ def test_write_table_replace_and_append(spark):
     from formwork.sinks.writers import write_table
 
     spark.sql("DROP TABLE IF EXISTS fw_subs")
-    write_table(spark, spark.createDataFrame([(1, "a")], "x int, y string"), "fw_subs")
-    write_table(spark, spark.createDataFrame([("b", 2)], "y string, x int"), "fw_subs", "append")  # by name
+    assert write_table(spark, spark.createDataFrame([(1, "a")], "x int, y string"), "fw_subs") == 1
+    assert write_table(spark, spark.createDataFrame([("b", 2)], "y string, x int"), "fw_subs", "append") == 1  # by name
     got = sorted(tuple(r) for r in spark.table("fw_subs").collect())
     assert got == [(1, "a"), (2, "b")] and row_count(spark.table("fw_subs")) == 2 and not is_empty(spark.table("fw_subs"))
     with pytest.raises(ValueError):  # V5 before an append
