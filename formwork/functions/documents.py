@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType
+from pyspark.sql.types import BooleanType, DoubleType, FloatType, StringType
 
 from formwork.functions.coerce import coerce_int, number_or_zero
 
@@ -42,12 +42,39 @@ def xml_attr(c: Column) -> Column:
     return F.replace(xml_text(c), F.lit('"'), F.lit("&quot;"))
 
 
+def python_float_text(c: Column) -> Column:
+    """A double as Python prints it (``repr``): fixed notation from 1e-4 up to 1e16,
+    otherwise ``1.5e-07`` / ``1e+16``; ``nan``, ``inf``. Spark's own text switches to
+    exponent form already at 1e7 and below 1e-3, so its exponent form is rewritten:
+    the mantissa digits are shifted for exponents -4..15, or re-spelled otherwise."""
+    text = c.cast("string")
+    parts = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
+    sign, lead = F.regexp_extract(text, parts, 1), F.regexp_extract(text, parts, 2)
+    frac = F.regexp_extract(text, parts, 3)
+    frac = F.when(frac == "0", F.lit("")).otherwise(frac)
+    exp = F.regexp_extract(text, parts, 4).cast("int")
+    digits = F.concat(lead, frac)
+    n_int = exp + 1
+    large = F.when(
+        F.length(digits) <= n_int, F.concat(sign, F.rpad(digits, n_int, "0"), F.lit(".0"))
+    ).otherwise(F.concat(sign, F.substring(digits, F.lit(1), n_int), F.lit("."), F.substring(digits, n_int + 1, F.length(digits))))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    sci = F.concat(sign, lead, F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)), F.lit("e"),
+                   F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string")))
+    rewritten = F.when(exp.between(7, 15), large).when(exp.between(-4, -1), small).otherwise(sci)
+    special = F.when(F.isnan(c), F.lit("nan")).when(c == float("inf"), F.lit("inf")).when(c == float("-inf"), F.lit("-inf"))
+    return F.coalesce(special, F.when(text.contains("E"), rewritten).otherwise(text))
+
+
 def value_text(data_type, name: str) -> Column:
     """Text of a field of type ``data_type`` as Python would print it; null is the
     empty string."""
     c = _c(name)
     if isinstance(data_type, BooleanType):
         c = F.when(c, F.lit("True")).when(~c, F.lit("False"))
+    elif isinstance(data_type, (DoubleType, FloatType)):
+        c = python_float_text(c.cast("double"))
     elif not isinstance(data_type, StringType):
         c = c.cast("string")
     return F.coalesce(c, F.lit(""))

@@ -2,6 +2,8 @@ import json
 import xml.etree.ElementTree as ET
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from formwork.functions.documents import instance_uuid
@@ -154,3 +156,20 @@ def test_rows_without_id_spread_and_never_match_locks(spark):
     s = outcome_summary(out).first().asDict()
     assert s["imported"] == 50 and s["ignored"] == 1  # id 7 is locked; no create row is
     assert out.count() == 51
+
+
+DECIMAL_LIKE = st.builds(lambda m, e: m * 10.0 ** e, st.integers(-(10**12), 10**12), st.integers(-20, 20))
+EDGES = st.sampled_from([1e7, 12345678.5, 1e15, 1e16, 1.5e-5, 5.5e-4, 1e-4, 0.001, 123.0, -2.5e-7, 1e300, 1e100,
+                         float("nan"), float("inf"), float("-inf"), -0.0])
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(DECIMAL_LIKE | EDGES, min_size=5, max_size=40))
+def test_document_numbers_print_like_python(spark, values):
+    # Values with up to 12 significant digits, as form answers are; for 17-digit values
+    # the JVM's double-to-text (before JDK 19) can print one digit more than Python.
+    from formwork.functions.documents import python_float_text
+
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r.t for r in df.select(python_float_text(F.col("x")).alias("t")).collect()]
+    assert got == [repr(v) for v in values]
