@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, FloatType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, StringType, TimestampNTZType, TimestampType
 
 from formwork.functions.coerce import coerce_int, number_or_zero
 
@@ -43,28 +43,33 @@ def xml_attr(c: Column) -> Column:
 
 
 def python_float_text(c: Column) -> Column:
-    """A double as Python prints it (``repr``): fixed notation from 1e-4 up to 1e16,
-    otherwise ``1.5e-07`` / ``1e+16``; ``nan``, ``inf``. Spark's own text switches to
-    exponent form already at 1e7 and below 1e-3, so its exponent form is rewritten:
-    the mantissa digits are shifted for exponents -4..15, or re-spelled otherwise."""
-    text = c.cast("string")
-    parts = r"^(-?)([0-9])\.([0-9]+)E(-?[0-9]+)$"
+    """A double as Python prints it (``repr``): the shortest text that reads back as
+    the same double, in fixed notation from 1e-4 up to 1e16 and as ``1.5e-07`` /
+    ``1e+16`` otherwise; ``nan``, ``inf``, ``-inf``.
+
+    The digits come from formatting with 15, 16 and then 17 significant digits and
+    keeping the first that reads back exactly (the JVM's own double-to-text is not
+    always the shortest before JDK 19); the layout is then rebuilt from sign, leading
+    digit, remaining digits and exponent."""
+    candidates = [F.format_string(f"%.{p}e", c) for p in (14, 15, 16)]
+    text = F.when(candidates[0].cast("double") == c, candidates[0]).when(
+        candidates[1].cast("double") == c, candidates[1]).otherwise(candidates[2])
+    parts = r"^(-?)([0-9])\.([0-9]+)e([+-][0-9]+)$"
     sign, lead = F.regexp_extract(text, parts, 1), F.regexp_extract(text, parts, 2)
-    frac = F.regexp_extract(text, parts, 3)
-    frac = F.when(frac == "0", F.lit("")).otherwise(frac)
+    frac = F.regexp_replace(F.regexp_extract(text, parts, 3), "0+$", "")
     exp = F.regexp_extract(text, parts, 4).cast("int")
     digits = F.concat(lead, frac)
     n_int = exp + 1
-    large = F.when(
+    fixed = F.when(
         F.length(digits) <= n_int, F.concat(sign, F.rpad(digits, n_int, "0"), F.lit(".0"))
     ).otherwise(F.concat(sign, F.substring(digits, F.lit(1), n_int), F.lit("."), F.substring(digits, n_int + 1, F.length(digits))))
     small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
     sci = F.concat(sign, lead, F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)), F.lit("e"),
                    F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
                    F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string")))
-    rewritten = F.when(exp.between(7, 15), large).when(exp.between(-4, -1), small).otherwise(sci)
-    special = F.when(F.isnan(c), F.lit("nan")).when(c == float("inf"), F.lit("inf")).when(c == float("-inf"), F.lit("-inf"))
-    return F.coalesce(special, F.when(text.contains("E"), rewritten).otherwise(text))
+    finite = F.when(exp.between(0, 15), fixed).when(exp.between(-4, -1), small).otherwise(sci)
+    return F.when(F.isnan(c), F.lit("nan")).when(c == float("inf"), F.lit("inf")).when(
+        c == float("-inf"), F.lit("-inf")).otherwise(finite)
 
 
 def value_text(data_type, name: str) -> Column:
@@ -75,6 +80,12 @@ def value_text(data_type, name: str) -> Column:
         c = F.when(c, F.lit("True")).when(~c, F.lit("False"))
     elif isinstance(data_type, (DoubleType, FloatType)):
         c = python_float_text(c.cast("double"))
+    elif isinstance(data_type, (TimestampType, TimestampNTZType)):
+        # Python prints microseconds as six digits when there are any.
+        c = F.regexp_replace(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.000000$", "")
+    elif isinstance(data_type, ArrayType) and isinstance(data_type.elementType, StringType):
+        quoted = F.transform(c, lambda x: F.when(x.isNull(), F.lit("None")).otherwise(F.concat(F.lit("'"), x, F.lit("'"))))
+        c = F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
     elif not isinstance(data_type, StringType):
         c = c.cast("string")
     return F.coalesce(c, F.lit(""))

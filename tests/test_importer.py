@@ -164,12 +164,24 @@ EDGES = st.sampled_from([1e7, 12345678.5, 1e15, 1e16, 1.5e-5, 5.5e-4, 1e-4, 0.00
 
 
 @settings(max_examples=12, deadline=None)
-@given(st.lists(DECIMAL_LIKE | EDGES, min_size=5, max_size=40))
+@given(st.lists(DECIMAL_LIKE | EDGES | st.floats(), min_size=5, max_size=40))
 def test_document_numbers_print_like_python(spark, values):
-    # Values with up to 12 significant digits, as form answers are; for 17-digit values
-    # the JVM's double-to-text (before JDK 19) can print one digit more than Python.
     from formwork.functions.documents import python_float_text
 
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = [r.t for r in df.select(python_float_text(F.col("x")).alias("t")).collect()]
     assert got == [repr(v) for v in values]
+
+
+def test_document_values_print_like_python(spark):
+    import datetime
+
+    from formwork.functions.documents import value_text
+
+    rows = [(datetime.datetime(2024, 1, 2, 3, 4, 5, 120), datetime.date(2024, 1, 2), ["a", None, "b"], True, 7),
+            (datetime.datetime(2024, 1, 2, 3, 4, 5), None, [], False, None)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, d date, l array<string>, b boolean, i bigint")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    got = [tuple(r) for r in df.select(*[value_text(types[c], c).alias(c) for c in df.columns]).collect()]
+    expected = [tuple("" if v is None else str(v) for v in r) for r in rows]
+    assert got == expected
