@@ -42,34 +42,46 @@ def xml_attr(c: Column) -> Column:
     return F.replace(xml_text(c), F.lit('"'), F.lit("&quot;"))
 
 
-def python_float_text(c: Column) -> Column:
-    """A double as Python prints it (``repr``): the shortest text that reads back as
-    the same double, in fixed notation from 1e-4 up to 1e16 and as ``1.5e-07`` /
-    ``1e+16`` otherwise; ``nan``, ``inf``, ``-inf``.
-
-    The digits come from formatting with 15, 16 and then 17 significant digits and
-    keeping the first that reads back exactly (the JVM's own double-to-text is not
-    always the shortest before JDK 19); the layout is then rebuilt from sign, leading
-    digit, remaining digits and exponent."""
-    candidates = [F.format_string(f"%.{p}e", c) for p in (14, 15, 16)]
-    text = F.when(candidates[0].cast("double") == c, candidates[0]).when(
-        candidates[1].cast("double") == c, candidates[1]).otherwise(candidates[2])
-    parts = r"^(-?)([0-9])\.([0-9]+)e([+-][0-9]+)$"
+def _python_layout(text: Column) -> Column:
+    """Python's layout of a number given as ``d.ddde±x`` text."""
+    parts = r"^(-?)([0-9])(?:\.([0-9]+))?e([+-][0-9]+)$"
     sign, lead = F.regexp_extract(text, parts, 1), F.regexp_extract(text, parts, 2)
     frac = F.regexp_replace(F.regexp_extract(text, parts, 3), "0+$", "")
-    exp = F.regexp_extract(text, parts, 4).cast("int")
+    exp = F.regexp_extract(text, parts, 4).try_cast("int")
     digits = F.concat(lead, frac)
     n_int = exp + 1
     fixed = F.when(
         F.length(digits) <= n_int, F.concat(sign, F.rpad(digits, n_int, "0"), F.lit(".0"))
     ).otherwise(F.concat(sign, F.substring(digits, F.lit(1), n_int), F.lit("."), F.substring(digits, n_int + 1, F.length(digits))))
     small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    magnitude = F.abs(exp).cast("string")
     sci = F.concat(sign, lead, F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)), F.lit("e"),
                    F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string"))).otherwise(F.abs(exp).cast("string")))
-    finite = F.when(exp.between(0, 15), fixed).when(exp.between(-4, -1), small).otherwise(sci)
-    return F.when(F.isnan(c), F.lit("nan")).when(c == float("inf"), F.lit("inf")).when(
-        c == float("-inf"), F.lit("-inf")).otherwise(finite)
+                   F.when(F.length(magnitude) < 2, F.concat(F.lit("0"), magnitude)).otherwise(magnitude))
+    return F.when(exp.between(0, 15), fixed).when(exp.between(-4, -1), small).otherwise(sci)
+
+
+def python_float_text(c: Column) -> Column:
+    """A double as Python prints it (``repr``): the shortest text that reads back as
+    the same double, in fixed notation from 1e-4 up to 1e16 and as ``1.5e-07`` /
+    ``1e+16`` otherwise; ``nan``, ``inf``, ``-inf``.
+
+    The digits come from formatting with 1, 2, ... 17 significant digits and keeping
+    the first that reads back exactly, i.e. the shortest (the JVM's own double-to-text
+    is not always the shortest before JDK 19). Higher-order functions bind each intermediate
+    text once, so the expression stays small however often it is used.
+
+    Fast path: from 1e-3 up to 1e7 Spark's own text is already fixed notation, and
+    with at most 15 digits it is the shortest one, so typical answers (4.4, 12.75)
+    skip the formatting."""
+    plain = c.cast("string")
+    fast = (c == 0) | ((F.abs(c) >= 1e-3) & (F.abs(c) < 1e7) & (F.length(F.regexp_replace(plain, "[^0-9]", "")) <= 15))
+    candidates = F.array(*[F.format_string(f"%.{p}e", c) for p in range(17)])
+    exact = F.filter(candidates, lambda t: t.cast("double") == c)
+    chosen = F.coalesce(F.try_element_at(exact, F.lit(1)), F.try_element_at(candidates, F.lit(17)))
+    laid_out = F.try_element_at(F.transform(F.array(chosen), _python_layout), F.lit(1))
+    return F.when(fast, plain).when(F.isnan(c), F.lit("nan")).when(c == float("inf"), F.lit("inf")).when(
+        c == float("-inf"), F.lit("-inf")).otherwise(laid_out)
 
 
 def value_text(data_type, name: str) -> Column:

@@ -163,8 +163,8 @@ EDGES = st.sampled_from([1e7, 12345678.5, 1e15, 1e16, 1.5e-5, 5.5e-4, 1e-4, 0.00
                          float("nan"), float("inf"), float("-inf"), -0.0])
 
 
-@settings(max_examples=12, deadline=None)
-@given(st.lists(DECIMAL_LIKE | EDGES | st.floats(), min_size=5, max_size=40))
+@settings(max_examples=20, deadline=None)
+@given(st.lists(DECIMAL_LIKE | EDGES | st.floats() | st.floats(min_value=1e-3, max_value=1e7), min_size=5, max_size=60))
 def test_document_numbers_print_like_python(spark, values):
     from formwork.functions.documents import python_float_text
 
