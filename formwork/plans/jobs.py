@@ -22,9 +22,9 @@ from formwork.operators.geo import decode_geometries
 from formwork.operators.importer import outcome_summary, route_import
 from formwork.operators.onehot import flatten_submissions
 from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, org_unit_type_name, project_org_units
-from formwork.operators.validate import Rules, check_table_schema, validate_rows, validate_structure
+from formwork.operators.validate import Rules, check_table_schema, select_rules, validate_rows, validate_structure
 from formwork.sinks.writers import snapshot_if_changed, write_file, write_geojson_lines, write_table
-from formwork.sources.readers import read_form_metadata, read_form_submissions, read_org_units, read_submissions
+from formwork.sources.readers import read_form_definition, read_form_metadata, read_form_submissions, read_org_units, read_submissions
 
 
 @dataclass
@@ -143,6 +143,36 @@ def extract_form_metadata(
     return sheet
 
 
+MAX_VERSIONS = 1000
+
+
+def definition_rules(spark: SparkSession, definition_path: str, version: str | None = None, fmt: str = "parquet") -> Rules:
+    """S5 + P9: the rules of one version (default: the latest) of a stored definition."""
+    questions = read_form_definition(spark, definition_path, "questions", version, fmt)
+    try:
+        choices = read_form_definition(spark, definition_path, "choices", version, fmt)
+    except FileNotFoundError:
+        choices = None
+    return select_rules(questions, choices)
+
+
+def rules_per_version(spark: SparkSession, submissions: DataFrame, definition_path: str, fmt: str = "parquet",
+                      version_col: str = "form_version") -> dict[str, Rules]:
+    """J5 inputs: the rules of every distinct version present in the submissions (one
+    definition read per version, like the reference's one fetch per version). The
+    distinct versions come from an aggregate and at most ``MAX_VERSIONS`` are taken."""
+    versions = [r[0] for r in submissions.select(F.col(version_col).cast("string")).where(F.col(version_col).isNotNull())
+                .distinct().limit(MAX_VERSIONS + 1).collect()]
+    if len(versions) > MAX_VERSIONS:
+        raise ValueError(f"more than {MAX_VERSIONS} form versions in the submissions")
+    out = {}
+    for v in sorted(versions):
+        rules = definition_rules(spark, definition_path, v, fmt)
+        if rules.questions:  # a version without a definition has no template (J5)
+            out[v] = rules
+    return out
+
+
 @dataclass
 class ImportResult:
     outbox: DataFrame
@@ -154,10 +184,11 @@ class ImportResult:
 def import_submissions(
     spark: SparkSession,
     path: str,
-    rules: Rules,
+    rules: Rules | None,
     strategy: str,
     form_id: int,
     *,
+    definition_path: str | None = None,
     rules_by_version: dict[str, Rules] | None = None,
     instances: DataFrame | None = None,
     editor: int | None = None,
@@ -170,9 +201,16 @@ def import_submissions(
     outbox_path: str | None = None,
 ) -> ImportResult:
     """§3.3: S1 -> V1 (strict: raise on errors) -> F15 -> V2 (no ``form_version``) ->
-    K7 -> A3. The outbox is written partitioned by outcome when ``outbox_path`` is
+    K7 -> A3. Rules are given, or read from ``definition_path`` (S5 + P9): the latest
+    version for the structure check, and one per distinct ``form_version`` (J5). The outbox is written partitioned by outcome when ``outbox_path`` is
     given, then the summary is read from what was written (one pass over the data)."""
     df = read_submissions(spark, path)
+    if rules is None:
+        if definition_path is None:
+            raise ValueError("rules or a definition path are needed")
+        rules = definition_rules(spark, definition_path)
+        if rules_by_version is None and "form_version" in df.columns:
+            rules_by_version = rules_per_version(spark, df, definition_path)
     ok, findings, invalid = validate_structure(spark, df, rules, strategy)
     if not ok and strict:
         messages = [r.message for r in findings.where(F.col("severity") == "error").collect()]

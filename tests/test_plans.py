@@ -65,3 +65,21 @@ def test_import_submissions_job(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/outbox/outcome=imported").count() == 2
     with pytest.raises(ValueError):
         import_submissions(spark, f"{tmp_dir}/create.csv", RULES, "CREATE", 11, strict=True)
+
+
+def test_import_with_stored_definitions_per_version(spark, tmp_dir):
+    qs = spark.createDataFrame(
+        [("v1", "field_a", "text", None, None, "regex(., 'value')"), ("v2", "field_a", "text", None, None, None),
+         ("v2", "field_b", "text", None, None, None)],
+        "form_version string, name string, type string, required string, calculation string, constraint string")
+    qs.write.parquet(f"{tmp_dir}/def/questions")
+    spark.createDataFrame([("v1", "x", "X")], "form_version string, list_name string, label string").write.parquet(f"{tmp_dir}/def/choices")
+    big = 3_000_000_000  # ids past the int range are inferred as bigint, as the structure check expects
+    csv = "org_unit_id,form_version,field_a,field_b\n" + "\n".join(
+        f"{big + i},{v},{a},b" for i, v, a in ((1, "v1", "value1"), (2, "v1", "bad"), (3, "v2", "bad"), (4, "v3", "value"))) + "\n"
+    with open(f"{tmp_dir}/v.csv", "w") as fh:
+        fh.write(csv)
+    res = import_submissions(spark, f"{tmp_dir}/v.csv", None, "CREATE", 5, definition_path=f"{tmp_dir}/def", strict=True, created_at=1)
+    rows = {r.org_unit_id - big: (r.outcome, r.reason) for r in res.outbox.collect()}
+    # v1 checks its constraint, v2 has none, v3 has no definition.
+    assert rows == {1: ("imported", None), 2: ("ignored", "invalid"), 3: ("imported", None), 4: ("ignored", "no_template")}
