@@ -44,6 +44,7 @@ from formwork.operators.validate import (
 from formwork.session import scratch_path
 from formwork.sinks.writers import MANIFEST, snapshot_if_changed, write_file
 from formwork.sources.readers import read_form_submissions, read_org_units, read_submissions, spread
+from formwork.streaming.incremental import run_incremental_extract
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -191,7 +192,13 @@ def q_replace_labels(spark, sf_dir):
 def q_submissions_extract(spark, sf_dir):
     """The submissions extract end to end: S2 + P7 + J3 + P4 + F3 + P5 + P3 + O1."""
     ev = read_form_submissions(spark, f"{sf_dir.rstrip('/')}/events.parquet", since="2024-01-15", updated_col="ts")
-    raw = ev.select(
+    labelled = replace_labels(_event_submissions(ev), _event_choices(spark).withColumn("name", F.lit("Type d'événement")), ["Type d'événement"], "French")
+    return flatten_submissions(clean_column_names(labelled))
+
+
+def _event_submissions(ev: DataFrame) -> DataFrame:
+    """Events as form submissions: messy headings, a multi-select answer."""
+    return ev.select(
         F.col("event_id").alias("instanceID"),
         F.col("event_type").alias("Type d'événement"),
         F.col("value").alias("Valeur"),
@@ -199,8 +206,26 @@ def q_submissions_extract(spark, sf_dir):
         F.split(F.concat_ws(" ", "event_type", F.when(F.col("value") > 100, "gros").otherwise("petit")), " ").alias("Étiquettes"),
         F.col("ts").alias("updated_at"),
     )
-    labelled = replace_labels(raw, _event_choices(spark).withColumn("name", F.lit("Type d'événement")), ["Type d'événement"], "French")
-    return flatten_submissions(clean_column_names(labelled))
+
+
+# Fixed rule table: the choice list of the multi-select answer (from the form, not the data).
+EVENT_TAGS = ["click", "error", "gros", "petit", "purchase", "signup", "view"]
+
+
+@register("incremental_extract", ORACLE["submissions_extract"])
+def q_incremental_extract(spark, sf_dir):
+    """The submissions extract as a Structured Streaming run (file source,
+    ``availableNow``, checkpoint under the shared checkpoint folder); flag columns come
+    from the form's choice list. Returns what the run appended to its sink."""
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    root = scratch_path(spark, "incremental")
+    labels = _event_choices(spark).withColumn("name", F.lit("Type d'événement"))
+    run_incremental_extract(
+        spark, f"{sf_dir.rstrip('/')}/events.parque[t]", f"{root}/out", f"{root}/checkpoint", spark.read.parquet(path).schema,
+        {"etiquettes": EVENT_TAGS}, since="2024-01-15", updated_col="ts", prepare=_event_submissions, choices=labels,
+        base_path=sf_dir.rstrip("/"),
+    )
+    return spark.read.parquet(f"{root}/out")
 
 
 # ---------------------------------------------------------------------------

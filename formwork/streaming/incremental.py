@@ -14,6 +14,8 @@ columns. The global sort (O1) is a batch-only step and is not applied.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -35,15 +37,23 @@ def submissions_stream(
     since: str | None = None,
     updated_col: str = "updated_at",
     max_files_per_trigger: int | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    base_path: str | None = None,
 ) -> DataFrame:
     """The flattened submissions as a streaming frame. ``categories`` is keyed by the
-    cleaned list-column name."""
+    cleaned list-column name; ``prepare`` maps the landed files' columns to the
+    submission columns (applied after the cut-off on ``updated_col``). ``source_dir``
+    may be a glob of files below ``base_path``."""
     reader = spark.readStream.schema(schema)
+    if base_path:
+        reader = reader.option("basePath", base_path)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     subs = reader.parquet(source_dir)
     if since:
         subs = updated_since(subs, since, updated_col)
+    if prepare is not None:
+        subs = prepare(subs)
     if choices is not None:
         subs = replace_labels(subs, choices, language=language)
     named = clean_column_names(subs)
