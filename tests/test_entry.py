@@ -40,3 +40,11 @@ def test_aggregates_combine_before_shuffling(spark):
         if "HashAggregate" in plan or "SortAggregate" in plan:
             assert "partial_" in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_lookup_joins_salt_null_keys(spark):
+    """Null join keys (id-less create rows, units without id) are spread by a content
+    hash instead of landing in one partition."""
+    for name in ("update_outbox", "import_summary", "attach_geometry"):
+        plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "pmod(xxhash64(" in plan and "__lk_real" in plan, name
