@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words, removed words and the digest of the kept words of every document."""
     out = remove_repeated_passages(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids and of the decoded text of every document."""
+    out = encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
