@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formwork.llm.bpe_automaton import encode_decode
+from formwork.llm.frames import stored
+from formwork.llm.packing import best_fit_pack, token_pieces
 from formwork.llm.substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +38,11 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document."""
     out = encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every token piece of every document."""
+    pieces = token_pieces(table(spark, sf_dir, "documents", "doc_id", "text"))
+    pieces = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return best_fit_pack(pieces, ["doc_id", "piece"])
