@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.frames import stored
 from formwork.llm.packing import best_fit_pack, token_pieces
+from formwork.llm.personal_data import find_personal_data, n_base, span_digest
+from formwork.llm.secrets import find_secrets
 from formwork.llm.substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +48,21 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = token_pieces(table(spark, sf_dir, "documents", "doc_id", "text"))
     pieces = stored(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
     return best_fit_pack(pieces, ["doc_id", "piece"])
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the pattern spans, all spans."""
+    out = find_personal_data(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "spans")
+    counts = [n_base(F.col("spans"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    base = span_digest(F.filter("spans", lambda s: s["base"]))
+    return out.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), span_digest(F.col("spans")).alias("spans"))
+
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the pattern spans, all spans."""
+    out = find_secrets(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "spans")
+    counts = [n_base(F.col("spans"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    base = span_digest(F.filter("spans", lambda s: s["base"]))
+    return out.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), span_digest(F.col("spans")).alias("spans"))
