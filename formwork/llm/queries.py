@@ -11,6 +11,7 @@ from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.frames import stored
 from formwork.llm.packing import best_fit_pack, token_pieces
 from formwork.llm.personal_data import find_personal_data, n_base, span_digest
+from formwork.llm.quality import judge_quality
 from formwork.llm.secrets import find_secrets
 from formwork.llm.substring_dedup import remove_repeated_passages
 
@@ -66,3 +67,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [n_base(F.col("spans"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
     base = span_digest(F.filter("spans", lambda s: s["base"]))
     return out.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), span_digest(F.col("spans")).alias("spans"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    out = judge_quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
