@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formwork.llm.bpe_automaton import encode_decode
+from formwork.llm.embedding_dedup import link_vectors
 from formwork.llm.frames import stored
 from formwork.llm.packing import best_fit_pack, token_pieces
 from formwork.llm.personal_data import find_personal_data, n_base, span_digest
@@ -74,3 +75,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     out = judge_quality(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    out = link_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+    return out.select("vec_id", "n_links", F.col("component_id").cast("long").alias("component_id"), "kept")
