@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.embedding_dedup import link_vectors
 from formwork.llm.frames import stored
+from formwork.llm.minhash_dedup import near_duplicates
 from formwork.llm.packing import best_fit_pack, token_pieces
 from formwork.llm.personal_data import find_personal_data, n_base, span_digest
 from formwork.llm.quality import judge_quality
@@ -82,3 +83,9 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector."""
     out = link_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
     return out.select("vec_id", "n_links", F.col("component_id").cast("long").alias("component_id"), "kept")
+
+
+@query
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
