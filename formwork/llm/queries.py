@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.embedding_dedup import link_vectors
 from formwork.llm.frames import stored
+from formwork.llm.licenses import scan_licenses
 from formwork.llm.minhash_dedup import near_duplicates
 from formwork.llm.packing import best_fit_pack, token_pieces
 from formwork.llm.personal_data import find_personal_data, n_base, span_digest
 from formwork.llm.quality import judge_quality
+from formwork.llm.revisits import resolve_revisits
 from formwork.llm.secrets import find_secrets
 from formwork.llm.substring_dedup import remove_repeated_passages
 
@@ -89,3 +91,85 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document."""
     return near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document, as licence:start:end, and their differences."""
+    out = scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+    notices = F.col("notices")
+    return out.select(
+        "doc_id",
+        F.size(notices).cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(notices["license"])), ",").alias("licenses"),
+        F.array_join(F.transform(notices, lambda n: F.concat_ws(":", n["license"], n["start"], n["end"])), ",").alias("spans"),
+        F.aggregate(notices, F.lit(0), lambda a, n: a + F.size(n["missing"]) + F.size(n["added"])).cast("long").alias("n_word_differences"),
+    )
+
+
+#: Captures that a crawler would have made of the pages: every page once in full, and a
+#: later (some: earlier) conditional request under another spelling of its URL, answered
+#: with 304 and entity tag, date, both stale, or none. One SQL text for both engines.
+CAPTURES = """
+SELECT 2 * page_id AS record_id, url, 10 * page_id AS time, 'response' AS type,
+       concat('"', md5(html), '"') AS etag,
+       concat('day ', CAST(floor(page_id / 3) AS BIGINT)) AS last_modified,
+       'text/html' AS content_type, 'max-age=60' AS cache_control, md5(html) AS digest
+FROM pages
+UNION ALL
+SELECT 2 * page_id + 1 AS record_id,
+       CASE page_id % 4 WHEN 0 THEN url
+            WHEN 1 THEN concat(url, '#part')
+            WHEN 2 THEN replace(replace(url, 'https://', 'HTTP://WWW.'), 'http://www.', 'http://www2.')
+            ELSE concat(url, CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END, 'utm_medium=x') END AS url,
+       CASE WHEN page_id % 11 = 0 THEN 10 * page_id - 5 ELSE 10 * page_id + 5 END AS time, 'revisit' AS type,
+       CASE WHEN page_id % 7 = 0 THEN '"stale"' WHEN page_id % 5 IN (0, 1) THEN NULL ELSE concat('W/"', md5(html), '"') END AS etag,
+       CASE WHEN page_id % 5 = 0 THEN concat('day ', CAST(floor(page_id / 3) AS BIGINT)) END AS last_modified,
+       'text/plain' AS content_type, concat('max-age=', page_id % 9) AS cache_control,
+       CASE WHEN page_id % 10 = 1 THEN md5(html) END AS digest
+FROM pages
+"""
+
+
+@query
+def op5_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The response, status and merged headers of every not-modified capture."""
+    captures = spark.sql(CAPTURES.replace("FROM pages", "FROM {pages}"), pages=table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    names = {"etag": "ETag", "last_modified": "Last-Modified", "content_type": "Content-Type", "cache_control": "Cache-Control"}
+    headers = F.map_filter(F.create_map(*[x for c, n in names.items() for x in (F.lit(n), F.col(c))]), lambda k, v: v.isNotNull())
+    out = resolve_revisits(captures.withColumn("headers", headers))
+    joined = F.array_join(F.transform("headers", lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return out.select("record_id", "url_key", "target_id", "status", joined.alias("headers"))
+
+
+ORACLE["op5_revisit_resolution"] = (
+    "WITH captures AS (" + CAPTURES + r"""), bare AS (
+  SELECT *, regexp_replace(trim(url), '#[\s\S]*$', '') AS b FROM captures),
+parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(b, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^([^@]*@)?(www[0-9]*\.)?', ''), ':(80|443)$', '') AS host,
+         regexp_replace(b, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', '') AS rest FROM bare),
+keyed AS (
+  SELECT *, list_sort(list_filter(string_split(regexp_extract(rest, '\?([\s\S]*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|fbclid|gclid)(=|$)'))) AS q FROM parts),
+c AS (
+  SELECT *, concat(host, regexp_replace(regexp_extract(rest, '^([^?]*)', 1), '/+$', ''), CASE WHEN len(q) > 0 THEN concat('?', array_to_string(q, '&')) ELSE '' END) AS k FROM keyed),
+r AS (SELECT * FROM c WHERE type = 'revisit'),
+t AS (
+  SELECT r.record_id, max(s.record_id) AS target_id
+  FROM r JOIN c s ON s.type = 'response' AND s.k = r.k AND s.time < r.time
+  WHERE s.time = (SELECT max(x.time) FROM c x WHERE x.type = 'response' AND x.k = r.k AND x.time < r.time)
+  GROUP BY r.record_id),
+j AS (
+  SELECT r.*, t.target_id, s.etag AS s_etag, s.last_modified AS s_date, s.digest AS s_digest, s.content_type AS s_type,
+         CASE WHEN trim(r.k) = '' OR r.k IS NULL THEN 'no_url' WHEN t.target_id IS NULL THEN 'no_response'
+              WHEN r.etag IS NOT NULL THEN CASE WHEN regexp_replace(r.etag, '^W/', '') = s.etag THEN 'resolved' ELSE 'mismatch' END
+              WHEN r.last_modified IS NOT NULL THEN CASE WHEN r.last_modified = s.last_modified THEN 'resolved' ELSE 'mismatch' END
+              WHEN r.digest IS NOT NULL THEN CASE WHEN r.digest = s.digest THEN 'resolved' ELSE 'mismatch' END
+              ELSE 'unchecked' END AS status
+  FROM r LEFT JOIN t ON t.record_id = r.record_id LEFT JOIN c s ON s.record_id = t.target_id AND s.type = 'response')
+SELECT record_id, k AS url_key, target_id, status,
+       concat_ws(';', 'cache-control=' || cache_control,
+                 'content-type=' || CASE WHEN status IN ('resolved', 'unchecked') THEN s_type ELSE content_type END,
+                 'etag=' || CASE WHEN status IN ('resolved', 'unchecked') THEN coalesce(etag, s_etag) ELSE etag END,
+                 'last-modified=' || CASE WHEN status IN ('resolved', 'unchecked') THEN coalesce(last_modified, s_date) ELSE last_modified END) AS headers
+FROM j"""
+)
