@@ -166,4 +166,7 @@ def judge_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         | ((n >= limits.both_words) & (c > limits.both_class_distance) & (w > limits.both_word_distance))
     )
     df = _staged(df, kept=~F.col("__q_base_failed") & ~F.coalesce(odd, F.lit(False)))
-    return df.select(*[F.col(quoted(x)) for x in kept], *[F.col(f"__q_{x}").cast("long").alias(x) if x == "word_chars" else F.col(f"__q_{x}").alias(x) for x in NEW])
+    # one generated row each: a filter on a verdict stays above the expressions, which
+    # would otherwise be put into it once for every use
+    judged_row = F.struct(*[(F.col(f"__q_{x}").cast("long") if x == "word_chars" else F.col(f"__q_{x}")).alias(x) for x in NEW])
+    return df.select(*[F.col(quoted(x)) for x in kept], F.inline(F.array(judged_row)))
