@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from formwork.llm import oracles
 from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.embedding_dedup import link_vectors
 from formwork.llm.frames import stored
@@ -20,7 +21,11 @@ from formwork.llm.secrets import find_secrets
 from formwork.llm.substring_dedup import remove_repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op6_quality_rules": oracles.QUALITY,
+    "op8_embedding_dedup": oracles.EMBEDDING_DEDUP,
+}
 
 
 def query(fn):
