@@ -311,7 +311,10 @@ def fit_model(docs: DataFrame, text_col: str = "text", rows: int = TRAINING_ROWS
     text = F.col(quoted(text_col)).cast("string")
     # an at-sign or a long run of digits and their separators: where the patterns can match
     marked = text.rlike(r"[A-Za-z0-9]@[A-Za-z0-9]|[0-9][0-9 ().-]{7,}[0-9]") & (F.length(text) <= 20_000)
-    sample = docs.where(marked).select(text.alias("t"), F.xxhash64(text).alias("h")).orderBy("h", "t").limit(rows).collect()
+    hashed = docs.where(marked).select(text.alias("t"), F.xxhash64(text).alias("h"))
+    # only hashes are ranked on the driver; then the texts up to the last of them are read
+    last = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(rows).collect()]
+    sample = hashed.where(F.col("h") <= last[-1]).groupBy("h").agg(F.first("t").alias("t")).orderBy("h").collect() if last else []
     return SemiMarkov().fit(training_data([r["t"] for r in sample], rows))
 
 
