@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -18,6 +21,21 @@ SLICE_ROWS = 512
 SLICE_CHARS = 4_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once per application: they need not find
+    it on a path of their own."""
+    sc = spark.sparkContext
+    name = f"formwork-{sc.applicationId}.zip"
+    if any(f.endswith(name) for f in sc.listFiles):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="formwork-ship-")) / name
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+
+
 def utf8(text: str | None) -> bytes:
     """UTF-8 of a text (null: empty)."""
     return (text or "").encode("utf-8", "surrogatepass")

@@ -123,6 +123,13 @@ def passages(text: str):
 
 
 _AT = frozenset(("@", "at", "AT", "At"))
+#: What an address can look like: an at-sign or a bracketed "at", or a spelt-out one when
+#: its dots are spelt out too; the last part has letters only.
+_ADDRESS = re.compile(
+    r"[A-Za-z0-9._%+-]+(?: dot [A-Za-z0-9_%+-]+)*"
+    r"(?: ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]+(?:(?:\.| dot )[A-Za-z0-9-]+)*(?:\.| dot )| at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)* dot )[A-Za-z]{2,}",
+    re.IGNORECASE | re.ASCII,
+)
 
 
 def candidates(p: Passage):
@@ -151,7 +158,7 @@ def candidates(p: Passage):
             tail = t[0].isalpha() or "0" <= t[0] <= "9"
             if not tail:
                 continue
-            if at == 1 and words and j - i >= 4 and not head in "+([":
+            if at == 1 and words and j - i >= 4 and head not in "+([" and _ADDRESS.fullmatch(p.text, p.spans[i][0], p.spans[j][1]):
                 yield i, j + 1, "email"
             if not words and not at:
                 if numbers == 4 and digits <= 12 and digit and j > i + 2:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from formwork.llm import oracles
 from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.embedding_dedup import link_vectors
-from formwork.llm.frames import stored
+from formwork.llm.frames import ship, stored
 from formwork.llm.licenses import scan_licenses
 from formwork.llm.minhash_dedup import near_duplicates
 from formwork.llm.packing import best_fit_pack, token_pieces
@@ -29,8 +30,13 @@ ORACLE: dict[str, str] = {
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

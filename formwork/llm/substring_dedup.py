@@ -355,9 +355,9 @@ def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col:
     buckets = max(MIN_BUCKETS, -(-chars // 6 // bucket_windows))
     blocks = docs.select(row.alias("row"), text.alias("text")).mapInArrow(_send_windows(window, buckets), _BLOCKS)
     places = blocks.groupBy("bucket").applyInPandas(_count_bucket, _PLACES)
-    places = places.groupBy("row").agg(F.collect_list("at").alias("__llm_at"))
+    places = places.groupBy(F.col("row").alias("__llm_place")).agg(F.collect_list("at").alias("__llm_at"))
     packed_schema = T.StructType([T.StructField("__llm_row", T.LongType()), *[docs.schema[c] for c in kept], T.StructField("__llm_text", T.BinaryType())])
     packed = docs.select(row.alias("__llm_row"), *[F.col(quoted(c)) for c in kept], text.alias("__llm_text")).mapInArrow(_packed, packed_schema)
-    joined = packed.join(places, F.col("__llm_row") == F.col("row"), "left").select(*[F.col(quoted(c)) for c in kept], "__llm_text", "__llm_at")
+    joined = packed.join(places, F.col("__llm_row") == F.col("__llm_place"), "left").select(*[F.col(quoted(c)) for c in kept], "__llm_text", "__llm_at")
     schema = T.StructType([*[docs.schema[c] for c in kept], *NEW.fields])
     return joined.mapInArrow(_cut(window, layout, schema, len(kept)), schema)
