@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formwork.llm.frames import quoted, stored
+from formwork.llm.frames import quoted, ship, stored
 from formwork.llm.minhash_dedup import drop_near_duplicates
 from formwork.llm.packing import best_fit_pack, token_pieces
 from formwork.llm.personal_data import find_personal_data
@@ -84,6 +84,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; each result but the last is written
     as Parquet and read again as the documents of the next."""
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
