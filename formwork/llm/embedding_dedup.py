@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formwork.llm.frames import quoted, stored
-from formwork.llm.graph import components
+from formwork.llm.graph import components, roots
 
 MIN_COSINE = 0.93
 TABLES = 24
@@ -112,22 +112,6 @@ def _keyed(tables: int, per_table: int, width: float):
 _FOUND = T.StructType([T.StructField("rep", T.LongType()), T.StructField("links", T.LongType()), T.StructField("near", T.LongType())])
 
 
-def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest index reachable from each of 0..n-1 by the links i-j."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        np.minimum.at(new, root[i], low)
-        np.minimum.at(new, root[j], low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _compare(least: float):
     """Link the vectors of each (table, key, pair of blocks) of a group."""
 
@@ -166,7 +150,7 @@ def _compare(least: float):
             n, own = b - a, copies[a:b].astype(np.float64)
             links = np.bincount(i, own[j], n) + np.bincount(j, own[i], n)
             some = links > 0
-            out.append((rep[a:b][some], links[some].astype(np.int64), rep[a:b][_roots(n, i, j)][some]))
+            out.append((rep[a:b][some], links[some].astype(np.int64), rep[a:b][roots(n, i, j)][some]))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pd.DataFrame(dict(zip(_FOUND.names, columns)))
 

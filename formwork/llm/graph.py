@@ -9,6 +9,7 @@ with very many links nor a lost executor stalls it.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +51,19 @@ def components(links: DataFrame, a: str, b: str, name: str = "components") -> Da
         mark = tuple(total)
     hubs = now.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("vertex"), F.col("v").alias("component")).unionByName(hubs)
+
+
+def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest index reachable from each of 0..n-1 by the links i-j."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, i, low)
+        np.minimum.at(new, j, low)
+        np.minimum.at(new, root[i], low)
+        np.minimum.at(new, root[j], low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new

@@ -7,11 +7,14 @@ its next arrival is later than the latest register. The shingle that reaches a r
 first is its sample, and two documents agree in a register with the probability Jaccard
 similarity of their weighted shingles. ``BANDS`` bands of ``ROWS`` registers give keys.
 
-Equal texts are taken as one. Of every key's texts each is compared with the smallest
-one; after their components are known, texts that share a key but not a component are
-compared too. So no pair within a component is enumerated, and no link between different
-components is left out. Every comparison is exact: the probability Jaccard similarity of
-the two texts is computed and must reach ``SIMILARITY``.
+Equal texts are taken as one. Of every key's texts each is compared with the one that
+shares most keys in all (of a family of copies: the text they come from). After the
+components of these links are known, the texts of a key that spans several components
+are compared across them, inside groups of bounded size: small keys travel together, a
+key with more than ``BLOCK`` texts is cut into blocks and each pair of blocks is a group.
+So no pair within a component is enumerated, no pair is written out, and no link between
+different components is left out. Every comparison is exact: the probability Jaccard
+similarity of the two texts must reach ``SIMILARITY``.
 
 At similarity 0.8 the keys miss a pair with probability 3e-5, at 0.85 with 5e-7.
 """
@@ -21,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from formwork.llm.frames import quoted, slices, stored, utf8
-from formwork.llm.graph import components
+from formwork.llm.graph import components, roots
 from formwork.llm.substring_dedup import PIECE_BYTES, WindowHasher
 
 SHINGLE = 5
@@ -37,6 +41,9 @@ BANDS = 20
 ROWS = 4
 #: A prime of at least BANDS * ROWS: shingles visit the registers in steps modulo it.
 REGISTERS = 83
+#: Texts of a block, and rows that travel together.
+BLOCK = 192
+GROUP = 4_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -207,7 +214,89 @@ def _links(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataF
     return rows.mapInArrow(_verified(size, least), _PAIR)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+_JOINED = T.StructType([T.StructField("p", T.BinaryType()), T.StructField("q", T.BinaryType())])
+
+
+def _shared_mass(elements: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each pair (i, j): number of common elements, and the share of i's weight on
+    elements of j. Elements of one text only are left out, the rest goes in slices."""
+    n = len(elements)
+    flat, doc, weight = np.concatenate(elements), np.repeat(np.arange(n), [len(e) for e in elements]), np.concatenate(weights)
+    _, column, df = np.unique(flat, return_inverse=True, return_counts=True)
+    common = df[column] > 1
+    _, column = np.unique(column[common], return_inverse=True)
+    doc, weight = doc[common], weight[common]
+    order = np.argsort(column, kind="stable")
+    column, doc, weight = column[order], doc[order], weight[order]
+    count, mass = np.zeros((n, n), np.float32), np.zeros((n, n))
+    width = 8192
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, (at, at + width))
+        has = np.zeros((n, width), np.float32)
+        has[doc[a:b], column[a:b] - at] = 1
+        count += has @ has.T
+        share = np.zeros((n, width), np.float32)
+        share[doc[a:b], column[a:b] - at] = weight[a:b]
+        mass += share @ has.T
+    return count, mass
+
+
+def _near_pairs(shingles: list[np.ndarray], wanted: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The wanted pairs i < j whose similarity reaches ``least``.
+
+    With all weights 1 the similarity is common / all elements. Else it is at most the
+    share of either weight on common elements; what passes that is computed exactly."""
+    sets = [np.unique(x, return_counts=True) for x in shingles]
+    size = np.array([len(e) for e, _ in sets], float)
+    total = np.array([w.sum() for _, w in sets], float)
+    count, mass = _shared_mass([e for e, _ in sets], [w.astype(np.float32) for _, w in sets])
+    mass /= total[:, None]
+    even = size == total
+    both = even[:, None] & even[None, :]
+    plain = count / (size[:, None] + size[None, :] - count) >= least
+    maybe = np.minimum(mass, mass.T) >= least - 1e-4
+    i, j = np.nonzero(np.triu(wanted & np.where(both, plain, maybe), 1))
+    sure = np.array([both[a, b] or probability_jaccard(shingles[a], shingles[b]) >= least for a, b in zip(i, j)], bool)
+    return (i[sure], j[sure]) if len(i) else (i, j)
+
+
+def _across(size: int, least: float):
+    """Components that the texts of each (key, pair of blocks) of a group join: one link
+    from a component to the smallest one it is joined with."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        shingler, press = Shingler(size), zstandard.ZstdDecompressor()
+        held: dict[bytes, np.ndarray] = {}
+        found: set[tuple[bytes, bytes]] = set()
+        for _, part in group.groupby(["key", "x", "y"], sort=True):
+            labels, label = np.unique(part["label"].to_numpy(), return_inverse=True)
+            if len(labels) < 2:
+                continue
+            ds, band = part["d"].tolist(), int(part["band"].iat[0])
+            for d, z in zip(ds, part["z"]):
+                if d not in held:
+                    if len(held) >= 4096:
+                        held.clear()
+                    held[d] = shingler.of(press.decompress(z))
+            here = [held.get(d) if d in held else shingler.of(press.decompress(z)) for d, z in zip(ds, part["z"])]
+            blk, x, y = part["blk"].to_numpy(), part["x"].iat[0], part["y"].iat[0]
+            wanted = label[:, None] != label[None, :]
+            if x != y:
+                wanted &= blk[:, None] != blk[None, :]
+            keys = np.array([np.frombuffer(k, np.int64, band) for k in part["keys"]]).reshape(len(ds), band)
+            for k in range(band):  # pairs that share an earlier key are compared there
+                wanted &= keys[:, None, k] != keys[None, :, k]
+            if not wanted.any():
+                continue
+            i, j = _near_pairs(here, wanted, least)
+            root = roots(len(labels), label[i], label[j])
+            found.update((labels[r], labels[c]) for c, r in enumerate(root) if r != c)
+        return pd.DataFrame({"p": [p for p, _ in found], "q": [q for _, q in found]})
+
+    return run
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """The class of every document: documents linked by similarity, directly or through
     others.
 
@@ -223,24 +312,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows_ = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.unhex(F.md5(text)).alias("d"), text.alias("text"))
     signed = rows_.mapInArrow(_signed(size, bands, rows), _KEYS)
     unique = stored(signed.where("keys is not null").groupBy("d").agg(F.min("id").alias("id"), F.first("keys").alias("keys")), "unique")
-    entries = unique.select("d", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"), "keys").select("d", F.xxhash64("band", F.substring("keys", F.col("band") * 8 + 1, 8)).alias("key"))
-    hubs = entries.groupBy("key").agg(F.min("d").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "hub")
-    shared = stored(entries.join(hubs, "key").select("key", "d", "hub"), "shared")
-    pairs = stored(shared.where("d != hub").select(F.col("hub").alias("p"), F.col("d").alias("q")).distinct(), "pairs")
+    entries = unique.select("d", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"), "keys").select("d", "band", F.xxhash64("band", F.substring("keys", F.col("band") * 8 + 1, 8)).alias("key"))
+    counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(entries.join(counts, "key").select("key", "band", "d", "n"), "shared")
+    degree = shared.groupBy("d").agg(F.sum("n").alias("degree"))
+    hubs = shared.join(degree, "d").groupBy("key").agg(F.max(F.struct("degree", "d")).alias("hub")).select("key", F.col("hub.d").alias("hub"))
+    pairs = stored(shared.join(hubs, "key").where("d != hub").select(F.col("hub").alias("p"), F.col("d").alias("q")).distinct(), "pairs")
     needed = pairs.select(F.col("p").alias("d")).union(pairs.select(F.col("q").alias("d"))).distinct()
     pressed = rows_.select("d", "text").where("d is not null").mapInArrow(_pressed, T.StructType([T.StructField("d", T.BinaryType()), T.StructField("z", T.BinaryType())]))
     texts = stored(pressed.groupBy("d").agg(F.first("z").alias("z")).join(needed, "d", "left_semi"), "texts")
     links = stored(_links(pairs, texts, size, least), "links")
     # texts that share a key but no component so far
     label = components(links, "p", "q").withColumnRenamed("vertex", "d")
-    member = shared.select("key", "d").join(label, "d", "left").select("key", "d", F.coalesce("component", "d").alias("label"))
-    member = stored(member, "member")
-    mixed = member.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key")
-    member = member.join(mixed, "key", "left_semi")
-    other = member.select("key", F.col("d").alias("e"), F.col("label").alias("other"))
-    cross = member.join(other, "key").where("label < other").select(F.least("d", "e").alias("p"), F.greatest("d", "e").alias("q")).distinct()
-    cross = cross.join(pairs, ["p", "q"], "left_anti")
-    links = links.unionByName(stored(_links(cross, texts, size, least), "links"))
+    member = stored(shared.join(label, "d", "left").select("key", "band", "d", F.coalesce("component", "d").alias("label")), "member")
+    mixed = member.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n")).where("a != b")
+    mixed = stored(mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n"), "mixed")
+    total = mixed.agg(F.sum("n")).first()[0] or 0
+    spread = member.join(mixed.drop("n"), "key").withColumn("blk", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
+    spread = spread.join(unique.select("d", "keys"), "d").join(texts, "d").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.withColumn("x", F.least("blk", "o")).withColumn("y", F.greatest("blk", "o"))
+    group = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(total // GROUP + 1))).otherwise(F.xxhash64("key", "x", "y"))
+    joined = spread.withColumn("g", group).drop("o", "blocks").groupBy("g").applyInPandas(_across(size, least), _JOINED)
+    links = links.unionByName(stored(joined, "joined"))
     final = components(links, "p", "q").withColumnRenamed("vertex", "d")
     owned = unique.select("d", "id").join(final, "d", "left").select("d", "id", F.coalesce("component", "d").alias("component"))
     smallest = owned.groupBy("component").agg(F.min("id").alias("smallest"))
