@@ -43,7 +43,7 @@ def parse_dates(c: Column | str, kind: str = "date", strict: bool = True) -> Col
 # and catch an exception per row, which is far slower than a regex test; so text is
 # tested first and only candidates are cast (the cast still decides, e.g. on overflow).
 INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
-FLOAT_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[dDfF]?\s*$|^\s*[+-]?(?i:inf|infinity|nan)\s*$"
+FLOAT_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$|^\s*[+-]?(?i:inf|infinity|nan)\s*$"
 
 
 def text_to_number(c: Column, to: str, data_type=None) -> Column:
@@ -70,6 +70,16 @@ def number_or_zero(df: DataFrame, name: str, absent: float | None = 0.0) -> Colu
     return F.lit(absent)
 
 
+def bad_number(df: DataFrame, names: tuple[str, ...]) -> Column:
+    """some of the named columns holds text that is neither blank nor a number."""
+    out = F.lit(False)
+    for name in names:
+        if name in df.columns and isinstance(df.schema[name].dataType, StringType):
+            text = _c(name)
+            out = out | F.coalesce((F.trim(text) != "") & text_to_number(text, "double").isNull(), F.lit(False))
+    return out
+
+
 def blank_nulls(cols: list[str]) -> list[Column]:
     """Text of each column with null as the empty string."""
     return [F.coalesce(_c(c).cast("string"), F.lit("")).alias(c) for c in cols]

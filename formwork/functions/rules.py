@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -24,6 +26,24 @@ def _col(c: Column | str) -> Column:
     return F.col("`" + c + "`") if isinstance(c, str) else c
 
 
+def java_pattern(pattern: str) -> str | None:
+    """The pattern for the JVM's engine (named groups in its spelling); None where the
+    rule language or the JVM rejects it, which makes every value invalid."""
+    try:
+        re.compile(pattern)
+    except re.error:
+        return None
+    out = re.sub(r"\(\?P<(\w+)>", lambda m: "(?<" + m.group(1).replace("_", "") + ">", pattern)
+    out = re.sub(r"\(\?P=(\w+)\)", lambda m: "\\k<" + m.group(1).replace("_", "") + ">", out)
+    sc = SparkContext._active_spark_context
+    if sc is not None:
+        try:
+            sc._jvm.java.util.regex.Pattern.compile(out)
+        except Py4JJavaError:
+            return None
+    return out
+
+
 def check_constraint(c: Column | str, rule: str, data_type=None) -> Column:
     """validity of a value under a rule, never null (null value -> false, D-6).
 
@@ -37,7 +57,10 @@ def check_constraint(c: Column | str, rule: str, data_type=None) -> Column:
     result: Column
     m = REGEX_RULE.search(rule) if rule.startswith("regex") else None
     if m:
-        result = text.rlike("^(?:" + m.group(1) + ")")
+        pattern = java_pattern(m.group(1))
+        if pattern is None:
+            return F.lit(False)
+        result = text.rlike("^(?:" + pattern + ")")
     elif rule.startswith(LE_PREFIX) or rule.startswith(GE_PREFIX):
         try:
             threshold = float(rule[3:])
@@ -184,8 +207,8 @@ def formula_column(formula: str, columns: set[str] | dict) -> Column:
 def calculate(formula: str, columns: set[str] | dict) -> tuple[Column, str | None]:
     """(column, problem). The value is rounded half up and cast to bigint; a
     formula outside the grammar gives the constant 0 and a problem text (D-18).
-    Division by zero gives null for that row only."""
+    Division by zero and values that no integer holds (nan, inf) give null for that row."""
     try:
-        return round_half_up(formula_column(formula, columns)).cast("bigint"), None
+        return round_half_up(formula_column(formula, columns)).try_cast("bigint"), None
     except FormulaError as exc:
         return F.lit(0).cast("bigint"), str(exc)

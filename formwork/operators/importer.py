@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formwork.functions.coerce import coerce_int, text_to_number
+from formwork.functions.coerce import bad_number, coerce_int, text_to_number
 from formwork.functions.documents import (
     create_payload,
     enrich_submission,
@@ -29,9 +29,11 @@ from formwork.functions.documents import (
 )
 from formwork.operators.columns import q, question_fields
 from formwork.operators.lookup import left_lookup
-from formwork.operators.validate import Rules, row_validity, validate_rows, version_validity
+from formwork.operators.validate import Rules, row_validity, validate_rows, validate_rows_by_version
 
 IMPORTED, UPDATED, DELETED, IGNORED, UNROUTED = "imported", "updated", "deleted", "ignored", "unrouted"
+#: Columns that must hold numbers where they are not blank.
+NUMBERS = ("accuracy", "altitude", "latitude", "longitude")
 OUTCOMES = (IMPORTED, UPDATED, IGNORED, DELETED, UNROUTED)
 OUTBOX_TYPES = {
     "outcome": "string",
@@ -71,10 +73,10 @@ class _Prepared:
         if version_col in df.columns:
             if rules_by_version is None:
                 raise ValueError(f"'{version_col}' present: rules per version are needed")
-            self.df = df
-            row_valid, has_template = version_validity(df, rules_by_version, version_col)
-            self.valid = row_valid if strict else F.lit(True)
-            self.has_template = has_template
+            checked = validate_rows_by_version(df, rules_by_version, version_col)
+            self.df = checked.withColumnsRenamed({"row_valid": "_v_valid", "has_template": "_v_template"})
+            self.valid = F.col("_v_valid") if strict else F.lit(True)
+            self.has_template = F.col("_v_template")
             self.version: Column = q(version_col).cast("string")
             self.by_version = rules_by_version
         else:
@@ -121,7 +123,7 @@ def _create_columns(p: _Prepared, form_id: int, created_at: int, directory: str,
     df = p.df
     org = coerce_int(q("org_unit_id"), df.schema["org_unit_id"].dataType) if "org_unit_id" in df.columns else F.lit(None).cast("bigint")
     # A row whose version has no rules cannot be validated: it fails on the template.
-    reason = F.when(~p.has_template, F.lit("no_template")).when(~p.valid, F.lit("invalid")).when(org.isNull(), F.lit("bad_org_unit"))
+    reason = F.when(~p.has_template, F.lit("no_template")).when(~p.valid, F.lit("invalid")).when(org.isNull(), F.lit("bad_org_unit")).when(bad_number(df, NUMBERS), F.lit("bad_number"))
     staged = _stage(p, {"_c_uuid": instance_uuid(row_key(df, key_cols or p.source_columns)), "_c_reason": reason})
     uuid, reason = staged["_c_uuid"], staged["_c_reason"]
     ok = reason.isNull()
@@ -145,6 +147,7 @@ def _update_columns(p: _Prepared, form_id: int, editor, attribute: str, locked:
         .when(~p.valid, F.lit("invalid"))
         .when(uuid.isNull(), F.lit("missing_instance_id"))
         .when(iid.isNull(), F.lit("bad_id"))
+        .when(bad_number(df, NUMBERS), F.lit("bad_number"))
         .when(locked, F.lit("locked"))
     )
     has_ou = _truthy(q("org_unit_id"), df.schema["org_unit_id"].dataType) if "org_unit_id" in df.columns else F.lit(False)

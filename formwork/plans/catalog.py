@@ -43,7 +43,7 @@ from formwork.operators.validate import (
 )
 from formwork.session import scratch_path
 from formwork.sinks.writers import MANIFEST, snapshot_if_changed, write_file
-from formwork.sources.readers import read_form_submissions, read_org_units, read_submissions, spread
+from formwork.sources.readers import read_form_submissions, read_org_units, read_submissions
 from formwork.streaming.incremental import run_incremental_extract
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,11 +61,11 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. With ``spread_rows`` (queries whose per-row work dominates, e.g.
     long texts) an input with fewer splits than cores is spread over them first."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_rows else df
+    return df
 
 
 def _strip_sql(x: str) -> str:
@@ -84,7 +84,7 @@ def _clean_sql(x: str) -> str:
 @register("clean_names", f"SELECT doc_id, {_clean_sql('text')} AS clean_text FROM documents")
 def q_clean_names(spark, sf_dir):
     """F1 over whole document texts."""
-    return table(spark, sf_dir, "documents", spread_rows=True).select("doc_id", clean_string("text").alias("clean_text"))
+    return table(spark, sf_dir, "documents").select("doc_id", clean_string("text").alias("clean_text"))
 
 
 @register(
@@ -392,8 +392,8 @@ def _geometry_text() -> Column:
     )
 
 
-def _geometries(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
-    return table(spark, sf_dir, "customer", spread_rows).select(F.col("c_custkey").alias("id"), _geometry_text().alias("geometry"))
+def _geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), _geometry_text().alias("geometry"))
 
 
 _KIND_SQL = """CASE WHEN c_mktsegment = 'HOUSEHOLD' OR c_acctbal < 0 THEN NULL
@@ -706,16 +706,16 @@ def q_validate_by_version(spark, sf_dir):
     "structure_findings",
     """SELECT * FROM (
          SELECT 'error' AS severity, 'missing_column' AS kind, 'o_clerk' AS "column", NULL AS expected, NULL AS actual,
-                'Strategy CREATE: required column missing: o_clerk' AS message, CAST(NULL AS BIGINT) AS n_values, CAST(NULL AS BIGINT) AS n_uncastable
+                'CREATE needs the column o_clerk' AS message, CAST(NULL AS BIGINT) AS n_values, CAST(NULL AS BIGINT) AS n_uncastable
          UNION ALL
          SELECT 'error', 'invalid_type', 'org_unit_id', 'Int64', 'string',
-                'Invalid type for column ''org_unit_id'': expected Int64, got string',
+                'org_unit_id is string, not Int64',
                 (SELECT count(*) FROM orders), (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT')
          UNION ALL
          SELECT 'error', 'invalid_type', 'o_totalprice', 'Int64', 'double',
-                'Invalid type for column ''o_totalprice'': expected Int64, got double', (SELECT count(*) FROM orders), 0
+                'o_totalprice is double, not Int64', (SELECT count(*) FROM orders), 0
          UNION ALL
-         SELECT 'warning', 'unexpected_column', 'o_comment_x', NULL, NULL, 'Unexpected column found: ''o_comment_x''',
+         SELECT 'warning', 'unexpected_column', 'o_comment_x', NULL, NULL, 'o_comment_x belongs to no question',
                 (SELECT count(*) FROM orders), NULL)""",
 )
 def q_structure_findings(spark, sf_dir):
@@ -945,7 +945,7 @@ def q_flatten_text(spark, sf_dir):
 )
 def q_strip_strings(spark, sf_dir):
     """Unicode whitespace trimmed at both ends of every text column."""
-    d = table(spark, sf_dir, "documents", spread_rows=True).select(
+    d = table(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit(" \t\n"), "text", F.lit(" 　 ")).alias("text"), F.concat(F.lit("\u0085"), "lang", F.lit(" ")).alias("lang"), "n_chars",
     )
     return strip_strings(d)

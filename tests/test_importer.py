@@ -185,3 +185,14 @@ def test_document_values_print_like_python(spark):
     got = [tuple(r) for r in df.select(*[value_text(types[c], c).alias(c) for c in df.columns]).collect()]
     expected = [tuple("" if v is None else str(v) for v in r) for r in rows]
     assert got == expected
+
+
+def test_versioned_import_checks_calculated_fields_and_bad_numbers(spark):
+    from formwork.operators.validate import rules_from_rows
+
+    rules = rules_from_rows([{"name": "x", "type": "integer"}, {"name": "a", "type": "calculate", "calculation": "${x} + 1", "constraint": ".<=3"}])
+    rows = [("5", "1", "7", "1.5"), ("2", "1", "7", "1.5"), ("2", "1", "7", "abc"), ("2", "1", "7", " ")]
+    df = spark.createDataFrame(rows, "x string, form_version string, org_unit_id string, latitude string")
+    out = create_outbox(df, None, 1, rules_by_version={"1": rules}, created_at=0, keep=["x", "latitude"]).collect()
+    assert [(r.outcome, r.reason) for r in out] == [("ignored", "invalid"), ("imported", None), ("ignored", "bad_number"), ("imported", None)]
+    assert "<a>3</a>" in out[1].document

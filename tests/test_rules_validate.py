@@ -197,3 +197,28 @@ def test_round_half_up_matches_spark_round(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     rows = df.select(F.round("x", 0).alias("a"), round_half_up(F.col("x")).alias("b")).collect()
     assert all(r.a == r.b for r in rows)
+
+
+def test_chained_calculates_and_rejected_formulas(spark):
+    from formwork.operators.validate import rejected_formulas, rules_from_rows, validate_rows, validate_rows_by_version, validate_structure
+
+    questions = [{"name": "x", "type": "integer"}, {"name": "a", "type": "calculate", "calculation": "${x} + 1"},
+                 {"name": "b", "type": "calculate", "calculation": "${a} * 2"}, {"name": "c", "type": "calculate", "calculation": "if(${x})"}]
+    rules = rules_from_rows(questions)
+    df = spark.createDataFrame([("5", "1"), ("nan", "1"), ("inf", "1"), ("3", "2")], "x string, form_version string")
+    got = [(r.x, r.a, r.b, r.c) for r in validate_rows(df, rules).collect()]
+    assert got == [("5", 6, 12, 0), ("nan", None, None, 0), ("inf", None, None, 0), ("3", 4, 8, 0)]
+    assert [c for c, _ in rejected_formulas(df, rules)] == ["c"]
+    assert [r.column for r in validate_structure(spark, df, rules, "CREATE")[1].collect() if r.kind == "rejected_formula"] == ["c"]
+    other = rules_from_rows([questions[0], {"name": "b", "type": "calculate", "calculation": "${x} * 10"}])
+    by = {r.x: (r.a, r.b) for r in validate_rows_by_version(df, {"1": rules, "2": other}).collect()}
+    assert by["5"] == (6, 12) and by["3"] == (None, 30)
+
+
+def test_numbers_and_patterns_follow_the_rule_language(spark):
+    from formwork.functions.rules import check_constraint
+
+    df = spark.createDataFrame([("12d",), ("12",), ("5",)], "v string")
+    rules = [".<=40", "regex(., '[a-')", "regex(., '(?P<n_1>5)')"]
+    got = [tuple(r) for r in df.select(*[check_constraint("v", rule).alias(f"c{i}") for i, rule in enumerate(rules)]).collect()]
+    assert got == [(False, False, False), (True, False, False), (True, False, True)]
