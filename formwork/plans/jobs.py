@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from formwork.functions.coerce import cast_expected
 from formwork.functions.text import output_name
-from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, sort_by_label
+from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, geo_sort, sort_by_label
 from formwork.operators.forms import explode_choices, join_questions_choices, latest_version, questions_from_map, replace_labels
 from formwork.operators.geo import decode_geometries
 from formwork.operators.importer import outcome_summary, route_import
@@ -62,7 +62,7 @@ def _publish(spark: SparkSession, df: DataFrame, sinks: Sinks | None, check_sche
             check_table_schema(spark, df, sinks.table)
         write_table(spark, df, sinks.table, sinks.mode)
     if sinks.snapshot_root:
-        version, _ = snapshot_if_changed(spark, df, sinks.snapshot_root, sinks.fmt if sinks.fmt != "csv" else "parquet")
+        version, _ = snapshot_if_changed(spark, df, sinks.snapshot_root, sinks.fmt)
         return version
     return None
 
@@ -116,7 +116,8 @@ def extract_org_units(
     out = canonical_columns(units)
     out = canonical_sort(out, list(units.columns)) if sort else out
     if geo_path:
-        geo = decode_geometries(out) if "geometry" in out.columns else out
+        geo = decode_geometries(canonical_columns(units)) if "geometry" in units.columns else canonical_columns(units)
+        geo = geo_sort(geo) if sort else geo
         write_geojson_lines(geo, geo_path)
     _publish(spark, out, sinks, base=type_name or "", prefix="ou_" if type_name else "orgunits")
     return out
@@ -143,9 +144,6 @@ def extract_form_metadata(
     return sheet
 
 
-MAX_VERSIONS = 1000
-
-
 def definition_rules(spark: SparkSession, definition_path: str, version: str | None = None, fmt: str = "parquet") -> Rules:
     """S5 + P9: the rules of one version (default: the latest) of a stored definition."""
     questions = read_form_definition(spark, definition_path, "questions", version, fmt)
@@ -160,11 +158,9 @@ def rules_per_version(spark: SparkSession, submissions: DataFrame, definition_pa
                       version_col: str = "form_version") -> dict[str, Rules]:
     """J5 inputs: the rules of every distinct version present in the submissions (one
     definition read per version, like the reference's one fetch per version). The
-    distinct versions come from an aggregate and at most ``MAX_VERSIONS`` are taken."""
+    distinct versions come from an aggregate."""
     versions = [r[0] for r in submissions.select(F.col(version_col).cast("string")).where(F.col(version_col).isNotNull())
-                .distinct().limit(MAX_VERSIONS + 1).collect()]
-    if len(versions) > MAX_VERSIONS:
-        raise ValueError(f"more than {MAX_VERSIONS} form versions in the submissions")
+                .distinct().collect()]
     out = {}
     for v in sorted(versions):
         rules = definition_rules(spark, definition_path, v, fmt)

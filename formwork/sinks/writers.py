@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +11,11 @@ from formwork.operators.columns import q
 from formwork.operators.fingerprint import content_fingerprint
 from formwork.operators.geo import geojson_feature
 from formwork.operators.validate import check_table_schema, table_columns
+from formwork.sources.readers import CSV_DIALECT
 
 FORMATS = ("csv", "parquet", "json")
 MANIFEST = "_versions"
+CSV_WRITING = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": '""', "nullValue": ""}
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -23,20 +24,18 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_file(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", single_file: bool = False) -> int:
-    """K1: CSV (with header; nested, temporal and boolean columns flattened first, F17),
-    Parquet or JSON lines. The output is a folder of part files; ``single_file`` asks
-    for one part (one task writes everything: only for small outputs). Returns the
-    number of rows written, counted during the write."""
+def write_file(df: DataFrame, path: str, fmt: str, mode: str = "overwrite") -> int:
+    """K1: CSV (with header; nested, temporal and boolean columns flattened first, F17;
+    dialect ``CSV_DIALECT``, blanks kept, null and empty text told apart), Parquet or
+    JSON lines. The output is a folder of part files. Returns the number of rows
+    written, counted during the write."""
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r}; expected one of {FORMATS}")
     out = flatten_for_text(df) if fmt == "csv" else df
-    if single_file:
-        out = out.coalesce(1)
     out, obs = _counted(out)
     writer = out.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(**CSV_DIALECT, **CSV_WRITING).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
@@ -46,13 +45,15 @@ def write_file(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", sing
 
 def write_table(spark: SparkSession, df: DataFrame, table: str, mode: str = "replace") -> int:
     """K2: replace (default) or append a catalog table. Appends are checked first (V5)
-    and matched by column name, not position. Returns the number of rows written."""
+    and matched by column name, not position; a column that the frame lacks is null in
+    the new rows. Returns the number of rows written."""
     if mode not in ("replace", "append"):
         raise ValueError("mode must be 'replace' or 'append'")
     if mode == "append" and table_columns(spark, table):
         check_table_schema(spark, df, table)
-        cols = table_columns(spark, table)
-        out, obs = _counted(df.select(*[q(c) for c in cols if c in df.columns]))
+        target = spark.table(table).schema
+        missing = F.lit(None)
+        out, obs = _counted(df.select(*[(q(f.name) if f.name in df.columns else missing.cast(f.dataType)).alias(f.name) for f in target.fields]))
         out.write.mode("append").saveAsTable(table)
         return int(obs.get["rows"])
     out, obs = _counted(df)
@@ -61,10 +62,11 @@ def write_table(spark: SparkSession, df: DataFrame, table: str, mode: str = "rep
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(f"{root.rstrip('/')}/{MANIFEST}")
-    except AnalysisException:
+    path = f"{root.rstrip('/')}/{MANIFEST}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return None
+    return spark.read.parquet(path)
 
 
 def snapshot_if_changed(spark: SparkSession, df: DataFrame, root: str, fmt: str = "parquet") -> tuple[str, bool]:

@@ -8,12 +8,13 @@ scan (``PushedFilters``) and only the needed columns are read.
 
 from __future__ import annotations
 
-from datetime import datetime
+import re
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructType
 
 from formwork.functions.text import strip_strings
 from formwork.operators.forms import latest_version
@@ -37,27 +38,25 @@ def _read(reader, path: str) -> DataFrame:
         raise
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an under-split input over the cluster's cores.
+#: How CSV files are written and read: quotes doubled inside quotes, line breaks allowed
+#: there, blanks kept; an unquoted empty field is null, a quoted one an empty text.
+CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
+#: The reader takes a field for null when it equals the null text, quoted or not; so
+#: quoted empty fields are read as this mark first.
+EMPTY_MARK = "\x00empty\x00"
+CSV_READING = {"multiLine": "true", "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": EMPTY_MARK, "nullValue": ""}
 
-    A source with fewer splits than cores (e.g. one file written as a single row
-    group) would put all row-level work of a query in a few tasks. When the scan has
-    at least ``min_partitions`` splits (default: the default parallelism), as any
-    large input does, this is a no-op and adds no shuffle. An explicit partition count
-    is kept by AQE (it does not coalesce user repartitions)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
+
+def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file or folder with every column as text, named by its header."""
+    raw = _read(spark.read.options(**CSV_DIALECT, **CSV_READING, inferSchema="false").csv, path)
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in raw.columns]
+    return raw.select(*[F.when(c == EMPTY_MARK, F.lit("")).otherwise(c).alias(n) for c, n in zip(columns, raw.columns)])
 
 
-def infer_csv_schema(spark: SparkSession, path: str, rows: int = 10_000) -> StructType:
-    """Column types inferred from the header and the first ``rows`` lines only, like
-    the reference, instead of a full extra pass over the file. Quoted fields spanning
-    several lines are not supported by this sample; give a schema for such files."""
-    head = _read(spark.read.text, path).limit(rows + 1)
-    lines = head.rdd.map(lambda r: r.value)  # at most rows + 1 short strings
-    return spark.read.csv(lines, header=True, inferSchema=True).schema
+def infer_csv_schema(spark: SparkSession, path: str) -> StructType:
+    """Column types inferred over the whole input (one pass; give a schema to save it)."""
+    return _read(spark.read.options(**CSV_DIALECT, **CSV_READING, inferSchema="true").csv, path).schema
 
 
 def _typed(name: str, data_type, path: str):
@@ -71,20 +70,21 @@ def _typed(name: str, data_type, path: str):
     return F.when(text.isNotNull() & typed.isNull(), F.raise_error(message)).otherwise(typed).alias(name)
 
 
-def read_submissions(spark: SparkSession, path: str, schema: StructType | str | None = None, check_empty: bool = True,
-                     infer_rows: int = 10_000) -> DataFrame:
+def read_submissions(spark: SparkSession, path: str, schema: StructType | str | None = None, check_empty: bool = True) -> DataFrame:
     """A submissions file chosen by its lower-cased suffix.
 
-    CSV: header row; types inferred from the first ``infer_rows`` rows unless
-    ``schema`` is given; over-long rows are truncated (PERMISSIVE). Parquet as is.
-    Unknown suffix, missing path and no rows raise."""
+    CSV: dialect ``CSV_DIALECT``; columns are matched to ``schema`` by header name, types
+    inferred over the whole input unless ``schema`` is given; over-long rows are
+    truncated (PERMISSIVE). Parquet as is. Unknown suffix, missing path, a column of the
+    schema that the header lacks and no rows raise."""
     lower = path.lower().rstrip("/")
     if lower.endswith(".csv"):
-        base = schema if schema is not None else infer_csv_schema(spark, path, infer_rows)
+        base = schema if schema is not None else infer_csv_schema(spark, path)
         if isinstance(base, str):
             base = StructType.fromDDL(base)
-        as_text = StructType([StructField(f.name, StringType()) for f in base.fields])
-        raw = _read(spark.read.option("header", True).option("mode", "PERMISSIVE").schema(as_text).csv, path)
+        raw = read_csv_text(spark, path)
+        if absent := [f.name for f in base.fields if f.name not in raw.columns]:
+            raise ValueError(f"{path!r} has no column {absent}")
         df = raw.select(*[_typed(f.name, f.dataType, path) for f in base.fields])
     elif lower.endswith(".parquet"):
         df = _read(spark.read.parquet, path)
@@ -95,14 +95,13 @@ def read_submissions(spark: SparkSession, path: str, schema: StructType | str |
     return df
 
 
-def parse_cutoff(since: str | None) -> str | None:
-    """P7 parameter check: ``YYYY-MM-DD`` or empty; anything else raises."""
-    if not since:
+def parse_cutoff(since: str | None) -> date | None:
+    """P7 parameter check: an ISO day, or nothing for no cut-off."""
+    if since is None or since == "":
         return None
-    try:
-        return datetime.strptime(since, "%Y-%m-%d").strftime("%Y-%m-%d")
-    except ValueError as exc:
-        raise ValueError("Invalid date format - must be YYYY-MM-DD") from exc
+    if not re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", since):
+        raise ValueError(f"cut-off {since!r} is not a day like 2024-01-31")
+    return date.fromisoformat(since)
 
 
 def updated_since(df: DataFrame, since: str | None, column: str = "updated_at", inclusive: bool = False) -> DataFrame:
@@ -130,7 +129,7 @@ def read_form_submissions(spark: SparkSession, path: str, form_id: int | str | N
 def read_org_units(spark: SparkSession, path: str, type_name: str | None = None, type_col: str = "Type") -> DataFrame:
     """S3: the org-unit export (CSV with a header) with every column read as text;
     optionally only one type."""
-    df = _read(spark.read.option("header", True).option("inferSchema", False).csv, path)
+    df = read_csv_text(spark, path)
     return df.where(F.col(type_col) == F.lit(type_name)) if type_name is not None else df
 
 

@@ -164,15 +164,59 @@ def test_write_table_replace_and_append(spark):
     assert spark.table("fw_subs").count() == 1
 
 
-def test_csv_types_from_first_rows(spark, tmp_dir):
+def test_csv_types_from_the_whole_input(spark, tmp_dir):
     lines = ["a,b"] + [f"{i},x" for i in range(30)] + ["oops,y"]
     with open(f"{tmp_dir}/s.csv", "w") as fh:
         fh.write("\n".join(lines) + "\n")
-    sampled = read_submissions(spark, f"{tmp_dir}/s.csv", infer_rows=10)
-    assert dict(sampled.dtypes)["a"] == "int"
-    with pytest.raises(Exception, match="unparsable value"):  # no silent nulls for values past the sample
-        sampled.collect()
     assert dict(read_submissions(spark, f"{tmp_dir}/s.csv").dtypes)["a"] == "string"
+    with pytest.raises(Exception, match="unparsable value"):  # no silent nulls
+        read_submissions(spark, f"{tmp_dir}/s.csv", "a int, b string").collect()
+
+
+def test_csv_dialect_and_header_order(spark, tmp_dir):
+    with open(f"{tmp_dir}/q.csv", "w") as fh:
+        fh.write('b,id,a\n" pad ",1,"say ""hi"", ok"\n"two\nlines",2,""\nx,3,\n')
+    got = [tuple(r) for r in read_submissions(spark, f"{tmp_dir}/q.csv", "id int, a string, b string").collect()]
+    assert sorted(got) == [(1, 'say "hi", ok', " pad "), (2, "", "two\nlines"), (3, None, "x")]
+    with pytest.raises(ValueError, match="has no column"):
+        read_submissions(spark, f"{tmp_dir}/q.csv", "id int, c string")
+
+
+def test_csv_round_trip(spark, tmp_dir):
+    rows = [(1, "  pad  "), (2, ""), (3, None), (4, 'a "q", b\nc'), (5, "back\\slash")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    write_file(df, f"{tmp_dir}/r.csv", "csv")
+    assert sorted(tuple(r) for r in read_submissions(spark, f"{tmp_dir}/r.csv", "id int, t string").collect()) == rows
+    assert sorted(tuple(r) for r in read_submissions(spark, f"{tmp_dir}/r.csv").collect()) == rows
+
+
+def test_fingerprint_sees_every_change(spark, tmp_dir):
+    from formwork.operators.fingerprint import content_fingerprint
+
+    frames = [
+        spark.createDataFrame([(None, "x"), ("y", None)], "a string, b string"),
+        spark.createDataFrame([("x", None), (None, "y")], "a string, b string"),
+        spark.createDataFrame([(None, "x"), ("y", None)], "k string, z string"),
+        spark.createDataFrame([(1, 2)], "a int, b int"),
+        spark.createDataFrame([(1, 2)], "a long, b int"),
+        spark.createDataFrame([([["1"], ["2"]],)], "l array<array<string>>"),
+        spark.createDataFrame([([["1", "2"]],)], "l array<array<string>>"),
+        spark.createDataFrame([([["1", None, "2"]],)], "l array<array<string>>"),
+    ]
+    assert len({content_fingerprint(f) for f in frames}) == len(frames)
+    again = spark.createDataFrame([("y", None), (None, "x")], "a string, b string").repartition(3)
+    assert content_fingerprint(again) == content_fingerprint(frames[0])
+    versions = [snapshot_if_changed(spark, f, f"{tmp_dir}/snap") for f in (frames[0], again, frames[1], frames[2])]
+    assert versions == [("v1", True), ("v1", False), ("v2", True), ("v3", True)]
+
+
+def test_append_with_fewer_columns(spark):
+    from formwork.sinks.writers import write_table
+
+    spark.sql("DROP TABLE IF EXISTS fw_fewer")
+    write_table(spark, spark.createDataFrame([(1, "a")], "x int, y string"), "fw_fewer")
+    write_table(spark, spark.createDataFrame([(2,)], "x int"), "fw_fewer", "append")
+    assert sorted(tuple(r) for r in spark.table("fw_fewer").collect()) == [(1, "a"), (2, None)]
 
 
 def test_staged_decoding_equals_the_column_form(spark):
