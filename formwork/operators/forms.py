@@ -87,19 +87,13 @@ def join_questions_choices(questions: DataFrame, choices: DataFrame, on: tuple[s
     return matched.unionByName(unmatched)
 
 
-def _labels_by_column(choices: DataFrame, columns: list[str], language: str | None, max_literal: int) -> dict[str, dict[str, str]] | None:
+def _labels(choices: DataFrame, columns: list[str], language: str | None) -> DataFrame:
+    """One label per column and code (of several the smallest)."""
     lists = choices
     if language is not None and "language" in choices.columns:
         lists = lists.where(F.col("language") == language)
-    lists = lists.where(F.col("name").isin(columns)).select("name", "choice_value", "choice_label")
-    rows = lists.limit(max_literal + 1).collect()
-    if len(rows) > max_literal:
-        return None
-    out: dict[str, dict[str, str]] = {c: {} for c in columns}
-    for r in rows:
-        if r.choice_value is not None and r.choice_label is not None:
-            out[r.name].setdefault(str(r.choice_value), r.choice_label)
-    return out
+    lists = lists.where(F.col("name").isin(columns) & F.col("choice_value").isNotNull() & F.col("choice_label").isNotNull())
+    return lists.groupBy("name", F.col("choice_value").cast("string").alias("_code")).agg(F.min("choice_label").alias("_label"))
 
 
 def _relabel(mapping: Column):
@@ -120,14 +114,20 @@ def replace_labels(
 
     ``choices`` has ``name`` (the question / list name), ``choice_value``,
     ``choice_label`` and optionally ``language`` (D-21: the language is a parameter).
-    Up to ``max_literal`` labels become literal maps evaluated in the projection (no
-    join); beyond that each column is resolved by a left join on the code. Multi-select
-    columns (arrays) are mapped element by element.
+    Of several labels of a code the smallest is taken; columns without labels keep their
+    type. The rows are the same by either plan: up to ``max_literal`` labels become
+    literal maps in the projection, beyond that each labelled column is joined to its
+    labels; a multi-select column through its distinct lists, whose elements are joined
+    and put together again. (Streams take literal maps only.)
     """
     targets = [c for c in (columns or df.columns) if c in df.columns]
     if not targets:
         return df
-    labels = _labels_by_column(choices, targets, language, max_literal)
+    table = _labels(choices, targets, language)
+    rows = table.limit(max_literal + 1).collect()
+    labels = None
+    if len(rows) <= max_literal:
+        labels = {c: {r["_code"]: r["_label"] for r in rows if r["name"] == c} for c in targets}
     if labels is not None:
         out = []
         for c in df.columns:
@@ -141,17 +141,20 @@ def replace_labels(
             else:
                 out.append(F.coalesce(F.try_element_at(m, q(c).cast("string")), q(c).cast("string")).alias(c))
         return df.select(*out)
-    # Large label tables: one left join per column on the code.
     result = df
-    lang = choices.where(F.col("language") == language) if language is not None and "language" in choices.columns else choices
-    for c in targets:
-        lab = (
-            lang.where(F.col("name") == c)
-            .groupBy(F.col("choice_value").cast("string").alias("_code"))
-            .agg(F.min("choice_label").alias("_label"))
-        )
+    for c in [r["name"] for r in table.select("name").distinct().collect()]:
+        lab = table.where(F.col("name") == c).select("_code", "_label")
         if isinstance(df.schema[c].dataType, ArrayType):
-            raise ValueError(f"label table too large for the multi-select column {c!r}")
-        result = left_lookup(result, q(c).cast("string"), lab, "_code")
-        result = result.withColumn(c, F.coalesce(F.col("_label"), q(c).cast("string"))).drop("_label")
+            key = F.to_json(F.struct(q(c).alias("v")), {"ignoreNullFields": "false"})
+            lists = df.where(q(c).isNotNull()).select(key.alias("_list"), q(c).cast("array<string>").alias("_v")).groupBy("_list").agg(F.first("_v").alias("_v"))
+            parts = lists.select("_list", F.posexplode_outer("_v").alias("_pos", "_element"))
+            parts = left_lookup(parts, F.col("_element"), lab, "_code")
+            element = F.struct("_pos", F.coalesce("_label", "_element").alias("e"))
+            whole = parts.groupBy("_list").agg(F.array_sort(F.collect_list(F.when(F.col("_pos").isNotNull(), element))).alias("_es"))
+            whole = whole.select("_list", F.transform("_es", lambda x: x["e"]).alias("_label"))
+            result = left_lookup(result, F.when(q(c).isNotNull(), key), whole, "_list")
+        else:
+            result = left_lookup(result, q(c).cast("string"), lab, "_code")
+            result = result.withColumn("_label", F.coalesce(F.col("_label"), q(c).cast("string")))
+        result = result.withColumn(c, F.col("_label")).drop("_label")
     return result

@@ -8,16 +8,14 @@ from pyspark.sql import functions as F
 from formwork.functions.text import clean_name
 from formwork.operators.columns import canonical_columns, canonical_sort, drop_list_columns, list_columns, q
 
-DEFAULT_MAX_CATEGORIES = 1000
 
-
-def distinct_values(df: DataFrame, columns: list[str], max_categories: int = DEFAULT_MAX_CATEGORIES) -> dict[str, list[str]]:
+def distinct_values(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """A2: distinct non-null elements of each list column, in one job for all columns.
 
     The lists are exploded to (column index, value) pairs and de-duplicated by an
     aggregate with a map-side partial step, so a hot category is combined before the
-    shuffle. At most ``max_categories + 1`` values per column reach the driver; more
-    than ``max_categories`` raises, because each category becomes a column.
+    shuffle. Only the distinct values reach the driver; each becomes a column, so they
+    are as many as a row can hold.
     """
     if not columns:
         return {}
@@ -29,50 +27,53 @@ def distinct_values(df: DataFrame, columns: list[str], max_categories: int = DEF
         .groupBy("i", "v")
         .agg(F.lit(1).alias("_"))
     )
-    # Fetch at most k * (max + 1) + 1 pairs: if the limit cuts anything, some column
-    # has more than max_categories values among the fetched ones and we raise.
-    limited = exploded.select("i", "v").limit(len(columns) * (max_categories + 1) + 1)
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in limited.collect():
+    for row in exploded.select("i", "v").collect():
         found[columns[row.i]].append(row.v)
-    for c, vs in found.items():
-        if len(vs) > max_categories:
-            raise ValueError(f"list column {c!r} has more than {max_categories} distinct categories")
+    for vs in found.values():
         vs.sort()
     return found
 
 
-def one_hot_lists(df: DataFrame, max_categories: int = DEFAULT_MAX_CATEGORIES, categories: dict[str, list[str]] | None = None) -> DataFrame:
+def one_hot_lists(df: DataFrame, categories: dict[str, list[str]] | None = None) -> DataFrame:
     """for each list column and category, ``<col>_<clean(category)>`` is 1 when the
     list contains the category, else 0 (null list counts as 0), as a byte column.
     The list columns are kept; ``drop_list_columns`` removes them.
 
-    ``categories`` may be given (e.g. from the form's choices) to skip the scan.
+    ``categories`` may be given (e.g. from the form's choices) to skip the scan; a list
+    column without categories raises, and so does a row with a value outside them.
     Two categories that clean to one name, or a flag that would overwrite an existing
     column, raise (D-2).
     """
     cols = list_columns(df)
     if not cols:
         return df
-    cats = categories if categories is not None else distinct_values(df, cols, max_categories)
+    cats = categories if categories is not None else distinct_values(df, cols)
+    if categories is not None and (unknown := [c for c in cols if c not in cats]):
+        raise ValueError(f"no categories given for the list columns {unknown}")
     existing = set(df.columns)
     flags = []
     seen: dict[str, tuple[str, str]] = {}
     for c in cols:
-        for cat in cats.get(c, []):
+        checked = q(c)
+        if categories is not None:
+            other = F.array_except(F.filter(q(c), lambda v: v.isNotNull()), F.array(*[F.lit(x) for x in cats[c]]).cast(df.schema[c].dataType))
+            message = F.concat(F.lit(f"values of {c} outside its categories: "), F.to_json(other))
+            checked = F.when(F.size(other) > 0, F.raise_error(message).cast(df.schema[c].dataType)).otherwise(q(c))
+        for cat in cats[c]:
             name = f"{c}_{clean_name(cat)}"
             if name in seen or name in existing:
                 other = seen.get(name, (name, "existing column"))
                 raise ValueError(f"flag column {name!r} from {c!r}/{cat!r} collides with {other}")
             seen[name] = (c, cat)
-            flags.append(F.coalesce(F.array_contains(q(c), F.lit(cat)), F.lit(False)).cast("byte").alias(name))
+            flags.append(F.coalesce(F.array_contains(checked, F.lit(cat)), F.lit(False)).cast("byte").alias(name))
     return df.select(*[q(x) for x in df.columns], *flags)
 
 
-def flatten_submissions(df: DataFrame, id_col: str = "instanceid", sort: bool = True, max_categories: int = DEFAULT_MAX_CATEGORIES, categories: dict[str, list[str]] | None = None) -> DataFrame:
+def flatten_submissions(df: DataFrame, id_col: str = "instanceid", sort: bool = True, categories: dict[str, list[str]] | None = None) -> DataFrame:
     """F3 + P5 + P3 + O1: flags, drop the lists, alphabetical columns, and (optionally)
     the canonical row sort by the pre-sort column order."""
-    flagged = drop_list_columns(one_hot_lists(df, max_categories, categories), id_col)
+    flagged = drop_list_columns(one_hot_lists(df, categories), id_col)
     order = list(flagged.columns)
     out = canonical_columns(flagged)
     return canonical_sort(out, order) if sort else out

@@ -57,7 +57,7 @@ def submissions_stream(
     if choices is not None:
         subs = replace_labels(subs, choices, language=language)
     named = clean_column_names(subs)
-    flagged = one_hot_lists(named, categories={c: categories.get(c, []) for c in named.columns})
+    flagged = one_hot_lists(named, categories=categories)
     return canonical_columns(drop_list_columns(flagged))
 
 

@@ -45,10 +45,18 @@ def test_one_hot_collision_raises(spark):  # D-2
         one_hot_lists(df)
 
 
-def test_one_hot_category_cap(spark):
-    df = spark.createDataFrame([("i", [str(x) for x in range(20)])], "instanceid string, t array<string>")
-    with pytest.raises(ValueError, match="more than 5"):
-        one_hot_lists(df, max_categories=5)
+def test_one_hot_has_no_category_cap(spark):
+    df = spark.createDataFrame([("i", [str(x) for x in range(1200)])], "instanceid string, t array<string>")
+    assert len(one_hot_lists(df).columns) == 1202
+
+
+def test_one_hot_given_categories_cover_every_value(spark):
+    df = spark.createDataFrame([("i", ["a", "z", None]), ("j", ["b"])], "instanceid string, t array<string>")
+    assert one_hot_lists(df, categories={"t": ["a", "b", "z"]}).columns == ["instanceid", "t", "t_a", "t_b", "t_z"]
+    with pytest.raises(Exception, match="outside its categories"):
+        one_hot_lists(df, categories={"t": ["a", "b"]}).collect()
+    with pytest.raises(ValueError, match="no categories given"):
+        one_hot_lists(df, categories={"u": ["a"]})
 
 
 def test_instanceid_required(spark):
@@ -107,6 +115,15 @@ def test_replace_labels_join_path(spark):
     assert got == ["3", "one", "two"]
 
 
+def test_replace_labels_is_the_same_by_either_plan(spark):
+    df = spark.createDataFrame([("1", 7, ["1", None, "9", "2"]), ("4", None, []), (None, 8, None), ("2", 7, ["2", "2"])], "s string, n int, m array<string>")
+    choices = spark.createDataFrame([("s", "1", "z"), ("s", "1", "a"), ("s", "2", "two"), ("m", "2", "deux"), ("m", "1", "un"), ("x", "1", "no")], "name string, choice_value string, choice_label string")
+    one, other = (replace_labels(df, choices, max_literal=n) for n in (100, 0))
+    assert one.dtypes == other.dtypes == [("s", "string"), ("n", "int"), ("m", "array<string>")]
+    want = sorted([("a", 7, ["un", None, "9", "deux"]), ("4", None, []), (None, 8, None), ("two", 7, ["deux", "deux"])], key=str)
+    assert sorted(map(tuple, one.collect()), key=str) == want == sorted(map(tuple, other.collect()), key=str)
+
+
 def test_join_questions_choices_with_a_hot_list(spark):
     qs = spark.range(200).selectExpr("concat('q', id) AS name", "'select_one' AS type")
     hot = spark.range(5000).selectExpr("'q0' AS name", "CAST(id AS STRING) AS choice_value", "'L' AS choice_label")
