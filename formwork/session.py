@@ -46,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         current = tempfile.mkdtemp(prefix="formwork-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
