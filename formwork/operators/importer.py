@@ -14,7 +14,7 @@ from __future__ import annotations
 import time
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from formwork.functions.coerce import bad_number, coerce_int, text_to_number
@@ -124,7 +124,12 @@ def _create_columns(p: _Prepared, form_id: int, created_at: int, directory: str,
     org = coerce_int(q("org_unit_id"), df.schema["org_unit_id"].dataType) if "org_unit_id" in df.columns else F.lit(None).cast("bigint")
     # A row whose version has no rules cannot be validated: it fails on the template.
     reason = F.when(~p.has_template, F.lit("no_template")).when(~p.valid, F.lit("invalid")).when(org.isNull(), F.lit("bad_org_unit")).when(bad_number(df, NUMBERS), F.lit("bad_number"))
-    staged = _stage(p, {"_c_uuid": instance_uuid(row_key(df, key_cols or p.source_columns)), "_c_reason": reason})
+    key = row_key(df, key_cols or p.source_columns)
+    if key_cols is None:  # equal rows of a run are told apart by a number, runs by their time
+        same = F.xxhash64(*[q(c) for c in p.source_columns])
+        number = F.row_number().over(Window.partitionBy(same, key).orderBy(F.lit(1)))
+        key = F.concat_ws("#", key, number, F.lit(created_at))
+    staged = _stage(p, {"_c_uuid": instance_uuid(key), "_c_reason": reason})
     uuid, reason = staged["_c_uuid"], staged["_c_reason"]
     ok = reason.isNull()
     return {
@@ -194,7 +199,9 @@ def create_outbox(df: DataFrame, rules: Rules | None, form_id: int, *, rules_by_
                   key_cols: list[str] | None = None, keep: list[str] | None = None, version_col: str = "form_version") -> DataFrame:
     """K4: one outbox row per submission: ``imported`` with its document and creation
     body, or ``ignored`` with the first failing reason (validity, template, org unit).
-    ``created_at`` (epoch seconds) is fixed per run so retries agree."""
+    ``created_at`` (epoch seconds) is fixed per run so retries agree. Instance ids are
+    derived from ``key_cols`` (which must tell rows apart), else from the run, the whole
+    row and its number among equal rows."""
     p = _Prepared(df, rules, rules_by_version, strict, latest_version_id, version_col)
     cols = _create_columns(p, form_id, int(created_at if created_at is not None else time.time()), directory, key_cols)
     return _select(p.df, keep or [], cols)

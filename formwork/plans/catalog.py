@@ -62,10 +62,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. With ``spread_rows`` (queries whose per-row work dominates, e.g.
-    long texts) an input with fewer splits than cores is spread over them first."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _strip_sql(x: str) -> str:
@@ -975,6 +973,79 @@ def q_snapshot(spark, sf_dir):
     return spark.read.parquet(f"{root}/{MANIFEST}").select("number", "name", "rows")
 
 
+@register(
+    "snapshot_changes",
+    """SELECT v.number, 'v' || v.number AS name, count(*) AS rows FROM orders, (VALUES (1), (2), (3), (4), (5)) v(number)
+       GROUP BY v.number""",
+)
+def q_snapshot_changes(spark, sf_dir):
+    """K3 + A7: a null that moves to another column, a renamed column, a retyped one and
+    regrouped lists each give a new version; the same content again gives none."""
+    root = scratch_path(spark, "snapshot-changes")
+    orders = table(spark, sf_dir, "orders")
+    a, b = F.col("o_orderstatus"), F.lit(None).cast("string")
+    pair = lambda x, y: orders.select("o_orderkey", x.alias("a"), y.alias("b"))
+    lists = lambda *groups: orders.select("o_orderkey", F.array(*groups).alias("a"))
+    key = F.col("o_orderkey")
+    for content in (
+        pair(a, b), pair(a, b).repartition(3), pair(b, a), pair(b, a).withColumnRenamed("a", "c"),
+        lists(F.array(key), F.array(key)), lists(F.array(key, key)), lists(F.array(key, key)),
+    ):
+        snapshot_if_changed(spark, content, root)
+    return spark.read.parquet(f"{root}/{MANIFEST}").select("number", "name", "rows")
+
+
+_CSV_TEXT = """CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat('  "', text, '", \\ ') ELSE text END"""
+
+
+@register("csv_round_trip", f"SELECT n_chars, {_CSV_TEXT} AS text, doc_id FROM documents")
+def q_csv_round_trip(spark, sf_dir):
+    """K1 then S1: whole texts with quotes, line breaks, outer blanks, empty and null,
+    written as CSV and read back by header name, the columns in another order."""
+    path = scratch_path(spark, "texts") + ".csv"
+    docs = table(spark, sf_dir, "documents")
+    write_file(docs.select("doc_id", F.expr(_CSV_TEXT.replace("\\", "\\\\")).alias("text"), "n_chars"), path, "csv")
+    return read_submissions(spark, path, "n_chars bigint, text string, doc_id bigint")
+
+
+@register(
+    "chained_calculates",
+    """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) + 1 AS a, (CAST(l_quantity AS BIGINT) + 1) * 2 AS b,
+              CAST(0 AS BIGINT) AS c, (CAST(l_quantity AS BIGINT) + 1) * 2 <= 60 AS ok FROM lineitem""",
+)
+def q_chained_calculates(spark, sf_dir):
+    """V2 + F5: formulas that use earlier calculated fields, a rejected one (0), and a
+    constraint on a calculated field."""
+    rules = rules_from_rows([
+        {"name": "l_quantity", "type": "integer"}, {"name": "a", "type": "calculate", "calculation": "round(${l_quantity}) + 1"},
+        {"name": "b", "type": "calculate", "calculation": "${a} * 2", "constraint": ".<=60"}, {"name": "c", "type": "calculate", "calculation": "if(${a})"},
+    ])
+    out = validate_rows(table(spark, sf_dir, "lineitem"), rules)
+    return out.select("l_orderkey", "l_linenumber", "a", "b", "c", F.col("constraints_validation_summary").alias("ok"))
+
+
+@register(
+    "versioned_outcomes",
+    """SELECT o_orderkey, CASE WHEN reason IS NULL THEN 'imported' ELSE 'ignored' END AS outcome, reason FROM (
+         SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN 'no_template'
+                WHEN 1 + o_orderkey % 6 > CASE WHEN o_orderkey % 4 = 2 THEN 3 ELSE 4 END THEN 'invalid'
+                WHEN o_orderkey % 5 = 0 THEN 'bad_number' END AS reason FROM orders)""",
+)
+def q_versioned_outcomes(spark, sf_dir):
+    """K4 + V3 + F13: versions with their own calculated field and constraint, a version
+    without definition, and coordinates that are no numbers or blank."""
+    key = F.col("o_orderkey")
+    rules = {
+        v: rules_from_rows([{"name": "x", "type": "integer"}, {"name": "a", "type": "calculate", "calculation": "${x} + 1", "constraint": f".<={limit}"}])
+        for v, limit in (("0", 4), ("1", 4), ("2", 3))
+    }
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (key % 6).cast("string").alias("x"), (key % 4).cast("string").alias("form_version"), key.alias("org_unit_id"),
+        F.when(key % 5 == 0, "abc").when(key % 5 == 1, " ").otherwise("1.5").alias("latitude"),
+    )
+    return create_outbox(rows, None, 1, rules_by_version=rules, created_at=RUN_EPOCH, keep=["o_orderkey"]).select("o_orderkey", "outcome", "reason")
+
+
 @register("read_files", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def q_read_files(spark, sf_dir):
     """K1 then S1: customers written as CSV and read back by suffix with a schema."""
