@@ -44,6 +44,8 @@ REGISTERS = 83
 #: Texts of a block, and rows that travel together.
 BLOCK = 192
 GROUP = 4_000
+#: Texts whose shingles a group keeps at hand.
+HELD = 1024
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -264,26 +266,27 @@ def _across(size: int, least: float):
     """Components that the texts of each (key, pair of blocks) of a group join: one link
     from a component to the smallest one it is joined with."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
+    def run(members: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
         shingler, press = Shingler(size), zstandard.ZstdDecompressor()
+        packed, own_keys = dict(zip(texts["e"], texts["z"])), dict(zip(texts["e"], texts["keys"]))
         held: dict[bytes, np.ndarray] = {}
         found: set[tuple[bytes, bytes]] = set()
-        for _, part in group.groupby(["key", "x", "y"], sort=True):
+        for _, part in members.groupby(["key", "x", "y"], sort=True):
             labels, label = np.unique(part["label"].to_numpy(), return_inverse=True)
             if len(labels) < 2:
                 continue
             ds, band = part["d"].tolist(), int(part["band"].iat[0])
-            for d, z in zip(ds, part["z"]):
+            if len(held) > HELD:
+                held.clear()
+            for d in ds:
                 if d not in held:
-                    if len(held) >= 4096:
-                        held.clear()
-                    held[d] = shingler.of(press.decompress(z))
-            here = [held.get(d) if d in held else shingler.of(press.decompress(z)) for d, z in zip(ds, part["z"])]
+                    held[d] = shingler.of(press.decompress(packed[d]))
+            here = [held[d] for d in ds]
             blk, x, y = part["blk"].to_numpy(), part["x"].iat[0], part["y"].iat[0]
             wanted = label[:, None] != label[None, :]
             if x != y:
                 wanted &= blk[:, None] != blk[None, :]
-            keys = np.array([np.frombuffer(k, np.int64, band) for k in part["keys"]]).reshape(len(ds), band)
+            keys = np.array([np.frombuffer(k, np.int64, band) for k in map(own_keys.get, ds)]).reshape(len(ds), band)
             for k in range(band):  # pairs that share an earlier key are compared there
                 wanted &= keys[:, None, k] != keys[None, :, k]
             if not wanted.any():
@@ -316,23 +319,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(entries.join(counts, "key").select("key", "band", "d", "n"), "shared")
     degree = shared.groupBy("d").agg(F.sum("n").alias("degree"))
-    hubs = shared.join(degree, "d").groupBy("key").agg(F.max(F.struct("degree", "d")).alias("hub")).select("key", F.col("hub.d").alias("hub"))
+    best = shared.join(degree, "d").groupBy("key").agg(F.max(F.struct("degree", "d")).alias("hub")).select("key", F.col("hub.d").alias("hub"))
+    hubs = stored(best, "hubs")
     pairs = stored(shared.join(hubs, "key").where("d != hub").select(F.col("hub").alias("p"), F.col("d").alias("q")).distinct(), "pairs")
     needed = pairs.select(F.col("p").alias("d")).union(pairs.select(F.col("q").alias("d"))).distinct()
     pressed = rows_.select("d", "text").where("d is not null").mapInArrow(_pressed, T.StructType([T.StructField("d", T.BinaryType()), T.StructField("z", T.BinaryType())]))
-    texts = stored(pressed.groupBy("d").agg(F.first("z").alias("z")).join(needed, "d", "left_semi"), "texts")
+    texts = stored(pressed.groupBy("d").agg(F.first("z").alias("z")).join(needed, "d", "left_semi").join(unique.select("d", "keys"), "d"), "texts")
     links = stored(_links(pairs, texts, size, least), "links")
     # texts that share a key but no component so far
     label = components(links, "p", "q").withColumnRenamed("vertex", "d")
     member = stored(shared.join(label, "d", "left").select("key", "band", "d", F.coalesce("component", "d").alias("label")), "member")
     mixed = member.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n")).where("a != b")
-    mixed = stored(mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n"), "mixed")
+    mixed = stored(mixed.join(hubs, "key").select("key", "hub", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n"), "mixed")
     total = mixed.agg(F.sum("n")).first()[0] or 0
     spread = member.join(mixed.drop("n"), "key").withColumn("blk", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
-    spread = spread.join(unique.select("d", "keys"), "d").join(texts, "d").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.withColumn("x", F.least("blk", "o")).withColumn("y", F.greatest("blk", "o"))
-    group = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(total // GROUP + 1))).otherwise(F.xxhash64("key", "x", "y"))
-    joined = spread.withColumn("g", group).drop("o", "blocks").groupBy("g").applyInPandas(_across(size, least), _JOINED)
+    # small keys of one hub (at most one for each band) travel together: they hold much
+    # the same texts, and a text is sent once to a group
+    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("hub"), F.lit(total // GROUP + 1))).otherwise(F.xxhash64("key", "x", "y"))
+    spread = stored(spread.withColumn("g", group).select("g", "key", "band", "d", "label", "blk", "x", "y"), "spread")
+    sent = spread.select(F.col("g").alias("to"), F.col("d").alias("e")).distinct()
+    sent = sent.join(texts.withColumnRenamed("d", "e"), "e")
+    joined = spread.groupBy("g").cogroup(sent.groupBy("to")).applyInPandas(_across(size, least), _JOINED)
     links = links.unionByName(stored(joined, "joined"))
     final = components(links, "p", "q").withColumnRenamed("vertex", "d")
     owned = unique.select("d", "id").join(final, "d", "left").select("d", "id", F.coalesce("component", "d").alias("component"))
