@@ -1,17 +1,18 @@
 """License scans by conditional compression.
 
-A block of text around a licence word is compressed alone and with each template as a
-zstandard raw dictionary. Templates are ranked by how many bytes they save; the best are
-aligned word by word with the block, and a template is confirmed when nearly all of its
-words stand there in order and every word that tells licences apart (versions, numbers,
-``not``, ``non-commercial`` and the like) agrees exactly. The differences are returned.
+Every template is aligned word by word with a block of text around a licence word, from
+every word it can begin at. It is confirmed where nearly all of its words stand in order
+and every word that tells licences apart (versions, numbers, ``not``, ``non-commercial``
+and the like) agrees exactly. The block is compressed alone and with each confirmed
+template as a zstandard raw dictionary: of places that overlap, the one whose template
+saves most bytes is taken. The differences are returned.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
-from difflib import SequenceMatcher
 from functools import lru_cache
 
 import zstandard
@@ -61,9 +62,7 @@ _HINT = re.compile(r"licen[cs]|copyright|permission|redistribut|public domain|fr
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 #: Characters before and after a hint that belong to its block, lines permitting.
 REACH = 700
-#: Templates aligned per block, best saving first, and the share of a template's words
-#: that must be found.
-ALIGNED = 4
+#: The share of a template's words that must be found.
 MIN_WORDS_FOUND = 0.85
 LEVEL = 9
 
@@ -114,62 +113,100 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def savings(block: str) -> list[tuple[int, Template]]:
-    """Bytes saved by each template as a dictionary, most first (ties: as listed)."""
+def savings(block: str, among: list[Template] | None = None) -> list[tuple[int, Template]]:
+    """Bytes saved by each template as a dictionary, most first (ties: longest)."""
     data = block.encode("utf-8", "surrogatepass")
     alone = len(_alone().compress(data))
-    saved = [(alone - len(t.press.compress(data)), t) for t in templates()]
-    return sorted((s for s in saved if s[0] > 0), key=lambda s: -s[0])
+    saved = [(alone - len(t.press.compress(data)), t) for t in (templates() if among is None else among)]
+    return sorted(saved, key=lambda s: (-s[0], -len(s[1].words)))
+
+
+def align(want: list[str], own: list[str], start: int) -> list[tuple[int, int]] | None:
+    """Pairs (word of the block, word of the template) of the best alignment that begins
+    at ``start``: most words found, then fewest added, then latest. No telling word may be left over on
+    either side; None where too few words are found."""
+    n = len(want)
+    may_miss = n - math.ceil(MIN_WORDS_FOUND * n)
+    last = max((j for j, w in enumerate(want) if _telling(w)), default=-1)
+    best = None
+    # by words of the template passed: (found, -added, pairs as a chain)
+    states: dict[int, tuple] = {}
+    for i in range(start, min(len(own), start + n + 2 * max(2, n // 5))):
+        word = own[i]
+        then = {} if _telling(word) or i == start else {j: (found, less - 1, chain) for j, (found, less, chain) in states.items()}
+        begin = [(0, (0, 0, None))] if i == start else sorted(states.items())
+        for j, (found, less, chain) in begin:
+            # template words from j on that may be missing, up to the next equal one
+            while j < n and j - found <= may_miss:
+                if want[j] == word:
+                    new = (found + 1, less, (chain, (i, j)))
+                    if j + 1 not in then or new[:2] >= then[j + 1][:2]:
+                        then[j + 1] = new
+                    if j >= last and new[0] >= n - may_miss and (best is None or new[:2] > best[:2]):
+                        best = new
+                if _telling(want[j]):
+                    break
+                j += 1
+        states = then
+        if not states:
+            break
+    if best is None:
+        return None
+    pairs, chain = [], best[2]
+    while chain:
+        chain, pair = chain
+        pairs.append(pair)
+    return pairs[::-1]
 
 
-def confirm(template: Template, words: list[tuple[str, int, int]]) -> tuple[int, int, list[str], list[str]] | None:
-    """(first word, last word + 1, missing words, added words) where the wording of the
-    template stands among the words of a block; None where it does not."""
+def confirm(template: Template, words: list[tuple[str, int, int]]) -> list[tuple[int, int, list[str], list[str]]]:
+    """(first word, last word + 1, missing words, added words) of every place where the
+    wording of the template stands among the words of a block, best first."""
     own = [w for w, _, _ in words]
     want = template.words
-    anchor = SequenceMatcher(None, own, want, autojunk=False).find_longest_match()
-    if not anchor.size:
-        return None
-    slack = max(2, len(want) // 5)
-    a = max(0, anchor.a - anchor.b - slack)
-    b = min(len(own), anchor.a + len(want) - anchor.b + slack)
-    matches = [m for m in SequenceMatcher(None, own[a:b], want, autojunk=False).get_matching_blocks() if m.size]
-    if not matches or sum(m.size for m in matches) < MIN_WORDS_FOUND * len(want):
-        return None
-    first, last = a + matches[0].a, a + matches[-1].a + matches[-1].size
-    found = {i for m in matches for i in range(m.b, m.b + m.size)}
-    used = {a + i for m in matches for i in range(m.a, m.a + m.size)}
-    missing = [w for i, w in enumerate(want) if i not in found]
-    added = [own[i] for i in range(first, last) if i not in used]
-    return None if any(map(_telling, missing + added)) else (first, last, missing, added)
+    n = len(want)
+    there = set(own)
+    telling = {w for w in want if _telling(w)}
+    if not telling <= there or sum(w in there for w in want) < MIN_WORDS_FOUND * n:
+        return []
+    heads = set()
+    for w in want[: n - math.ceil(MIN_WORDS_FOUND * n) + 1]:
+        heads.add(w)
+        if w in telling:
+            break
+    reach = n + 2 * max(2, n // 5)
+    out = []
+    for start, w in enumerate(own):
+        if w not in heads or not telling.issubset(own[start : start + reach]):
+            continue
+        if pairs := align(want, own, start):
+            first, last = pairs[0][0], pairs[-1][0] + 1
+            found, used = {j for _, j in pairs}, {i for i, _ in pairs}
+            out.append((first, last, [w for j, w in enumerate(want) if j not in found], [own[i] for i in range(first, last) if i not in used]))
+    return sorted(out, key=lambda h: (len(h[2]), len(h[3]), h[0]))
 
 
 def find_notices(text: str) -> list[tuple[str, int, int, int, list[str], list[str]]]:
     """(licence, start, end, bytes saved, missing words, added words) of the notices of
-    a text, by start. A confirmed notice is blanked and its block searched again."""
+    a text, by start. Confirmed notices are blanked and their block searched again."""
     out = []
     for a, b in blocks(text) if _HINT.search(text) else []:
         block = text[a:b]
-        while True:
-            words = words_of(block)
-            best = None
-            seen: set[int] = set()
-            for saved, t in savings(block)[: ALIGNED * 2]:
-                if len(seen) >= ALIGNED:
-                    break
-                seen.add(id(t))
-                if hit := confirm(t, words):
-                    # most bytes saved; a longer wording stands for the shorter one in it
-                    if best is None or len(t.words) > len(best[1].words) and saved >= best[0]:
-                        best = (saved, t, hit)
-            if best is None:
-                break
-            saved, t, (first, last, missing, added) = best
-            start, end = words[first][1], words[last - 1][2]
-            out.append((t.name, a + start, a + end, saved, missing, added))
-            block = block[:start] + " " * (end - start) + block[end:]
-            if not _HINT.search(block):
-                break
+        words = words_of(block)
+        while hits := {id(t): h for t in templates() if (h := confirm(t, words))}:
+            taken = bytearray(len(words))
+            for saved, t in savings(block, [t for t in templates() if id(t) in hits]):
+                for first, last, missing, added in hits[id(t)]:
+                    if not any(taken[first:last]):
+                        taken[first:last] = b"\1" * (last - first)
+                        out.append((t.name, a + words[first][1], a + words[last - 1][2], saved, missing, added))
+            at, left = 0, []
+            for k, (_, start, end) in enumerate(words):
+                if taken[k]:
+                    left += [block[at:start], " " * (end - start)]
+                    at = end
+            block = "".join([*left, block[at:]])
+            words = [w for k, w in enumerate(words) if not taken[k]]
     return sorted(out, key=lambda n: (n[1], n[0]))
 
 

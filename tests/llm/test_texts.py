@@ -170,6 +170,19 @@ def test_licenses(spark):
     assert spaced[0][0] == "GPL-3.0" and spaced[0][5] == ["the", "terms", "of"]
 
 
+def test_licenses_behind_near_misses():
+    """Near misses, however many, hide no notice of their block."""
+    miss = "This work is licensed under the GNU General Public License, version 1."
+    mit = "Released under the MIT License."
+    for text in (f"{miss}\n{mit}", f"{mit}\n{miss}", "\n".join([miss] * 50 + [mit] + [miss.replace("1", "7")] * 50)):
+        assert [(n[0], text[n[1] : n[2]]) for n in licenses.find_notices(text)] == [("MIT", mit[:-1])]
+    wordings = [(name, t) for name, ts in licenses.TEMPLATES.items() for t in ts]
+    text = "\n".join(f"{t} {miss}" for _, t in wordings)
+    assert [n[0] for n in licenses.find_notices(text)] == [name for name, _ in wordings]
+    gpl = licenses.TEMPLATES["GPL-3.0"][0]
+    assert [n[0] for n in licenses.find_notices(f"{gpl.replace('3', '4')} {gpl} {gpl.replace('3', '5')}")] == ["GPL-3.0"]
+
+
 def test_bpe_against_the_library(spark):
     own, other = codec(vocabulary_path()), Tokenizer.from_file(vocabulary_path())
     rng = random.Random(7)
