@@ -37,6 +37,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
 _MARK = re.compile(r"[0-9@]")
+#: The "at" of an address without an at-sign: in brackets, or between blanks where a
+#: spelt-out dot follows (the forms of ``_ADDRESS``).
+_SPELT_AT = re.compile(r"(?<=[(\[])at(?=[)\]])|(?<= )at(?= [a-z0-9-]+(?: dot [a-z0-9-]+)* dot [a-z]{2})", re.IGNORECASE | re.ASCII)
 
 
 def luhn(digits: str) -> bool:
@@ -97,7 +100,7 @@ _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|_|\w")
 
 @dataclass
 class Passage:
-    """Tokens of a stretch of text around digits and at-signs."""
+    """Tokens of a stretch of text around digits, at-signs and spelt-out ones."""
 
     text: str
     spans: list[tuple[int, int]]  # of tokens, in the text
@@ -109,9 +112,10 @@ class Passage:
 def passages(text: str):
     """Stretches that can hold a span: tokens within MAX_TOKENS of a marked one."""
     spans = [m.span() for m in _TOKEN.finditer(text)]
+    spelt = {m.start() for m in _SPELT_AT.finditer(text)}
     first = last = -1
     for i, (a, b) in enumerate(spans):
-        if _MARK.match(text, a, b):
+        if _MARK.match(text, a, b) or a in spelt:
             if first >= 0 and i - MAX_TOKENS > last:
                 yield Passage(text, spans[first:last])
                 first = -1
@@ -122,7 +126,7 @@ def passages(text: str):
         yield Passage(text, spans[first:last])
 
 
-_AT = frozenset(("@", "at", "AT", "At"))
+_AT = frozenset(("@", "at", "AT", "At", "aT"))
 #: What an address can look like: an at-sign or a bracketed "at", or a spelt-out one when
 #: its dots are spelt out too; the last part has letters only.
 _ADDRESS = re.compile(
@@ -335,7 +339,7 @@ SPAN = T.StructType([
 
 def all_spans(text: str, model: SemiMarkov) -> list[tuple[str, int, int, bool]]:
     """Pattern spans and the field's spans that overlap none of them, by kind, start."""
-    if not _MARK.search(text):
+    if not _MARK.search(text) and not _SPELT_AT.search(text):
         return []
     base = pattern_spans(text)
     taken = sorted((a, b) for _, a, b in base)

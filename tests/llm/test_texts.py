@@ -120,6 +120,15 @@ def test_semi_markov_learns_what_patterns_miss():
     assert personal_data.all_spans("x@y", personal_data.SemiMarkov()) == []
 
 
+def test_spelt_out_addresses_without_a_digit():
+    texts = [f"some words user{i}.y@mail{i}.example.com then more words here" for i in range(150)]
+    model = personal_data.SemiMarkov().fit(personal_data.training_data(texts))
+    for address in ("joe [at] example.com", "joe(at)example.com", "joe at example dot com", "joe.doe [AT] mail.example.com"):
+        text = f"{'plain words and ' * 20}ask {address} for more{' plain words and' * 20}"
+        assert [(k, text[a:b], base) for k, a, b, base in personal_data.all_spans(text, model)] == [("email", address, False)], address
+    assert personal_data.all_spans("we meet at noon (at home) at the dot of nine", model) == []
+
+
 def test_semi_markov_gradient_and_best_path():
     """The gradient is that of the likelihood; the best path is the best of all."""
     p = next(personal_data.passages("id 10.2.3.4 and 4111111111111111 or a@b.cd"))
