@@ -299,19 +299,10 @@ def _across(size: int, least: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
-    """The class of every document: documents linked by similarity, directly or through
-    others.
-
-    Returns one row per row of ``docs``: the id, ``component_id`` (the smallest id of
-    its class, its own included) and ``kept`` (id = component_id). Ids are integers.
-    Null, empty and blank texts are in no class but their own and kept; equal texts are
-    in one class, so of rows that repeat id and text each has the same result. Rows
-    without an id take part, and are kept only in a class without any id. No rows give
-    no rows; other columns are not read.
-    """
+def _owned(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, digest d, text), and the digest, smallest id and component of every
+    distinct text with words."""
     text = F.col(quoted(text_col)).cast("string")
-    ids = docs.schema[id_col].dataType
     rows_ = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.unhex(F.md5(text)).alias("d"), text.alias("text"))
     signed = rows_.mapInArrow(_signed(size, bands, rows), _KEYS)
     unique = stored(signed.where("keys is not null").groupBy("d").agg(F.min("id").alias("id"), F.first("keys").alias("keys")), "unique")
@@ -345,6 +336,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.unionByName(stored(joined, "joined"))
     final = components(links, "p", "q").withColumnRenamed("vertex", "d")
     owned = unique.select("d", "id").join(final, "d", "left").select("d", "id", F.coalesce("component", "d").alias("component"))
+    return rows_, owned
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """The class of every document: documents linked by similarity, directly or through
+    others.
+
+    Returns one row per row of ``docs``: the id, ``component_id`` (the smallest id of
+    its class, its own included) and ``kept`` (id = component_id). Ids are integers.
+    Null, empty and blank texts are in no class but their own and kept; equal texts are
+    in one class, so of rows that repeat id and text each has the same result. Rows
+    without an id take part, and are kept only in a class without any id. No rows give
+    no rows; other columns are not read.
+    """
+    rows_, owned = _owned(docs, id_col, text_col, size, least, bands, rows, block)
+    ids = docs.schema[id_col].dataType
     smallest = owned.groupBy("component").agg(F.min("id").alias("smallest"))
     classes = owned.join(smallest, "component").select(F.col("d").alias("e"), "smallest")
     out = rows_.select("id", "d").join(classes, F.col("d") == F.col("e"), "left")
@@ -354,11 +361,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """``docs`` with one row of every class, the one with the smallest id; of rows that
-    repeat id and text one stays. Texts without words all stay. ``docs`` is read several
-    times and should be a table."""
-    d = F.coalesce(F.md5(F.col(quoted(text_col)).cast("string")), F.lit("")).alias("__llm_d")
-    words = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    gone = near_duplicates(docs, id_col, text_col, **parameters).where("not kept").select(F.col(quoted(id_col)).alias("__llm_id")).distinct()
-    rest = docs.where(words).select("*", d).join(gone, F.col(quoted(id_col)).eqNullSafe(F.col("__llm_id")), "left_anti")
+    """``docs`` with one row of every class: the one with the smallest id, of several
+    texts with that id (or of a class without any id) the text with the smallest digest.
+    Of rows that repeat id and text one stays; an id that is shared by texts of different
+    classes, or missing, has no effect on the others. Texts without words all stay.
+    ``docs`` is read several times and should be a table."""
+    rows_, owned = _owned(docs, id_col, text_col, **parameters)
+    # null ids last; a row goes unless it has both the id and the text that stay
+    stay = owned.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "d")).alias("stay"))
+    stay = owned.join(stay, "component").select(F.col("d").alias("e"), "stay")
+    gone = rows_.select("id", "d").join(stay, F.col("d") == F.col("e")).where(~(F.col("id").eqNullSafe(F.col("stay.id")) & (F.col("d") == F.col("stay.d"))))
+    gone = gone.select(F.col("id").alias("__llm_gone_id"), F.col("d").alias("__llm_gone_d")).distinct()
+    text = F.col(quoted(text_col)).cast("string")
+    d = F.coalesce(F.unhex(F.md5(text)), F.lit(b"")).alias("__llm_d")
+    words = F.coalesce(text, F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    same = F.col(quoted(id_col)).cast("long").eqNullSafe(F.col("__llm_gone_id")) & (F.col("__llm_d") == F.col("__llm_gone_d"))
+    rest = docs.where(words).select("*", d).join(gone, same, "left_anti")
     return rest.dropDuplicates([id_col, "__llm_d"]).drop("__llm_d").unionByName(docs.where(~words))

@@ -93,6 +93,16 @@ def test_drop_near_duplicates_keeps_one_row(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, 5, 7, 8, None, 21]))
 
 
+def test_drop_near_duplicates_missing_and_shared_ids(spark):
+    other = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcde"]
+    near = other[4] + " tail"
+    rows = [(1, LONG), (None, LONG), (None, other[0]), (None, other[1]), (None, other[1]), (2, other[2]), (3, other[2]), (3, other[3]), (None, other[4]), (None, near)]
+    kept = sorted((str(r.doc_id), r.text) for r in drop_near_duplicates(edge_frame(spark, rows)).collect())
+    last = [t for i, t in kept if t in (other[4], near)]
+    assert len(last) == 1
+    assert kept == sorted([("1", LONG), ("None", other[0]), ("None", other[1]), ("2", other[2]), ("3", other[3]), ("None", last[0])])
+
+
 def test_personal_patterns_against_brute_force():
     rng = random.Random(5)
     parts = [*"0123456789.@ab+-() é", "12", "255", "256", "1.2.3.4", "4111111111111111", "a@b.c", "+1 (456) 555-2186"]
