@@ -1,20 +1,23 @@
 """Secrets: fixed patterns, and guess costs of values in credential contexts.
 
 The guess cost of a value is the least number of guesses (log10) over all its
-segmentations into common words, dates, repeats, keyboard walks, runs of consecutive
+segmentations into common words and affixes, dates, repeats, keyboard walks, runs of consecutive
 characters and brute-force spans, found by dynamic programming. A value in a credential
 context whose cost reaches a threshold is a secret.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from formwork.llm.frames import map_text
+from formwork.llm.tokens import vocabulary_path
 
 KINDS = ("assign", "access", "hex", "guess")
 #: log10 of the guesses from which a value in a credential context is a secret.
@@ -41,13 +44,30 @@ COMMON = (
     "love summer winter spring autumn january december company office home money computer internet "
     "the and for you with this that from have your not are was but all can her one our out day get"
 ).split()
-RANK = {w: i + 1 for i, w in enumerate(COMMON)}
+#: Endings and beginnings of words, and log10 of their number.
+AFFIXES = frozenset("s es ed er ers or ors ing ings ly al ally ion ions ment ments ness able ible ity ies ful less ish ism ist ists ized ised izing un re dis non pre sub over".split())
+AFFIX_COST = math.log10(len(AFFIXES))
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "1qaz2wsx3edc4rfv5tgb6yhn7ujm8ik,9ol.0p;/")
 _NEXT = {(a, b) for row in ROWS for a, b in zip(row, row[1:])} | {(b, a) for row in ROWS for a, b in zip(row, row[1:])}
 _PLAIN = str.maketrans("0134578@$!", "oieastbasi")
 _DATE = re.compile(r"(?:(?:19|20)[0-9]{2}(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12][0-9]|3[01]))?)?|(?:0?[1-9]|[12][0-9]|3[01])[-/.](?:0?[1-9]|1[0-2])[-/.](?:(?:19|20)?[0-9]{2}))")
 
 
+@lru_cache(maxsize=1)
+def ranks() -> tuple[dict[str, int], frozenset[str], int]:
+    """Rank of every guessable word (``COMMON``, then the words of the public vocabulary,
+    which lists them by how often they are merged), their beginnings, and the greatest
+    length."""
+    with open(vocabulary_path(), encoding="utf-8") as f:
+        listed = json.load(f)["model"]["vocab"]
+    out = {w: i + 1 for i, w in enumerate(COMMON)}
+    for t in sorted(listed, key=listed.get):
+        # whole words begin with the letter that stands for a blank
+        if t[0] == "\u0120" and len(t) > 3 and t[1:].isascii() and t[1:].isalpha():
+            out.setdefault(t[1:].lower(), len(out) + 1)
+    return out, frozenset(w[:3] for w in out), max(map(len, out))
+
+
 def _alphabet(s: str) -> int:
     return max(10, 26 * any("a" <= c <= "z" for c in s) + 26 * any("A" <= c <= "Z" for c in s) + 10 * any("0" <= c <= "9" for c in s) + 33 * any(not c.isalnum() for c in s) + 100 * any(ord(c) > 127 for c in s))
 
@@ -56,11 +76,14 @@ def _parts(s: str):
     """Segments (start, end, log10 of guesses) of the cheap kinds."""
     n, low = len(s), s.lower()
     plain = low.translate(_PLAIN)
-    longest = max(map(len, RANK))
+    rank, heads, longest = ranks()
     for i in range(n):
-        for j in range(i + 3, min(n, i + longest) + 1):
+        for j in range(i + 1, min(n, i + 5) + 1):
+            if low[i:j] in AFFIXES:
+                yield i, j, AFFIX_COST + (0.0 if s[i:j].islower() else 0.1 * (j - i))
+        for j in range(i + 3, min(n, i + longest) + 1) if low[i : i + 3] in heads or plain[i : i + 3] in heads else ():
             for word, extra in ((low[i:j], 0.0), (plain[i:j], 0.3)):
-                if (r := RANK.get(word)) is not None:
+                if (r := rank.get(word)) is not None:
                     case = 0.0 if s[i:j].islower() or not s[i:j].isalpha() else 0.3 if s[i].isupper() and s[i + 1 : j].islower() else 0.1 * (j - i)
                     yield i, j, math.log10(r * 2) + extra + case
         for j in range(min(n, i + 10), i + 3, -1):
@@ -129,13 +152,18 @@ def all_spans(text: str, least: float = MIN_GUESSES) -> list[tuple[str, int, int
         out.append((kind, a, b, True, cost))
     if _CONTEXT_HINT.search(text):
         taken = sorted((a, b) for _, a, b in base)
-        k = 0
-        for m in _CONTEXT.finditer(text):
-            a, b = m.span(1)
+        k = at = 0
+        while m := _CONTEXT.search(text, at):
+            a, at = m.span(1)
             while k < len(taken) and taken[k][1] <= a:
                 k += 1
-            value = text[a:b].rstrip(".:!?)")
-            if all(x >= b or y <= a for x, y in taken[k : k + 4]) and not value.isalpha() and (cost := guess_cost(value)) >= least:
+            value = text[a:at]
+            if k < len(taken) and taken[k][0] < at:
+                # up to a base span that follows "&", and on after the span
+                x, at = taken[k]
+                value = text[a : x - 1] if x > a and text[x - 1] == "&" else ""
+            value = value.rstrip(".:!?)")
+            if (cost := guess_cost(value)) >= least:
                 out.append(("guess", a, a + len(value), False, cost))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 

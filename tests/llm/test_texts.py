@@ -177,6 +177,16 @@ def test_guess_costs_and_contexts(spark):
     assert got[20] == [("guess", 11, 23, False)] and got[21] == [] and got[22] == [("assign", 0, 21, True)] and got[1] == []
 
 
+def test_secrets_of_letters_and_beside_patterns():
+    found = lambda t: [t[a:b] for kind, a, b, _, _ in secrets.all_spans(t) if kind == "guess"]
+    for name, value in (("pwd: ", "QzXwVtRnKpLmHdJs"), ("passphrase = ", "kTqWzVbNxRp"), ("password is ", "XkQzVwTnBrLp")):
+        assert found(f"the {name}{value} here") == [value]
+    for value in ("required", "authentication", "whatever", "REQUIRED", "Elephants", "mandatory", "misunderstood", "forgotten", "confidential"):
+        assert found(f"pin: {value} and password is {value}.") == [], value
+    assert found("api_key=ABCDEFGH12&pwd=Xk9$mQ2!vL7z") == ["Xk9$mQ2!vL7z"]
+    assert found("pwd=Xk9$mQ2!vL7z&api_key=ABCDEFGH12&pwd=zq8LmW0pRt") == ["Xk9$mQ2!vL7z", "zq8LmW0pRt"]
+
+
 def test_licenses(spark):
     apache = licenses.TEMPLATES["Apache-2.0"][0]
     text = f"words before\n{apache} {LONG[:4000]}\nReleased under the MIT License.\nLicensed under the Apache License, Version 1.1.\nReleased under the terms of MIT License"
