@@ -22,7 +22,6 @@ from formwork.llm.tokens import vocabulary_path
 KINDS = ("assign", "access", "hex", "guess")
 #: log10 of the guesses from which a value in a credential context is a secret.
 MIN_GUESSES = 8.0
-MAX_VALUE = 256
 MAX_PART = 40
 
 _ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -121,9 +120,8 @@ def _parts(s: str):
 
 
 def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation of a value takes (values
-    beyond MAX_VALUE characters cost at least as much as their first ones)."""
-    s = value[:MAX_VALUE]
+    """log10 of the guesses that the cheapest segmentation of a whole value takes."""
+    s = value
     each = math.log10(_alphabet(s))
     ends: list[list[tuple[int, float]]] = [[] for _ in range(len(s) + 1)]
     for i, j, cost in _parts(s):

@@ -187,6 +187,12 @@ def test_secrets_of_letters_and_beside_patterns():
     assert found("pwd=Xk9$mQ2!vL7z&api_key=ABCDEFGH12&pwd=zq8LmW0pRt") == ["Xk9$mQ2!vL7z", "zq8LmW0pRt"]
 
 
+def test_guess_cost_of_a_long_value():
+    tail = "Xk9$mQ2!vL7z"
+    assert secrets.guess_cost("a" * 300) < secrets.MIN_GUESSES < secrets.guess_cost("a" * 300 + tail)
+    assert [s[0] for s in secrets.all_spans(f"pwd: {'=' * 300}{tail}")] == ["guess"]
+
+
 def test_licenses(spark):
     apache = licenses.TEMPLATES["Apache-2.0"][0]
     text = f"words before\n{apache} {LONG[:4000]}\nReleased under the MIT License.\nLicensed under the Apache License, Version 1.1.\nReleased under the terms of MIT License"
