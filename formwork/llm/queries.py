@@ -13,6 +13,7 @@ from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.embedding_dedup import link_vectors
 from formwork.llm.frames import ship, stored
 from formwork.llm.licenses import scan_licenses
+from formwork.llm.merkle import manifest_proofs
 from formwork.llm.minhash_dedup import near_duplicates
 from formwork.llm.packing import best_fit_pack, token_pieces
 from formwork.llm.personal_data import find_personal_data, n_base, span_digest
@@ -26,6 +27,7 @@ ORACLE: dict[str, str] = {
     "op1_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op6_quality_rules": oracles.QUALITY,
     "op8_embedding_dedup": oracles.EMBEDDING_DEDUP,
+    "op13_merkle_manifest": oracles.MERKLE,
 }
 
 
@@ -118,6 +120,18 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether the proof holds for the text
+    found now: that of every document whose id's checksum 5 divides is in lower case."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    now = F.when(tampered, F.translate("text", upper, upper.lower())).otherwise(F.col("text"))
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    out = manifest_proofs(docs, "doc_id", "source", ["doc_id", "source", "lang", "n_chars", "text"], {"text": now})
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 #: Captures that a crawler would have made of the pages: every page once in full, and a
 #: later (some: earlier) conditional request under another spelling of its URL, answered
 #: with 304 and entity tag, date, both stale, or none. One SQL text for both engines.
