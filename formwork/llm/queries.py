@@ -12,6 +12,7 @@ from formwork.llm import oracles
 from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.embedding_dedup import link_vectors
 from formwork.llm.frames import ship, stored
+from formwork.llm.graph_search import build_index, search_index
 from formwork.llm.licenses import scan_licenses
 from formwork.llm.merkle import manifest_proofs
 from formwork.llm.minhash_dedup import near_duplicates
@@ -120,6 +121,13 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return search_index(build_index(vectors), vectors.where("vec_id % 20 = 0"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether the proof holds for the text
