@@ -288,8 +288,8 @@ def search_index(index: Index, queries: DataFrame, id_col: str = "vec_id", vecto
     asked = stored(_rows(queries, id_col, vector_col).withColumn("key", F.md5(F.to_json(F.struct("vector")))), "queries")
     distinct = asked.groupBy("key").agg(F.first("vector").alias("vector"))
     blocks = max(1, -(-distinct.count() // query_block))
-    sent = distinct.select(F.size("vector").alias("size"), F.explode(F.sequence(F.lit(0), F.lit(index.shards - 1))).cast("long").alias("shard"), F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"), "key", "vector")
-    graphs = index.nodes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long"))
+    sent = distinct.select(F.size("vector").alias("size"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(index.shards - 1).cast("long"))).alias("shard"), F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"), "key", "vector")
+    graphs = index.nodes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     by = ["size", "shard", "block"]
     found = graphs.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(_beams(k, beam), "key string, id long, score double")
     nearest = [F.when(F.isnan("score"), F.lit(float("-inf"))).otherwise(F.col("score")).desc(), F.col("id")]
