@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from formwork.llm import oracles
+from formwork.llm.alignment import RESULTS, align_tokenizers
 from formwork.llm.bpe_automaton import encode_decode
 from formwork.llm.embedding_dedup import link_vectors
 from formwork.llm.frames import ship, stored
@@ -121,6 +122,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers cut every document, and how usual its links are."""
+    return align_tokenizers(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", *RESULTS)
+
+
 @query
 def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth vector."""
