@@ -63,7 +63,8 @@ def _ranged(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 
 @dataclass
 class Manifest:
-    """``leaves``: id, grp, leaf, claimed, tree, position, size (leaves of the tree);
+    """``leaves``: id, grp, leaf, claimed, tree, position, size (leaves of the tree), block
+    (the leaf partition);
     ``nodes``: every node above the leaves of the group trees, and the whole top tree
     (``tree`` = TOP); ``trees``: number of groups; ``root``: hash of the table, None
     for a table without rows."""
@@ -74,30 +75,34 @@ class Manifest:
     root: str | None
 
 
-def _derive(pdf: pd.DataFrame) -> pd.DataFrame:
+def _derive(deep: int):
     """The levels above the aligned nodes of one partition."""
-    pdf = pdf.sort_values("index")
-    tree, level, size = int(pdf["tree"].iloc[0]), int(pdf["level"].iloc[0]), int(pdf["size"].iloc[0])
-    first, hashes, out = int(pdf["index"].iloc[0]), pdf["hash"].tolist(), []
-    for _ in range(DEEP):
-        if size == 1:
-            break
-        hashes = [digest("".join(hashes[a : a + FANOUT])) for a in range(0, len(hashes), FANOUT)]
-        first, size, level = first // FANOUT, -(-size // FANOUT), level + 1
-        out += [(tree, level, first + i, size, h) for i, h in enumerate(hashes)]
-    return pd.DataFrame(out, columns=["tree", "level", "index", "size", "hash"])
-
-
-def _grow(bottom: DataFrame, name: str) -> DataFrame:
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("index")
+        tree, level, size = int(pdf["tree"].iloc[0]), int(pdf["level"].iloc[0]), int(pdf["size"].iloc[0])
+        first, hashes, out = int(pdf["index"].iloc[0]), pdf["hash"].tolist(), []
+        for _ in range(deep):
+            if size == 1:
+                break
+            hashes = [digest("".join(hashes[a : a + FANOUT])) for a in range(0, len(hashes), FANOUT)]
+            first, size, level = first // FANOUT, -(-size // FANOUT), level + 1
+            out += [(tree, level, first + i, size, h) for i, h in enumerate(hashes)]
+        return pd.DataFrame(out, columns=["tree", "level", "index", "size", "hash"])
+
+    return run
+
+
+def _grow(bottom: DataFrame, name: str, deep: int) -> DataFrame:
     """All nodes above ``bottom`` (columns of NODE)."""
     spark = bottom.sparkSession
     size = bottom.agg(F.max("size")).first()[0] or 0
     level, made, now = 0, [], bottom
     while size > 1:
-        block = F.floor(F.col("index") / (FANOUT**DEEP)).alias("block")
-        up = stored(now.groupBy("tree", block).applyInPandas(_derive, NODE), name)
+        block = F.floor(F.col("index") / (FANOUT**deep)).alias("block")
+        up = stored(now.groupBy("tree", block).applyInPandas(_derive(deep), NODE), name)
         made.append(up)
-        for _ in range(DEEP):
+        for _ in range(deep):
             size, level = -(-size // FANOUT), level + 1
         now = up.where((F.col("level") == level) & (F.col("size") > 1))
     out = spark.createDataFrame([], NODE)
@@ -106,7 +111,7 @@ def _grow(bottom: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def build_manifest(records: DataFrame, id_col: str, group_col: str, leaf_col: str, claimed_col: str | None = None) -> Manifest:
+def build_manifest(records: DataFrame, id_col: str, group_col: str, leaf_col: str, claimed_col: str | None = None, deep: int = DEEP) -> Manifest:
     """The trees over ``records``, a table of ids, groups and leaf hashes.
 
     Leaves of a group ascend by id, then by leaf (null ids first); groups ascend by
@@ -125,13 +130,14 @@ def build_manifest(records: DataFrame, id_col: str, group_col: str, leaf_col: st
     starts = runs.withColumn("start", before - F.col("first")).alias("r").join(trees.alias("t"), F.col("r.grp").eqNullSafe(F.col("t.grp")))
     starts = starts.select(F.col("r.part"), F.col("r.grp"), "start", "tree", "size").alias("s")
     placed = ranged.alias("l").join(starts, (F.col("l.part") == F.col("s.part")) & F.col("l.grp").eqNullSafe(F.col("s.grp")))
-    leaves = stored(placed.select("id", F.col("l.grp").alias("grp"), "leaf", "claimed", "tree", (F.col("start") + F.col("seq")).alias("position"), "size"), "placed")
+    position = F.col("start") + F.col("seq")
+    leaves = stored(placed.select("id", F.col("l.grp").alias("grp"), "leaf", "claimed", "tree", position.alias("position"), "size", F.floor(position / (FANOUT**deep)).alias("block")), "placed")
     bottom = leaves.select("tree", F.lit(0).alias("level"), F.col("position").alias("index"), "size", F.col("leaf").alias("hash"))
-    lower = _grow(bottom, "nodes")
+    lower = _grow(bottom, "nodes", deep)
     count = trees.count()
     tops = bottom.unionByName(lower).where("size = 1")
     tops = stored(tops.select(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("index"), F.lit(count).cast("long").alias("size"), "hash"), "subroots")
-    upper = tops.unionByName(_grow(tops, "top"))
+    upper = tops.unionByName(_grow(tops, "top", deep))
     root = upper.where("size = 1").first() if count else None
     return Manifest(leaves, lower.unionByName(upper), count, root and root["hash"])
 
@@ -220,7 +226,6 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None, siblings: bool =
     schema += ", siblings array<string>" if siblings else ""
     if manifest.root is None:
         return spark.createDataFrame([], schema)
-    leaves = leaves.withColumn("block", F.floor(F.col("position") / (FANOUT**DEEP)))
     asked = leaves.select("tree", "block", "size", "position").groupBy("tree", "block").applyInPandas(_requests(manifest.trees), "of long, block long, tree long, level int, index long")
     bottom = manifest.leaves.select("tree", F.lit(0).alias("level"), F.col("position").alias("index"), F.col("leaf").alias("hash"))
     nodes = manifest.nodes.select("tree", "level", "index", "hash")
@@ -233,7 +238,7 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None, siblings: bool =
     return leaves.groupBy("tree", "block").cogroup(found.groupBy("of", "block")).applyInPandas(_expand(manifest.trees, manifest.root, siblings, names), schema)
 
 
-def manifest_proofs(docs: DataFrame, id_col: str, group_col: str, fields: Sequence[str], claimed: Mapping[str, Column] | None = None, siblings: bool = False) -> DataFrame:
+def manifest_proofs(docs: DataFrame, id_col: str, group_col: str, fields: Sequence[str], claimed: Mapping[str, Column] | None = None, siblings: bool = False, deep: int = DEEP) -> DataFrame:
     """The manifest of ``docs`` and a proof of every row.
 
     A leaf covers the ``fields`` in their order; ``claimed`` gives, per field, the value
@@ -246,4 +251,5 @@ def manifest_proofs(docs: DataFrame, id_col: str, group_col: str, fields: Sequen
     own = [F.col(quoted(f)) for f in fields]
     now = [(claimed or {}).get(f, c) for f, c in zip(fields, own)]
     rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(group_col)).alias("grp"), record_hash(own).alias("leaf"), *([record_hash(now).alias("claimed")] if claimed else []))
-    return prove(build_manifest(rows, "id", "grp", "leaf", "claimed" if claimed else None), siblings=siblings)
+    rows = stored(rows, "digests")  # texts are read once; the sort that follows reads its input twice
+    return prove(build_manifest(rows, "id", "grp", "leaf", "claimed" if claimed else None, deep), siblings=siblings)

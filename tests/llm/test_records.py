@@ -119,7 +119,7 @@ def test_queries_against_sql(spark, name):
 
 def test_every_operator_has_a_query():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_against_brute_force(spark):
