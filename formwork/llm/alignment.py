@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from formwork.llm.frames import quoted, stored, without
-from formwork.llm.tokens import PieceEncoder, byte_letters, vocabulary_path
+from formwork.llm.tokens import SPLIT, PieceEncoder, Vocabulary, vocabulary_path
 
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
@@ -54,20 +54,17 @@ class ByteLevel(Tokenizer):
     """A byte-level vocabulary, encoding a space and the text."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer as Fast
-
-        fast = Fast.from_file(path)
-        fast.no_truncation()
-        fast.no_padding()
-        fast.encode_special_tokens = True
-        letter = byte_letters()
-        size = fast.get_vocab_size()
-        special = {i for i in range(size) if (t := fast.id_to_token(i)) and any(c not in letter for c in t)}
-        super().__init__([fast.id_to_token(i).encode() if i in special else bytes(letter[c] for c in fast.id_to_token(i) or "") for i in range(size)])
-        self._piece = PieceEncoder(lambda t: np.array(fast.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), {})
+        import tiktoken
+
+        v = Vocabulary(path)
+        super().__init__([v.labels.get(i, b"") for i in range(max(v.labels) + 1)])
+        bpe = tiktoken.Encoding("vocabulary", pat_str=SPLIT.pattern, mergeable_ranks=v.ids, special_tokens={})
+        self._piece = PieceEncoder(lambda t: np.array(bpe.encode_ordinary(t), "<u4").tobytes(), {})  # special tokens are plain text
+        self._mark = self._piece.encode("x")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(self._piece(" " + t), "<u4").astype(np.int64) for t in texts]
+        # a letter in front makes the added space one between words; its token is cut off
+        return [np.frombuffer(self._piece("x " + t), "<u4", offset=len(self._mark)).astype(np.int64) for t in texts]
 
 
 class Pieces(Tokenizer):
@@ -97,14 +94,11 @@ def _spells(token_bytes: list[bytes], ids: list[int], raw: bytes) -> bool:
 class Aligner:
     def __init__(self, first: Tokenizer, second: Tokenizer) -> None:
         self.a, self.b = first, second
-        # an id followed by a comma, or by the mark that ends its part of a group
+        # an id followed by a comma, or by the mark that ends its side of a group
         self.text = np.array([f"{i}{mark}" for size, end in ((len(first.length), "|"), (len(second.length), ";")) for i in range(size) for mark in (",", end)], object)
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a text by both tokenizers; none where either fails to spell it."""
-        return self.block_tokens([text])[0]
-
-    def block_tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of texts by both tokenizers; none where either fails to spell a text."""
         none = np.zeros(0, np.int64)
         out = []
         for t, a, b in zip(texts, self.a.encode(texts), self.b.encode(texts)):
@@ -116,7 +110,7 @@ class Aligner:
     def align(self, texts: list[str]) -> tuple[list[tuple], np.ndarray, np.ndarray, np.ndarray]:
         """Per text (n_a, n_b, n_groups, n_links, groups text), and the links of the
         block as arrays: number of the text, first id, second id."""
-        ids = self.block_tokens(texts)
+        ids = self.tokens(texts)
         n_a, n_b = (np.array([len(x[s]) for x in ids], np.int64) for s in (0, 1))
         a, b = (np.concatenate([x[s] for x in ids]) for s in (0, 1))
         end_a, end_b = np.cumsum(self.a.length[a]), np.cumsum(self.b.length[b])
@@ -144,7 +138,6 @@ class Aligner:
         code = np.empty(len(a) + len(b), np.int64)
         code[np.arange(len(a)) + before_b[group_a]] = 2 * a + closes_a
         code[np.arange(len(b)) + (upto_a[group_b] if groups else 0)] = 2 * (len(self.a.length) + b) + closes_b
-        # the last token of each side of a group carries the mark; both close together
         cut = np.concatenate([[0], np.cumsum(n_a + n_b)])
         measures = []
         for i in range(len(texts)):
