@@ -14,10 +14,11 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from formwork.functions.text import strip_strings
 from formwork.operators.forms import latest_version
+from formwork.sources.csv_records import csv_records
 
 SUBMISSION_SUFFIXES = (".csv", ".parquet")
 
@@ -44,19 +45,37 @@ CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"'}
 #: The reader takes a field for null when it equals the null text, quoted or not; so
 #: quoted empty fields are read as this mark first.
 EMPTY_MARK = "\x00empty\x00"
+CSV_PARSING = {k: v for k, v in CSV_DIALECT.items() if k != "header"}
 CSV_READING = {"multiLine": "true", "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "emptyValue": EMPTY_MARK, "nullValue": ""}
+CSV_PARSING |= CSV_READING
+
+
+def _header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of CSV files (their first record alone is read)."""
+    return _read(spark.read.options(**CSV_DIALECT, **CSV_READING, inferSchema="false").csv, path).columns
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file or folder with every column as text, named by its header."""
-    raw = _read(spark.read.options(**CSV_DIALECT, **CSV_READING, inferSchema="false").csv, path)
-    columns = [F.col("`" + c.replace("`", "``") + "`") for c in raw.columns]
-    return raw.select(*[F.when(c == EMPTY_MARK, F.lit("")).otherwise(c).alias(n) for c, n in zip(columns, raw.columns)])
+    """A CSV file or folder with every column as text, named by its header; large files
+    are read in many tasks (``csv_records``)."""
+    names = _header(spark, path)
+    if not names:
+        return spark.createDataFrame([], StructType([]))
+    plain = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
+    parsed = csv_records(spark, path).select(F.from_csv("record", plain.simpleString()[7:-1].replace(":", " "), CSV_PARSING).alias("r"))
+    return parsed.select(*[F.when(c == EMPTY_MARK, F.lit("")).otherwise(c).alias(n) for n, c in ((n, F.col(f"r.c{i}")) for i, n in enumerate(names))])
 
 
-def infer_csv_schema(spark: SparkSession, path: str) -> StructType:
+def infer_csv_schema(spark: SparkSession, path: str, names: list[str] | None = None) -> StructType:
     """Column types inferred over the whole input (one pass; give a schema to save it)."""
-    return _read(spark.read.options(**CSV_DIALECT, **CSV_READING, inferSchema="true").csv, path).schema
+    names = names or _header(spark, path)
+    records = csv_records(spark, path)
+    reader = spark._jsparkSession.read()
+    for key, value in {**CSV_PARSING, "header": "false", "inferSchema": "true"}.items():
+        reader = reader.option(key, value)
+    texts = getattr(records._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = DataFrame(reader.csv(texts), spark).schema.fields
+    return StructType([StructField(n, found[i].dataType if i < len(found) else StringType()) for i, n in enumerate(names)])
 
 
 def _typed(name: str, data_type, path: str):
