@@ -7,6 +7,7 @@ runs per row and no formula is ever evaluated with ``eval``.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark import SparkContext
@@ -26,15 +27,59 @@ def _col(c: Column | str) -> Column:
     return F.col("`" + c + "`") if isinstance(c, str) else c
 
 
+# Character classes of the rule language, in the JVM's spelling: letters and numbers of all
+# scripts, decimal digits, white space.
+_CLASSES = {"w": r"\p{L}\p{N}_", "d": r"\p{Nd}", "s": r"\t-\r\x1c-\x20\x85\p{Z}"}
+
+
+def _escape(letter: str, in_class: bool) -> str:
+    """A backslash and a letter of the rule language."""
+    if letter in _CLASSES:
+        return _CLASSES[letter] if in_class else f"[{_CLASSES[letter]}]"
+    if letter.lower() in _CLASSES:
+        return f"[^{_CLASSES[letter.lower()]}]"
+    return r"\z" if letter == "Z" and not in_class else "\\" + letter
+
+
+def _respelt(pattern: str) -> str:
+    """The pattern with classes, ends, braces and brackets as the JVM's engine reads
+    them; groups are left alone."""
+    out, i, in_class = [], 0, -1
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\" and i + 1 < len(pattern):
+            out.append(_escape(pattern[i + 1], in_class >= 0))
+            i += 2
+            continue
+        if in_class >= 0:
+            if c == "]" and i > in_class:
+                in_class = -1
+            elif c in "[]&":  # plain characters of a class here, operators there
+                c = "\\" + c
+        elif c == "[":
+            in_class = i + (2 if pattern[i + 1 : i + 2] == "^" else 1)
+            out.append(pattern[i:in_class])
+            i = in_class
+            continue
+        elif c == "{":
+            quantity = re.match(r"\{(\d+,?\d*|,\d*)\}", pattern[i:])
+            c = "\\{" if not quantity else "{0" if pattern[i + 1] == "," else c
+        out.append(c)
+        i += 1
+    return "".join(out)
+
+
 def java_pattern(pattern: str) -> str | None:
-    """The pattern for the JVM's engine (named groups in its spelling); None where the
-    rule language or the JVM rejects it, which makes every value invalid."""
+    """The pattern for the JVM's engine; None where the rule language or the JVM rejects
+    it, which makes every value invalid. Classes take all scripts, only ``\\n`` ends a
+    line, and named groups are spelt the JVM's way."""
     try:
         re.compile(pattern)
     except re.error:
         return None
-    out = re.sub(r"\(\?P<(\w+)>", lambda m: "(?<" + m.group(1).replace("_", "") + ">", pattern)
-    out = re.sub(r"\(\?P=(\w+)\)", lambda m: "\\k<" + m.group(1).replace("_", "") + ">", out)
+    out = _respelt(pattern)
+    out = re.sub(r"\(\?P<(\w+)>", lambda m: "(?<" + m.group(1).replace("_", "") + ">", out)
+    out = "(?du)" + re.sub(r"\(\?P=(\w+)\)", lambda m: "\\k<" + m.group(1).replace("_", "") + ">", out)
     sc = SparkContext._active_spark_context
     if sc is not None:
         try:
@@ -44,32 +89,55 @@ def java_pattern(pattern: str) -> str | None:
     return out
 
 
+@dataclass(frozen=True)
+class Check:
+    """A constraint rule taken apart: ``kind`` is ``regex`` (with the JVM's pattern),
+    ``at_most``, ``at_least`` (with a bound), ``present`` or ``never``."""
+
+    kind: str
+    pattern: str | None = None
+    bound: float | None = None
+
+
+def parse_constraint(rule: str) -> Check:
+    """F4 on the driver: the check that a rule text stands for."""
+    m = REGEX_RULE.search(rule) if rule.startswith("regex") else None
+    if m:
+        pattern = java_pattern(m.group(1))
+        return Check("never") if pattern is None else Check("regex", pattern=rf"\A(?:{pattern})")
+    if rule.startswith((LE_PREFIX, GE_PREFIX)):
+        try:
+            return Check("at_most" if rule.startswith(LE_PREFIX) else "at_least", bound=float(rule[3:]))
+        except ValueError:
+            return Check("never")
+    return Check("present")
+
+
+def as_number(c: Column, data_type=None) -> Column:
+    """The value that numeric rules compare; NaN and text that is no number give null."""
+    value = c.cast("double") if isinstance(data_type, NumericType) else text_to_number(c if isinstance(data_type, StringType) else c.cast("string"), "double", StringType())
+    return F.nanvl(value, F.lit(None).cast("double"))
+
+
 def check_constraint(c: Column | str, rule: str, data_type=None) -> Column:
     """validity of a value under a rule, never null (null value -> false, D-6).
 
     - ``regex(., 'p')``: the pattern must match at the start of the text (``re.match``).
-    - ``.<=n`` / ``.>=n``: numeric comparison; a non-numeric value or an unparsable
-      threshold gives false.
+    - ``.<=n`` / ``.>=n``: numeric comparison; a value that is no number (NaN included)
+      or an unparsable threshold gives false.
     - anything else: true.
     """
     col = _col(c)
-    text = col if isinstance(data_type, StringType) else col.cast("string")
-    result: Column
-    m = REGEX_RULE.search(rule) if rule.startswith("regex") else None
-    if m:
-        pattern = java_pattern(m.group(1))
-        if pattern is None:
-            return F.lit(False)
-        result = text.rlike("^(?:" + pattern + ")")
-    elif rule.startswith(LE_PREFIX) or rule.startswith(GE_PREFIX):
-        try:
-            threshold = float(rule[3:])
-        except ValueError:
-            return F.lit(False)
-        value = col.cast("double") if isinstance(data_type, NumericType) else text_to_number(text, "double", StringType())
-        result = value <= F.lit(threshold) if rule.startswith(LE_PREFIX) else value >= F.lit(threshold)
-    else:
+    check = parse_constraint(rule)
+    if check.kind == "regex":
+        result = (col if isinstance(data_type, StringType) else col.cast("string")).rlike(check.pattern)
+    elif check.kind == "never":
+        return F.lit(False)
+    elif check.kind == "present":
         result = col.isNotNull()
+    else:
+        value = as_number(col, data_type)
+        result = value <= F.lit(check.bound) if check.kind == "at_most" else value >= F.lit(check.bound)
     return F.coalesce(result, F.lit(False))
 
 

@@ -21,12 +21,21 @@ from pyspark.sql.types import ArrayType, MapType, StructField, StructType
 from formwork.operators.columns import q
 
 
+#: Nested values as JSON: nulls kept, times to the microsecond (the default stops at
+#: milliseconds).
+JSON_FORM = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def _hashable(field: StructField) -> list[Column]:
     """A null mark and the value; lists, maps and structs as JSON (hashes skip nulls and
     the borders of lists)."""
     value = q(field.name)
     if isinstance(field.dataType, (ArrayType, MapType, StructType)):
-        return [value.isNull(), F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})]
+        return [value.isNull(), F.to_json(F.struct(value.alias("v")), JSON_FORM)]
     return [value.isNull(), value]
 
 
@@ -48,8 +57,13 @@ def fingerprint_columns(df: DataFrame) -> list:
 def content_fingerprint(df: DataFrame) -> tuple[int, str]:
     """(rows, fingerprint text); equal content gives equal values whatever the row
     order or partitioning. Columns are taken in name order."""
-    row = df.agg(*fingerprint_columns(df)).collect()[0]
-    return int(row["rows"]), f"{row['rows']}:{row['xxhash_sum']}:{row['murmur_sum']}:{schema_mark(df)}"
+    return fingerprint_of(df, df.agg(*fingerprint_columns(df)).collect()[0].asDict())
+
+
+def fingerprint_of(df: DataFrame, sums: dict) -> tuple[int, str]:
+    """(rows, fingerprint text) from the values of ``fingerprint_columns``, computed by an
+    aggregate or observed while ``df`` was written."""
+    return int(sums["rows"]), f"{sums['rows']}:{sums['xxhash_sum']}:{sums['murmur_sum']}:{schema_mark(df)}"
 
 
 def row_count(df: DataFrame) -> int:

@@ -28,7 +28,7 @@ from formwork.functions.documents import (
     update_payload,
 )
 from formwork.operators.columns import q, question_fields
-from formwork.operators.lookup import left_lookup
+from formwork.operators.lookup import fits_broadcast, hot_keys, left_lookup
 from formwork.operators.validate import Rules, row_validity, validate_rows, validate_rows_by_version
 
 IMPORTED, UPDATED, DELETED, IGNORED, UNROUTED = "imported", "updated", "deleted", "ignored", "unrouted"
@@ -73,12 +73,17 @@ class _Prepared:
         if version_col in df.columns:
             if rules_by_version is None:
                 raise ValueError(f"'{version_col}' present: rules per version are needed")
-            checked = validate_rows_by_version(df, rules_by_version, version_col)
+            # versions whose documents have the same shape share one expression
+            shapes: dict[tuple, list[str]] = {}
+            for version, r in sorted(rules_by_version.items()):
+                shapes.setdefault((tuple(r.names()), r.group()), []).append(version)
+            marks = {v: i for i, versions in enumerate(shapes.values()) for v in versions}
+            checked = validate_rows_by_version(df, rules_by_version, version_col, marks, "_v_shape")
             self.df = checked.withColumnsRenamed({"row_valid": "_v_valid", "has_template": "_v_template"})
             self.valid = F.col("_v_valid") if strict else F.lit(True)
             self.has_template = F.col("_v_template")
             self.version: Column = q(version_col).cast("string")
-            self.by_version = rules_by_version
+            self.shapes = [rules_by_version[versions[0]] for versions in shapes.values()]
         else:
             if rules is None:
                 raise ValueError("rules are needed")
@@ -87,17 +92,16 @@ class _Prepared:
             self.valid = row_validity(self.df, strict)
             self.has_template = F.lit(True)
             self.version = F.lit(latest_version_id)
-            self.by_version = None
+            self.shapes = None
         self.rules = rules
 
     def _per_version(self, build) -> Column:
-        if self.by_version is None:
+        if self.shapes is None:
             return build(self.rules, self.version)
-        out = None
-        for version, rules in sorted(self.by_version.items()):
-            doc = build(rules, F.lit(version))
-            out = F.when(self.version == F.lit(version), doc) if out is None else out.when(self.version == F.lit(version), doc)
-        return out if out is not None else F.lit(None).cast("string")
+        out = F.lit(None).cast("string")
+        for i, rules in enumerate(self.shapes):
+            out = F.when(F.col("_v_shape") == i, build(rules, self.version)).otherwise(out)
+        return out
 
     def fields(self, rules: Rules) -> list[str]:
         """Question columns in frame order, calculated ones included (they are part of
@@ -179,7 +183,9 @@ def _locks(df: DataFrame, instances: DataFrame | None) -> tuple[DataFrame, Colum
     locks = instances.groupBy(F.col("id").cast("bigint").alias("_lock_id")).agg(
         F.bool_or(F.coalesce(F.col("is_locked"), F.lit(False))).alias("_locked")
     )
-    joined = left_lookup(df, coerce_int(q("id"), df.schema["id"].dataType), locks, "_lock_id")
+    key = coerce_int(q("id"), df.schema["id"].dataType)
+    hot = [] if df.isStreaming or fits_broadcast(instances.select("id", "is_locked")) else hot_keys(df, key)
+    joined = left_lookup(df, key, locks, "_lock_id", hot=hot)
     return joined, F.coalesce(F.col("_locked"), F.lit(False))
 
 

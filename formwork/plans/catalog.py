@@ -8,6 +8,7 @@ as form definitions are.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +43,7 @@ from formwork.operators.validate import (
     valid_rows,
 )
 from formwork.session import scratch_path
-from formwork.sinks.writers import MANIFEST, snapshot_if_changed, write_file
+from formwork.sinks.writers import MANIFEST, append_once, snapshot_if_changed, write_file
 from formwork.sources.readers import read_form_submissions, read_org_units, read_submissions
 from formwork.streaming.incremental import run_incremental_extract
 
@@ -528,7 +529,8 @@ def q_shared_arcs(spark, sf_dir):
     "constraint_range",
     """WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_quantity END AS q FROM lineitem)
        SELECT l_orderkey, l_linenumber, COALESCE(q <= 40, false) AS qty_le_40, COALESCE(q >= 5, false) AS qty_ge_5,
-              false AS qty_bad_rule, q IS NOT NULL AS qty_other, COALESCE(q <= 40, false) AS qty_text_le_40
+              false AS qty_bad_rule, q IS NOT NULL AS qty_other, COALESCE(q <= 40, false) AS qty_text_le_40,
+              COALESCE(q >= 5 AND q < 45, false) AS qty_nan_ge_5, COALESCE(q >= 5 AND q < 45, false) AS qty_nan_text_ge_5
        FROM l""",
 )
 def q_constraint_range(spark, sf_dir):
@@ -545,6 +547,9 @@ def q_constraint_range(spark, sf_dir):
         check_constraint("q", ".<=abc", t["q"]).alias("qty_bad_rule"),
         check_constraint("q", "required-if(other)", t["q"]).alias("qty_other"),
         check_constraint("q_text", ".<=40", t["q_text"]).alias("qty_text_le_40"),
+        # NaN is no number that passes a bound
+        check_constraint(F.when(F.col("q") < 45, F.col("q")).otherwise(F.lit(float("nan"))), ".>=5", t["q"]).alias("qty_nan_ge_5"),
+        check_constraint(F.when(F.col("q") < 45, F.col("q_text")).otherwise(F.lit("nan")), ".>=5", t["q_text"]).alias("qty_nan_text_ge_5"),
     )
 
 
@@ -553,17 +558,22 @@ def q_constraint_range(spark, sf_dir):
     """WITH o AS (SELECT o_orderkey, NULLIF(o_orderpriority, '5-LOW') AS p FROM orders)
        SELECT o_orderkey, COALESCE(regexp_matches(p, '^(?:[1-3]-)'), false) AS prio_ok,
               COALESCE(regexp_matches(p, '^(?:URGENT)'), false) AS urgent_ok,
-              COALESCE(regexp_matches(p, '^(?:\\d-[A-Z]+ [A-Z]+)'), false) AS two_words
+              COALESCE(regexp_matches(p, '^(?:\\d-[A-Z]+ [A-Z]+)'), false) AS two_words,
+              COALESCE(o_orderkey % 2 = 0 AND p NOT LIKE '% %', false) AS name_ok, o_orderkey % 3 <> 0 AS digit_ok
        FROM o""",
 )
 def q_constraint_regex(spark, sf_dir):
     """F4 regex rules: match anchored at the start only; null is false."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("p"))
+    key = F.col("o_orderkey")
     return o.select(
         "o_orderkey",
         check_constraint("p", "regex(., '[1-3]-')").alias("prio_ok"),
         check_constraint("p", "regex(., 'URGENT')").alias("urgent_ok"),
         check_constraint("p", "regex(., '\\d-[A-Z]+ [A-Z]+')").alias("two_words"),
+        # accented letters are word characters, a blank or a dash is none; a line break may end the text
+        check_constraint(F.concat(F.when(key % 2 == 0, F.lit("Hélène_")).otherwise(F.lit("H-")), F.replace("p", F.lit("-"), F.lit("Ω")), F.lit("\n")), "regex(., '^[\\w]+$')").alias("name_ok"),
+        check_constraint(F.when(key % 3 == 0, F.lit("²")).otherwise(F.lit("٣")), "regex(., '^\\d$')").alias("digit_ok"),
     )
 
 
@@ -975,26 +985,46 @@ def q_snapshot(spark, sf_dir):
 
 @register(
     "snapshot_changes",
-    """SELECT v.number, 'v' || v.number AS name, count(*) AS rows FROM orders, (VALUES (1), (2), (3), (4), (5)) v(number)
+    """SELECT v.number, 'v' || v.number AS name, count(*) AS rows FROM orders, (VALUES (1), (2), (3), (4), (5), (6), (7)) v(number)
        GROUP BY v.number""",
 )
 def q_snapshot_changes(spark, sf_dir):
     """K3 + A7: a null that moves to another column, a renamed column, a retyped one and
-    regrouped lists each give a new version; the same content again gives none."""
+    regrouped lists each give a new version, and so does a nested time that moves by a
+    microsecond; the same content again gives none."""
     root = scratch_path(spark, "snapshot-changes")
     orders = table(spark, sf_dir, "orders")
     a, b = F.col("o_orderstatus"), F.lit(None).cast("string")
     pair = lambda x, y: orders.select("o_orderkey", x.alias("a"), y.alias("b"))
     lists = lambda *groups: orders.select("o_orderkey", F.array(*groups).alias("a"))
     key = F.col("o_orderkey")
+    time = lambda micros: F.timestamp_micros(key * 1000 + micros)
     for content in (
         pair(a, b), pair(a, b).repartition(3), pair(b, a), pair(b, a).withColumnRenamed("a", "c"),
         lists(F.array(key), F.array(key)), lists(F.array(key, key)), lists(F.array(key, key)),
+        lists(time(1)), lists(time(2)), lists(time(2)),
     ):
         snapshot_if_changed(spark, content, root)
     return spark.read.parquet(f"{root}/{MANIFEST}").select("number", "name", "rows")
 
 
+@register("table_appends", "SELECT o_orderkey, o_orderstatus, CAST(o_orderstatus AS VARCHAR) AS run FROM orders WHERE o_orderstatus IN ('F', 'O') UNION ALL SELECT o_orderkey, NULL, 'late' FROM orders WHERE o_orderstatus = 'P'")
+def q_table_appends(spark, sf_dir):
+    """K2 + V5: runs appended to a table, each of them twice (a retry), the last with
+    fewer columns, and one that is refused; read back from the table."""
+    name = f"formwork_appends_{uuid.uuid4().hex[:12]}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for run in ("F", "F", "O", "O"):
+        append_once(spark, orders.where(F.col("o_orderstatus") == run), name, run)
+    for _ in range(2):
+        append_once(spark, orders.where("o_orderstatus = 'P'").select("o_orderkey"), name, "late")
+    try:
+        append_once(spark, orders.withColumn("extra", F.lit(1)), name, "refused")
+    except ValueError:
+        pass  # V5: the table has no such column
+    return spark.table(name)
+
+
 _CSV_TEXT = """CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat('  "', text, '", \\ ') ELSE text END"""
 
 
@@ -1057,7 +1087,7 @@ def q_read_files(spark, sf_dir):
 
 @register(
     "org_units_from_csv",
-    f"""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS org_unit_type,
+    f"""SELECT c_custkey AS id, c_name AS name, c_mktsegment AS org_unit_type,
                {_ORG_BASE_SQL} AS opening_date,
                CAST({_ORG_BASE_SQL} AS TIMESTAMP) + to_hours(CAST(c_custkey % 24 AS BIGINT)) + to_minutes(CAST(c_custkey % 60 AS BIGINT)) AS created_at,
                CAST(r_regionkey AS VARCHAR) AS level_1_ref, n_name AS level_2_name

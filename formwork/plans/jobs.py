@@ -22,9 +22,9 @@ from formwork.operators.geo import decode_geometries
 from formwork.operators.importer import outcome_summary, route_import
 from formwork.operators.onehot import flatten_submissions
 from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, org_unit_type_name, project_org_units
-from formwork.operators.validate import Rules, check_table_schema, select_rules, validate_rows, validate_structure
+from formwork.operators.validate import Rules, check_table_schema, list_column, rules_from_rows, select_rules, validate_rows, validate_structure
 from formwork.sinks.writers import snapshot_if_changed, write_file, write_geojson_lines, write_table
-from formwork.sources.readers import read_form_definition, read_form_metadata, read_form_submissions, read_org_units, read_submissions
+from formwork.sources.readers import read_form_definition, read_form_definitions, read_form_metadata, read_form_submissions, read_org_units, read_submissions
 
 
 @dataclass
@@ -156,17 +156,25 @@ def definition_rules(spark: SparkSession, definition_path: str, version: str | N
 
 def rules_per_version(spark: SparkSession, submissions: DataFrame, definition_path: str, fmt: str = "parquet",
                       version_col: str = "form_version") -> dict[str, Rules]:
-    """J5 inputs: the rules of every distinct version present in the submissions (one
-    definition read per version, like the reference's one fetch per version). The
-    distinct versions come from an aggregate."""
-    versions = [r[0] for r in submissions.select(F.col(version_col).cast("string")).where(F.col(version_col).isNotNull())
-                .distinct().collect()]
-    out = {}
-    for v in sorted(versions):
-        rules = definition_rules(spark, definition_path, v, fmt)
-        if rules.questions:  # a version without a definition has no template (J5)
-            out[v] = rules
-    return out
+    """J5 inputs: the rules of every version present in the submissions, from one read of
+    each sheet of the definition, joined to the distinct versions (an aggregate)."""
+    versions = submissions.select(F.col(version_col).cast("string").alias("_version")).where("_version is not null").distinct()
+
+    def by_version(sheet: DataFrame) -> dict[str, list[dict]]:
+        out: dict[str, list[dict]] = {}
+        for r in sheet.join(versions, F.col("form_version").cast("string") == F.col("_version"), "left_semi").collect():
+            out.setdefault(str(r["form_version"]), []).append(r.asDict())
+        return out
+
+    try:
+        sheet = read_form_definitions(spark, definition_path, "choices", fmt)
+        list_col, choices = list_column(sheet.columns), by_version(sheet)
+    except FileNotFoundError:
+        list_col, choices = None, {}
+    pairs = {v: [(r[list_col], r["label"]) for r in rows] for v, rows in choices.items()} if list_col else {}
+    questions = by_version(read_form_definitions(spark, definition_path, "questions", fmt))
+    # a version without a definition is absent: it has no template
+    return {v: rules_from_rows(rows, pairs.get(v, []) if list_col else None) for v, rows in questions.items()}
 
 
 @dataclass

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructField, StructType
 
 from formwork.functions.text import strip_strings
 from formwork.operators.forms import latest_version
@@ -59,17 +59,25 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file or folder with every column as text, named by its header; large files
     are read in many tasks (``csv_records``)."""
     names = _header(spark, path)
+    return _parsed(csv_records(spark, path), names)
+
+
+def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
     if not names:
-        return spark.createDataFrame([], StructType([]))
+        return records.sparkSession.createDataFrame([], StructType([]))
     plain = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
-    parsed = csv_records(spark, path).select(F.from_csv("record", plain.simpleString()[7:-1].replace(":", " "), CSV_PARSING).alias("r"))
+    parsed = records.select(F.from_csv("record", plain.simpleString()[7:-1].replace(":", " "), CSV_PARSING).alias("r"))
     return parsed.select(*[F.when(c == EMPTY_MARK, F.lit("")).otherwise(c).alias(n) for n, c in ((n, F.col(f"r.c{i}")) for i, n in enumerate(names))])
 
 
-def infer_csv_schema(spark: SparkSession, path: str, names: list[str] | None = None) -> StructType:
+def infer_csv_schema(spark: SparkSession, path: str) -> StructType:
     """Column types inferred over the whole input (one pass; give a schema to save it)."""
-    names = names or _header(spark, path)
-    records = csv_records(spark, path)
+    names = _header(spark, path)
+    return _inferred(csv_records(spark, path), names)
+
+
+def _inferred(records: DataFrame, names: list[str]) -> StructType:
+    spark = records.sparkSession
     reader = spark._jsparkSession.read()
     for key, value in {**CSV_PARSING, "header": "false", "inferSchema": "true"}.items():
         reader = reader.option(key, value)
@@ -98,10 +106,12 @@ def read_submissions(spark: SparkSession, path: str, schema: StructType | str |
     schema that the header lacks and no rows raise."""
     lower = path.lower().rstrip("/")
     if lower.endswith(".csv"):
-        base = schema if schema is not None else infer_csv_schema(spark, path)
+        names = _header(spark, path)
+        records = csv_records(spark, path)
+        base = schema if schema is not None else _inferred(records, names)
         if isinstance(base, str):
             base = StructType.fromDDL(base)
-        raw = read_csv_text(spark, path)
+        raw = _parsed(records, names)
         if absent := [f.name for f in base.fields if f.name not in raw.columns]:
             raise ValueError(f"{path!r} has no column {absent}")
         df = raw.select(*[_typed(f.name, f.dataType, path) for f in base.fields])
@@ -145,10 +155,17 @@ def read_form_submissions(spark: SparkSession, path: str, form_id: int | str | N
     return updated_since(df, since, updated_col, inclusive)
 
 
-def read_org_units(spark: SparkSession, path: str, type_name: str | None = None, type_col: str = "Type") -> DataFrame:
-    """S3: the org-unit export (CSV with a header) with every column read as text;
-    optionally only one type."""
+#: Types of the export's columns that are no text.
+ORG_UNIT_TYPES = {"ID": LongType(), "Latitude": DoubleType(), "Longitude": DoubleType()}
+
+
+def read_org_units(spark: SparkSession, path: str, type_name: str | None = None, type_col: str = "Type", types: dict[str, DataType] | None = None) -> DataFrame:
+    """S3: the org-unit export (CSV with a header); ids and coordinates are numbers
+    (``types``, default ``ORG_UNIT_TYPES``; a value that does not fit fails the job), the
+    other columns text; optionally only one type."""
     df = read_csv_text(spark, path)
+    known = ORG_UNIT_TYPES if types is None else types
+    df = df.select(*[_typed(c, known.get(c, StringType()), path) for c in df.columns])
     return df.where(F.col(type_col) == F.lit(type_name)) if type_name is not None else df
 
 
@@ -158,20 +175,25 @@ def read_form_metadata(spark: SparkSession, path: str, fmt: str = "json") -> Dat
     return _read(reader.json if fmt == "json" else reader.parquet, path)
 
 
+def read_form_definitions(spark: SparkSession, path: str, kind: str, fmt: str = "parquet") -> DataFrame:
+    """The questions or choices sheet of all versions of a form definition; text
+    trimmed."""
+    if kind not in ("questions", "choices"):
+        raise ValueError("kind must be 'questions' or 'choices'")
+    sheet = f"{path.rstrip('/')}/{kind}"
+    return strip_strings(read_csv_text(spark, sheet) if fmt == "csv" else _read(spark.read.parquet, sheet))
+
+
 def read_form_definition(spark: SparkSession, path: str, kind: str, version: str | None = None, fmt: str = "parquet",
                          version_col: str = "form_version") -> DataFrame:
     """The questions or choices sheet of a form definition, for one version or the
     latest (highest integer) version; all-null rows dropped, text trimmed."""
-    if kind not in ("questions", "choices"):
-        raise ValueError("kind must be 'questions' or 'choices'")
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    df = _read(reader.csv if fmt == "csv" else reader.parquet, f"{path.rstrip('/')}/{kind}")
+    df = read_form_definitions(spark, path, kind, fmt)
     if version is not None:
         df = df.where(F.col(version_col) == F.lit(version))
     elif version_col in df.columns:
         df = latest_version(df.withColumn("__definition", F.lit(1)), "__definition", version_col).drop("__definition")
-    sheet_columns = [c for c in df.columns if c != version_col]
-    return strip_strings(df.na.drop("all", subset=sheet_columns))
+    return df.na.drop("all", subset=[c for c in df.columns if c != version_col])
 
 
 def read_geometries(spark: SparkSession, path: str, fmt: str = "parquet", id_col: str = "id", geometry_col: str = "geometry") -> DataFrame:

@@ -103,6 +103,62 @@ def test_snapshot_written_once(spark, tmp_dir):
     assert spark.read.parquet(f"{root}/v2").count() == 5
 
 
+def test_snapshot_runs_its_content_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(100).mapInArrow(count, "id long")
+    assert snapshot_if_changed(spark, df, f"{tmp_dir}/once") == ("v1", True)
+    assert seen.value == 100
+    assert snapshot_if_changed(spark, df, f"{tmp_dir}/once") == ("v1", False)
+    assert seen.value == 200
+    assert snapshot_if_changed(spark, df.limit(0), f"{tmp_dir}/once") == ("v2", True)
+    import os
+
+    assert os.listdir(f"{tmp_dir}/once/_staged") == []
+
+
+def test_concurrent_snapshots_get_versions_of_their_own(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    frames = [spark.range(n, n + 50) for n in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda f: snapshot_if_changed(spark, f, f"{tmp_dir}/many"), frames))
+    assert sorted(got) == [(f"v{n}", True) for n in range(1, 5)]
+    for f, (name, _) in zip(frames, got):
+        assert sorted(r.id for r in spark.read.parquet(f"{tmp_dir}/many/{name}").collect()) == sorted(r.id for r in f.collect())
+    assert spark.read.parquet(f"{tmp_dir}/many/_versions").count() == 4
+
+
+def test_nested_times_change_the_fingerprint(spark):
+    base = spark.sql("SELECT array(timestamp_micros(1000001)) a, named_struct('t', CAST(timestamp_micros(5) AS timestamp_ntz)) b")
+    for other in (
+        "SELECT array(timestamp_micros(1000002)) a, named_struct('t', CAST(timestamp_micros(5) AS timestamp_ntz)) b",
+        "SELECT array(timestamp_micros(1000001)) a, named_struct('t', CAST(timestamp_micros(6) AS timestamp_ntz)) b",
+    ):
+        assert content_fingerprint(base) != content_fingerprint(spark.sql(other))
+
+
+def test_a_repeated_append_gives_its_rows_once(spark):
+    from formwork.sinks.writers import append_once
+
+    spark.sql("DROP TABLE IF EXISTS fw_runs")
+    one, two = spark.createDataFrame([(1, "a"), (2, "b")], "x int, y string"), spark.createDataFrame([(3,)], "x int")
+    assert append_once(spark, one, "fw_runs", "r1") == 2
+    assert append_once(spark, one, "fw_runs", "r1") == 0
+    assert append_once(spark, two, "fw_runs", "r'2") == 1
+    assert append_once(spark, two, "fw_runs", "r'2") == 0
+    want = [(1, "a", "r1"), (2, "b", "r1"), (3, None, "r'2")]
+    assert sorted(tuple(r) for r in spark.table("fw_runs").collect()) == want
+    with pytest.raises(ValueError):
+        append_once(spark, one.withColumn("z", F.lit(1)), "fw_runs", "r3")
+    assert sorted(tuple(r) for r in spark.table("fw_runs").collect()) == want
+
+
 def test_read_submissions_rules(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a", ["x"])], "org_unit_id long, f string, l array<string>")
     assert write_file(df, f"{tmp_dir}/subs.csv", "csv") == 1  # arrays flattened to JSON text (F17); rows observed

@@ -204,3 +204,36 @@ def test_equal_rows_get_their_own_ids(spark):
     df = spark.createDataFrame([("1", "7"), ("1", "7"), ("2", "7")], "field_a string, org_unit_id string")
     ids = [sorted(r.instance_uuid for r in create_outbox(df, RULES, 9, created_at=t, strict=False).collect()) for t in (1, 1, 2)]
     assert len(set(ids[0])) == 3 and ids[0] == ids[1] and not set(ids[0]) & set(ids[2])
+
+
+def test_hot_ids_are_spread(spark):
+    """A third of the rows on one id, a third without: the same locks as a plain join,
+    and no partition of the join holds the hot id's rows."""
+    from formwork.operators.importer import update_outbox
+    from formwork.operators.lookup import hot_keys, left_lookup
+
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 100 + i, i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id bigint, n int")
+    assert hot_keys(df, F.col("id")) == [7]
+    assert hot_keys(df.where("id is null"), F.col("id")) == []
+    locks = spark.createDataFrame([(i, i % 2 == 0, f"v{i}") for i in range(0, 6200)] , "_id bigint, locked boolean, id2 string").where("_id % 5 != 0")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = left_lookup(df, F.col("id"), locks, "_id", hot=hot_keys(df, F.col("id")))
+        assert out.columns == ["id", "n", "locked", "id2"]
+        want = {(i, n, None, None) if i is None or i % 5 == 0 or i >= 6200 else (i, n, i % 2 == 0, f"v{i}") for i, n in rows}
+        assert {tuple(r) for r in out.collect()} == want and out.count() == len(rows)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert max(sizes) < 2 * len(rows) / 8
+        instances = spark.createDataFrame([(7, True), (102, True), (105, None)], "id bigint, is_locked boolean")
+        subs = df.select("id", F.concat(F.lit("uuid:"), F.col("n").cast("string")).alias("instanceID"), F.lit("1").alias("org_unit_id"))
+        got = update_outbox(subs, Rules([{"name": "x", "type": "text"}]), 1, instances=instances)
+        assert {(r.reason, r["count"]) for r in got.groupBy("reason").count().collect()} == {("bad_id", 2000), ("locked", 2001), (None, 1999)}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -222,3 +222,55 @@ def test_numbers_and_patterns_follow_the_rule_language(spark):
     rules = [".<=40", "regex(., '[a-')", "regex(., '(?P<n_1>5)')"]
     got = [tuple(r) for r in df.select(*[check_constraint("v", rule).alias(f"c{i}") for i, rule in enumerate(rules)]).collect()]
     assert got == [(False, False, False), (True, False, False), (True, False, True)]
+
+
+def test_patterns_agree_with_the_rule_language(spark):
+    """Every value and pattern gives what ``re.match`` gives."""
+    import re
+
+    from formwork.functions.rules import check_constraint
+
+    values = ["", "a", "Hélène", "a b", "٣", "²", "x\n", "x\n\n", "x\r", "x\u2028", "_", "a-b", "[", "]", "a&b", "{2}", "aa", "\x1f", "\xa0", "\x85", "ß", "STRASSE", "a{b", "café9"]
+    patterns = [r"^\w+$", r"\d$", r"[\w-]+$", r"[^\w]", r"\W", r"[\W_]$", r"\s$", r"[\s]", r"\S+$", r".$", r"x$", r"x\Z", r"[[]", r"[]]", r"[a&&b]+$", r"a{,2}$", r"a{b", r"\{2\}", r"{2}", r"(?P<q_1>a)(?P=q_1)$", r"(?i)h", r"[^\d\s]+$", r"(unclosed", r"\bcaf", r"(?m)^b", r"[\]x]"]
+    frame = spark.createDataFrame([(v,) for v in values], "v string")
+    got = frame.select("v", *[check_constraint("v", f"regex(., '{p}')").alias(f"p{i}") for i, p in enumerate(patterns)]).collect()
+    for r in got:
+        for i, p in enumerate(patterns):
+            try:
+                want = re.match(p, r.v) is not None
+            except re.error:
+                want = False
+            assert r[f"p{i}"] == want, (p, r.v)
+
+
+def test_nan_passes_no_bound(spark):
+    from formwork.functions.rules import check_constraint
+
+    rows = spark.createDataFrame([(float("nan"), "nan"), (7.0, "7"), (None, None), (float("inf"), "inf")], "d double, t string")
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    for c in ("d", "t"):
+        got = rows.select(check_constraint(c, ".>=5", types[c]), check_constraint(c, ".<=5", types[c])).collect()
+        assert [tuple(r) for r in got][:3] == [(False, False), (True, False), (False, False)]
+        assert tuple(got[3]) == (True, False)
+
+
+def test_plan_does_not_grow_with_versions(spark):
+    """500 versions of a form: same rows as one check per version, same plan size as two."""
+    from formwork.operators.validate import rules_from_rows
+
+    def book(n):
+        return {str(v): rules_from_rows(
+            [{"name": "x", "type": "integer", "constraint": f".<={v}"}, {"name": "t", "type": "text", "constraint": f"regex(., 'a{v}$')"},
+             {"name": "c", "type": "select_one c"}, {"name": "k", "type": "calculate", "calculation": "${x} + 1" if v % 2 else "${x} * 2"}], [("c", f"c{v}"), ("c", None)]) for v in range(n)}
+
+    rows = [(str(v), x, f"a{v if x % 3 else v + 1}", f"c{v}" if x % 5 else "c") for v in (0, 7, 250, 499, 500) for x in range(0, 600, 37)] + [(None, 1, "a1", "c1")]
+    df = spark.createDataFrame(rows, "form_version string, x bigint, t string, c string")
+    out = validate_rows_by_version(df, book(500))
+    for r in out.collect():
+        known = r.form_version is not None and int(r.form_version) < 500
+        v = int(r.form_version) if known else None
+        assert r.has_template == known
+        assert r.row_valid == (known and r.x <= v and r.t == f"a{v}" and r.c == f"c{v}")
+        assert r.k == (None if not known else r.x + 1 if v % 2 else r.x * 2)
+    size = lambda d: len(d._jdf.queryExecution().analyzed().toString())
+    assert size(out) < 1.2 * size(validate_rows_by_version(df, book(2)))
