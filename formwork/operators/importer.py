@@ -129,10 +129,13 @@ def _create_columns(p: _Prepared, form_id: int, created_at: int, directory: str,
     # A row whose version has no rules cannot be validated: it fails on the template.
     reason = F.when(~p.has_template, F.lit("no_template")).when(~p.valid, F.lit("invalid")).when(org.isNull(), F.lit("bad_org_unit")).when(bad_number(df, NUMBERS), F.lit("bad_number"))
     key = row_key(df, key_cols or p.source_columns)
-    if key_cols is None:  # equal rows of a run are told apart by a number, runs by their time
+    if key_cols is None:
+        # equal rows of a run are told apart by the part of the input that holds them and a
+        # number within it, so no task sees them all; runs are told apart by their time
+        part = _stage(p, {"_c_part": F.spark_partition_id()})["_c_part"]
         same = F.xxhash64(*[q(c) for c in p.source_columns])
-        number = F.row_number().over(Window.partitionBy(same, key).orderBy(F.lit(1)))
-        key = F.concat_ws("#", key, number, F.lit(created_at))
+        number = F.row_number().over(Window.partitionBy(part, same, key).orderBy(F.lit(1)))
+        key = F.concat_ws("#", key, part, number, F.lit(created_at))
     staged = _stage(p, {"_c_uuid": instance_uuid(key), "_c_reason": reason})
     uuid, reason = staged["_c_uuid"], staged["_c_reason"]
     ok = reason.isNull()

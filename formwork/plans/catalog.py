@@ -26,7 +26,7 @@ from formwork.operators.forms import (
     questions_from_map,
     replace_labels,
 )
-from formwork.operators.geo import decode_geometries, geojson_feature, polygon_rings, shared_arcs
+from formwork.operators.geo import decode_geometries, geojson_feature, merged_arcs, polygon_rings, shared_arcs
 from formwork.operators.importer import create_outbox, delete_outbox, outcome_summary, route, route_import, update_outbox
 from formwork.operators.onehot import flatten_submissions
 from formwork.operators.orgunits import attach_geometry, filter_org_unit_type, project_org_units
@@ -520,6 +520,55 @@ def q_shared_arcs(spark, sf_dir):
     return shared_arcs(g, "id", "geometry")
 
 
+_BLOCKS_SQL = "SELECT DISTINCT (c_custkey % 40) // 5 AS bx, c_custkey // 200 AS \"by\" FROM customer"
+_STEP_SQL = """SELECT p, r, list_sort(list(DISTINCT id)) AS units FROM (
+                 SELECT id, least(a, b) AS p, greatest(a, b) AS r FROM (
+                   SELECT id, part, {'x': x, 'y': y} AS a, lead({'x': x, 'y': y}) OVER (PARTITION BY id, part ORDER BY t) AS b FROM pts) WHERE b IS NOT NULL)
+               GROUP BY p, r"""
+
+
+@register(
+    "merged_arcs",
+    f"""WITH RECURSIVE blocks AS ({_BLOCKS_SQL}),
+            pts AS (SELECT bx + 8 * "by" AS id, 0 AS part, t,
+                           CAST(5 * bx + CASE WHEN t < 5 THEN t WHEN t < 10 THEN 5 WHEN t < 15 THEN 15 - t ELSE 0 END AS DOUBLE) AS x,
+                           CAST(5 * "by" + CASE WHEN t < 5 THEN 0 WHEN t < 10 THEN t - 5 WHEN t < 15 THEN 5 ELSE 20 - t END AS DOUBLE) AS y
+                    FROM blocks, range(21) r(t)
+                    UNION ALL
+                    SELECT bx + 8 * "by", 1, t, CAST(5 * bx + 2 + CASE WHEN t IN (1, 2) THEN 1 ELSE 0 END AS DOUBLE), CAST(5 * "by" + 2 + CASE WHEN t IN (2, 3) THEN 1 ELSE 0 END AS DOUBLE)
+                    FROM blocks, range(5) r(t) WHERE (bx + "by") % 3 = 0),
+            segs AS ({_STEP_SQL}),
+            steps AS (SELECT p AS u, r AS v, units FROM segs UNION ALL SELECT r, p, units FROM segs),
+            met AS (SELECT u, count(*) = 2 AND min(units) = max(units) AS passed FROM steps GROUP BY u),
+            walk AS (SELECT [s.u, s.v] AS vertices, s.units, m.passed AS ring, NOT n.passed OR s.v = s.u AS done
+                     FROM steps s JOIN met m ON m.u = s.u JOIN met n ON n.u = s.v
+                     UNION ALL
+                     SELECT list_append(w.vertices, s.v), w.units, w.ring, NOT n.passed OR s.v = w.vertices[1]
+                     FROM walk w JOIN steps s ON s.u = w.vertices[len(w.vertices)] AND s.v <> w.vertices[len(w.vertices) - 1] JOIN met n ON n.u = s.v
+                     WHERE NOT w.done AND (NOT w.ring OR w.vertices[len(w.vertices)] > w.vertices[1]))
+       SELECT array_to_string(list_transform(vertices, lambda p: concat(CAST(p.x AS BIGINT), ' ', CAST(p.y AS BIGINT))), ', ') AS vertices,
+              array_to_string(units, ',') AS units, CAST(len(units) AS INTEGER) AS n_units
+       FROM walk WHERE done AND (NOT ring OR vertices[1] = vertices[len(vertices)])
+         AND vertices <= list_reverse(vertices)""",
+)
+def q_merged_arcs(spark, sf_dir):
+    """K9: blocks of customers as units with shared borders, some with a hole (a ring
+    without junction); each border once, as its vertices in order."""
+    blocks = table(spark, sf_dir, "customer").select(F.expr("(c_custkey % 40) div 5").alias("bx"), F.expr("c_custkey div 200").alias("by")).distinct()
+
+    def ring(n: int, x: str, y: str) -> Column:
+        return F.concat(F.lit("["), F.array_join(F.expr(f"transform(sequence(0, {n}), t -> concat('[', {x}, ', ', {y}, ']'))"), ", "), F.lit("]"))
+
+    outer = ring(20, "5 * bx + CASE WHEN t < 5 THEN t WHEN t < 10 THEN 5 WHEN t < 15 THEN 15 - t ELSE 0 END", "5 * by + CASE WHEN t < 5 THEN 0 WHEN t < 10 THEN t - 5 WHEN t < 15 THEN 5 ELSE 20 - t END")
+    hole = ring(4, "5 * bx + 2 + CASE WHEN t IN (1, 2) THEN 1 ELSE 0 END", "5 * by + 2 + CASE WHEN t IN (2, 3) THEN 1 ELSE 0 END")
+    rings = F.when((F.col("bx") + F.col("by")) % 3 == 0, F.concat(outer, F.lit(", "), hole)).otherwise(outer)
+    text = F.concat(F.lit('{"type": "MultiPolygon", "coordinates": [['), rings, F.lit("]]}"))
+    units = decode_geometries(blocks.select((F.col("bx") + 8 * F.col("by")).alias("id"), text.alias("geometry")))
+    arcs = merged_arcs(units, "id", "geometry")
+    spelt = F.transform("vertices", lambda p: F.concat_ws(" ", p["x"].cast("long"), p["y"].cast("long")))
+    return arcs.select(F.array_join(spelt, ", ").alias("vertices"), F.array_join("units", ",").alias("units"), "n_units")
+
+
 # ---------------------------------------------------------------------------
 # Rules and validation
 # ---------------------------------------------------------------------------
@@ -1054,6 +1103,17 @@ def q_chained_calculates(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", "a", "b", "c", F.col("constraints_validation_summary").alias("ok"))
 
 
+@register(
+    "equal_rows_outbox",
+    """SELECT o_orderstatus AS status, 'imported' AS outcome, count(*) AS n_rows, count(*) AS n_ids FROM orders GROUP BY o_orderstatus""",
+)
+def q_equal_rows_outbox(spark, sf_dir):
+    """K4 + F11 without key columns: very many equal rows, each with an id of its own."""
+    rows = table(spark, sf_dir, "orders").select(F.lit(1).cast("bigint").alias("org_unit_id"), F.col("o_orderstatus").alias("status"))
+    out = create_outbox(rows, rules_from_rows([{"name": "status", "type": "text"}]), 1, created_at=RUN_EPOCH, keep=["status"])
+    return out.groupBy("status", "outcome").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("instance_uuid").alias("n_ids"))
+
+
 @register(
     "versioned_outcomes",
     """SELECT o_orderkey, CASE WHEN reason IS NULL THEN 'imported' ELSE 'ignored' END AS outcome, reason FROM (

@@ -282,3 +282,43 @@ def test_staged_decoding_equals_the_column_form(spark):
     inline = {r.id: (r.g, r.c) for r in geoms(spark).select("id", decode_geometry("geometry").alias("g"),
                                                              decode_geometry("geometry", compat=True).alias("c")).collect()}
     assert staged == inline
+
+
+def test_merged_arcs_cover_every_segment_once(spark):
+    """Arcs of random unions of cells: every segment in one arc, junctions only at ends,
+    rings start at their smallest vertex."""
+    import collections
+    import random
+
+    from formwork.operators.geo import merged_arcs
+
+    rng = random.Random(4)
+    cells = {(x, y): rng.randrange(5) for x in range(7) for y in range(6) if rng.random() < 0.85}
+    rows = []
+    for (x, y), unit in cells.items():
+        rows.append((unit, [[[float(a), float(b)] for a, b in ((x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y))]]))
+    long = [[float(i), 100.0] for i in range(40)] + [[float(i), 101.0] for i in reversed(range(40))] + [[0.0, 100.0]]
+    rows += [(9, [long]), (10, [[[50.0, 50.0], [51.0, 50.0], [50.5, 51.0], [50.0, 50.0]]]), (11, [[[50.0, 50.0], [51.0, 50.0], [50.5, 51.0], [50.0, 50.0]]])]
+    df = spark.createDataFrame([(u, {"polygons": [p]}) for u, p in rows], "id int, geometry struct<polygons:array<array<array<array<double>>>>>")
+    users = collections.defaultdict(set)
+    for u, (ring,) in rows:
+        for a, b in zip(ring, ring[1:]):
+            users[tuple(sorted((tuple(a), tuple(b))))].add(u)
+    around = collections.defaultdict(list)
+    for (a, b), units in users.items():
+        around[a].append(units)
+        around[b].append(units)
+    junction = {v for v, sets in around.items() if len(sets) != 2 or sets[0] != sets[1]}
+    seen = collections.Counter()
+    arcs = merged_arcs(df).collect()
+    for arc in arcs:
+        path = [tuple(v) for v in arc.vertices]
+        assert path <= path[::-1] and arc.n_units == len(arc.units)
+        for a, b in zip(path, path[1:]):
+            seen[tuple(sorted((a, b)))] += 1
+            assert users[tuple(sorted((a, b)))] == set(arc.units)
+        assert not junction & set(path[1:-1])
+        assert {path[0], path[-1]} <= junction or (path[0] == path[-1] == min(path))
+    assert seen == collections.Counter(dict.fromkeys(users, 1))
+    assert max(len(a.vertices) for a in arcs) == 81 and any(a.units == [10, 11] and len(a.vertices) == 4 for a in arcs)
+    assert merged_arcs(df.limit(0)).collect() == []
