@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from formwork.operators.order import numbered
+
 from formwork.functions.text import clean_name
 
 
@@ -54,11 +56,17 @@ def canonical_columns(df: DataFrame) -> DataFrame:
     return df.select(*[q(c) for c in sorted(df.columns)])
 
 
-def canonical_sort(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+def _ordered(df: DataFrame, keys: list[Column], position: str | None) -> DataFrame:
+    """The frame sorted, or, when ``position`` names a column, with each row's place in
+    that order (which survives storage that keeps no order)."""
+    return numbered(df, keys, position) if position else df.sort(*keys)
+
+
+def canonical_sort(df: DataFrame, by: list[str] | None = None, position: str | None = None) -> DataFrame:
     """O1: total ascending sort, nulls first, over ``by`` (default: all columns in order).
 
     A global sort is a range-partitioned shuffle; use it only for canonical output."""
-    return df.sort(*[q(c).asc_nulls_first() for c in (by or df.columns)])
+    return _ordered(df, [q(c).asc_nulls_first() for c in (by or df.columns)], position)
 
 
 def list_columns(df: DataFrame) -> list[str]:
@@ -79,20 +87,20 @@ def drop_list_columns(df: DataFrame, id_col: str = "instanceid") -> DataFrame:
     return df.select(*[q(c) for c in keep], q(id_col))
 
 
-def sort_by_label(df: DataFrame, label: str = "label", tie_break: tuple[str, ...] = ("name", "choice_value")) -> DataFrame:
+def sort_by_label(df: DataFrame, label: str = "label", tie_break: tuple[str, ...] = ("name", "choice_value"), position: str | None = None) -> DataFrame:
     """O2: sort by label; the reference leaves ties unordered, we break them by name
     and choice value so output is deterministic."""
     keys = [label] + [c for c in tie_break if c in df.columns]
-    return df.sort(*[q(c).asc_nulls_first() for c in keys])
+    return _ordered(df, [q(c).asc_nulls_first() for c in keys], position)
 
 
-def sheet_sort(df: DataFrame) -> DataFrame:
+def sheet_sort(df: DataFrame, position: str | None = None) -> DataFrame:
     """O3: columns alphabetical, rows sorted by the original column order."""
     original = list(df.columns)
-    return df.select(*[q(c) for c in sorted(original)]).sort(*[q(c).asc_nulls_first() for c in original])
+    return _ordered(df.select(*[q(c) for c in sorted(original)]), [q(c).asc_nulls_first() for c in original], position)
 
 
-def geo_sort(df: DataFrame, geometry_col: str = "geometry") -> DataFrame:
+def geo_sort(df: DataFrame, geometry_col: str = "geometry", position: str | None = None) -> DataFrame:
     """Sort over all columns ascending with nulls last (pandas default); the
     geometry is compared as its GeoJSON text."""
     keys = []
@@ -101,7 +109,7 @@ def geo_sort(df: DataFrame, geometry_col: str = "geometry") -> DataFrame:
         if f.name == geometry_col and not isinstance(f.dataType, StringType):
             c = F.to_json(c)
         keys.append(c.asc_nulls_last())
-    return df.sort(*keys)
+    return _ordered(df, keys, position)
 
 
 def column_diff(present: list[str], required: set[str], expected: set[str] | None = None) -> tuple[set[str], set[str]]:

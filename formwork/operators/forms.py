@@ -49,6 +49,24 @@ def latest_version(
     return joined.where(keep).drop("__lv_form", "__lv_latest", "__lv_first")
 
 
+def latest_document(
+    metadata: DataFrame,
+    form_col: str = "form_id",
+    version_col: str = "version",
+    position_col: str | None = None,
+) -> DataFrame:
+    """A1 where a version of a form is one row (metadata documents): the latest one of
+    each form, by the rules of ``latest_version``, in one aggregate without a join. Of
+    several rows of the latest version any one is kept."""
+    version = q(version_col).cast("string")
+    row = F.struct(*[q(c) for c in metadata.columns])
+    picked = metadata.groupBy(q(form_col).alias("__form")).agg(
+        F.max_by(row, text_to_number(version, "bigint")).alias("__latest"),
+        F.min_by(row, q(position_col) if position_col else version).alias("__first"),
+    )
+    return picked.select(F.coalesce("__latest", "__first").alias("__row")).select(*[F.col("__row")[c].alias(c) for c in metadata.columns])
+
+
 def first_available(value: Column, position: Column) -> Column:
     """A6 (aggregate): the value at the lowest position among non-empty values."""
     usable = value.isNotNull() & (value.cast("string") != "")
@@ -71,6 +89,16 @@ def explode_choices(metadata: DataFrame, choices_col: str = "choices", keep: tup
     )
 
 
+def questions_with_choices(metadata: DataFrame, questions_col: str = "questions", choices_col: str = "choices",
+                           keep: tuple[str, ...] = ("form_id", "version")) -> DataFrame:
+    """F19 + F18 + J1 on metadata documents: the choices of a question are looked up in the
+    document that holds both, so no join is needed and no list can be hot."""
+    keys = [q(k) for k in keep if k in metadata.columns]
+    qs = metadata.select(*keys, q(choices_col).alias("_choices"), F.explode(F.map_values(q(questions_col))).alias("_q"))
+    listed = qs.select(*keys, "_q", F.explode_outer(F.try_element_at("_choices", F.col("_q")["name"])).alias("_c"))
+    return listed.select(*keys, *[F.col("_q")[f].alias(f) for f in QUESTION_FIELDS], F.col("_c")["name"].alias("choice_value"), F.col("_c")["label"].alias("choice_label"))
+
+
 def join_questions_choices(questions: DataFrame, choices: DataFrame, on: tuple[str, ...] = ("name",)) -> DataFrame:
     """The left join of questions to choices on the list name: a question without
     choices keeps null choices, a question with n choices gives n rows.

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from formwork.functions.text import clean_name
 from formwork.operators.columns import canonical_columns, canonical_sort, drop_list_columns, list_columns, q
+from formwork.operators.order import numbered
+from formwork.session import scratch_path
 
 
 def distinct_values(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
@@ -35,6 +37,36 @@ def distinct_values(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     return found
 
 
+def category_dictionary(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """A2 as a table, for lists with more categories than a row has room for: ``column``,
+    ``value`` and ``flag`` (its number from 0, in the order of column and value). The
+    distinct values are numbered over ranges; nothing reaches the driver."""
+    pairs = [F.struct(F.lit(c).alias("column"), q(c).alias("vs")) for c in columns or list_columns(df)]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column string, value string, flag long")
+    values = df.select(F.explode(F.array(*pairs)).alias("p")).select(F.col("p.column").alias("column"), F.explode("p.vs").alias("value"))
+    found = values.where("value is not null").distinct()
+    return numbered(found, [F.col("column"), F.col("value")], "place").select("column", "value", (F.col("place") - 1).alias("flag"))
+
+
+def sparse_flags(df: DataFrame, dictionary: DataFrame | None = None, name: str = "flags") -> DataFrame:
+    """F3 for any number of categories: the numbers (``category_dictionary``) of the
+    categories that a row's lists hold, ascending, as one array column; lists stay.
+
+    Values outside a given dictionary are left out. Rows are written with a number of
+    their own, so that their values can be looked up apart and put together again."""
+    spark, columns = df.sparkSession, list_columns(df)
+    known = category_dictionary(df, columns) if dictionary is None else dictionary
+    path = scratch_path(spark, "sparse-flags")
+    df.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    held = F.array(*[F.struct(F.lit(c).alias("column"), F.array_distinct(q(c)).alias("vs")) for c in columns])
+    values = rows.select("__row", F.explode(held).alias("h")).select("__row", F.col("h.column").alias("column"), F.explode("h.vs").alias("value")).where("value is not null")
+    flags = values.join(known, ["column", "value"]).groupBy("__row").agg(F.array_sort(F.collect_set("flag")).alias("__flags"))
+    joined = rows.join(flags, "__row", "left")
+    return joined.select(*[q(c) for c in df.columns], F.coalesce("__flags", F.array().cast("array<bigint>")).alias(name))
+
+
 def one_hot_lists(df: DataFrame, categories: dict[str, list[str]] | None = None) -> DataFrame:
     """for each list column and category, ``<col>_<clean(category)>`` is 1 when the
     list contains the category, else 0 (null list counts as 0), as a byte column.

@@ -19,11 +19,9 @@ from formwork.functions.text import KEEP_CLASS, WHITESPACE_CLASS, clean_string,
 from formwork.functions.coerce import TYPE_NAMES, flatten_for_text, text_to_number
 from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, geo_sort, sheet_sort, sort_by_label
 from formwork.operators.forms import (
-    explode_choices,
     first_available,
-    join_questions_choices,
     latest_version,
-    questions_from_map,
+    questions_with_choices,
     replace_labels,
 )
 from formwork.operators.geo import decode_geometries, geojson_feature, merged_arcs, polygon_rings, shared_arcs
@@ -262,11 +260,10 @@ def _part_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
        ORDER BY qs.label, qs.name, cs.choice_value""",
 )
 def q_questions_choices(spark, sf_dir):
-    """A1 + F19 + F18 + J1 + O2: metadata documents to the questions-choices sheet."""
+    """A1 + F19 + F18 + J1 + O2: metadata documents (several parts of a version) to the
+    questions-choices sheet."""
     docs = latest_version(_part_documents(spark, sf_dir), "form_id", "version")
-    qs = questions_from_map(docs)
-    cs = explode_choices(docs)
-    return sort_by_label(join_questions_choices(qs, cs, ("form_id", "version", "name")))
+    return sort_by_label(questions_with_choices(docs))
 
 
 @register(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from formwork.functions.coerce import cast_expected
 from formwork.functions.text import output_name
 from formwork.operators.columns import canonical_columns, canonical_sort, clean_column_names, geo_sort, sort_by_label
-from formwork.operators.forms import explode_choices, join_questions_choices, latest_version, questions_from_map, replace_labels
+from formwork.operators.forms import explode_choices, latest_document, questions_from_map, questions_with_choices, replace_labels
 from formwork.operators.geo import decode_geometries
 from formwork.operators.importer import outcome_summary, route_import
 from formwork.operators.onehot import flatten_submissions
@@ -138,12 +138,25 @@ def extract_form_metadata(
         meta = meta.where(F.col("form_id") == F.lit(str(form_id)))
     if meta.isEmpty():  # D-22: a clear error instead of an empty sheet
         raise ValueError(f"no form metadata found in {metadata_path!r}" + (f" for form {form_id}" if form_id is not None else ""))
-    latest = latest_version(meta, "form_id", "version")
-    sheet = sort_by_label(join_questions_choices(questions_from_map(latest), explode_choices(latest), ("form_id", "version", "name")))
+    latest = latest_document(meta, "form_id", "version")
+    sheet = sort_by_label(questions_with_choices(latest))
     _publish(spark, sheet, sinks, base=form_name, prefix="md_")
     return sheet
 
 
+def extract_metadata_sheets(spark: SparkSession, metadata_path: str, *, form_id: str | None = None, fmt: str = "json",
+                            form_name: str = "form", questions_sinks: Sinks | None = None, choices_sinks: Sinks | None = None) -> tuple[DataFrame, DataFrame]:
+    """§3.4, the two sheets on their own: S4 -> A1 -> F19 and F18 -> K1/K2/K3 each."""
+    meta = read_form_metadata(spark, metadata_path, fmt)
+    if form_id is not None:
+        meta = meta.where(F.col("form_id") == F.lit(str(form_id)))
+    latest = latest_document(meta, "form_id", "version")
+    questions, choices = questions_from_map(latest), explode_choices(latest)
+    _publish(spark, questions, questions_sinks, base=f"{form_name}_questions", prefix="md_")
+    _publish(spark, choices, choices_sinks, base=f"{form_name}_choices", prefix="md_")
+    return questions, choices
+
+
 def definition_rules(spark: SparkSession, definition_path: str, version: str | None = None, fmt: str = "parquet") -> Rules:
     """S5 + P9: the rules of one version (default: the latest) of a stored definition."""
     questions = read_form_definition(spark, definition_path, "questions", version, fmt)

@@ -274,3 +274,11 @@ def test_plan_does_not_grow_with_versions(spark):
         assert r.k == (None if not known else r.x + 1 if v % 2 else r.x * 2)
     size = lambda d: len(d._jdf.queryExecution().analyzed().toString())
     assert size(out) < 1.2 * size(validate_rows_by_version(df, book(2)))
+
+
+def test_check_table_schema_compares_types(spark):
+    spark.createDataFrame([(1, "a", 2.0)], "x bigint, y string, z double").createOrReplaceTempView("t_types")
+    check_table_schema(spark, spark.createDataFrame([(1, 2.5)], "x int, z float"), "t_types")
+    for schema, row in (("x string", ("1",)), ("x double", (1.0,)), ("y int", (1,)), ("z bigint", (1,))):
+        with pytest.raises(ValueError, match="there"):
+            check_table_schema(spark, spark.createDataFrame([row], schema), "t_types")
