@@ -27,10 +27,11 @@ MAX_PART = 40
 _ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-#: Credential contexts of the method: a name, a sign or "is", then the value.
+#: Credential contexts of the method: a name, a sign or "is", then the value, which ends
+#: with its quote, or without quotes at a blank, comma or semicolon.
 _CONTEXT = re.compile(
     r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code|wort)?|pwd|pin|secret|token|api[ _-]?key|access[ _-]?key|client[ _-]?secret|private[ _-]?key|auth(?:orization)?|bearer|credentials?)"""
-    r"""["']?[\x20\t]*(?:=>|:=|[:=]|\bis\b|\bbearer\b)[\x20\t]*["']?(?:bearer[\x20\t]+)?([^\s"'<>,;]+)""",
+    r"""["']?[\x20\t]*(?:=>|:=|[:=]|\bis\b|\bbearer\b)[\x20\t]*(?:"(?P<double>[^"\r\n]+)"|'(?P<single>[^'\r\n]+)'|["']?(?:bearer[\x20\t]+)?(?P<plain>[^\s"'<>,;]+))""",
     re.IGNORECASE | re.ASCII,
 )
 _CONTEXT_HINT = re.compile(r"pass|pwd|pin|secret|token|key|auth|bearer|credential", re.IGNORECASE | re.ASCII)
@@ -49,6 +50,9 @@ AFFIX_COST = math.log10(len(AFFIXES))
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "1qaz2wsx3edc4rfv5tgb6yhn7ujm8ik,9ol.0p;/")
 _NEXT = {(a, b) for row in ROWS for a, b in zip(row, row[1:])} | {(b, a) for row in ROWS for a, b in zip(row, row[1:])}
 _PLAIN = str.maketrans("0134578@$!", "oieastbasi")
+#: Marks around words of prose, and what may stand between a value and a span after it.
+_MARKS = ".,:;!?()[]-\u2026"
+_BETWEEN = "&|/;,?#:+"
 _DATE = re.compile(r"(?:(?:19|20)[0-9]{2}(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12][0-9]|3[01]))?)?|(?:0?[1-9]|[12][0-9]|3[01])[-/.](?:0?[1-9]|1[0-2])[-/.](?:(?:19|20)?[0-9]{2}))")
 
 
@@ -132,6 +136,15 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
+def value_cost(value: str) -> float:
+    """The guess cost of a value; of one with blanks, the sum over its pieces that are no
+    plain words, so that quoted prose costs nothing."""
+    pieces = value.split()
+    if len(pieces) < 2:
+        return guess_cost(value)
+    return sum(guess_cost(p) for p in pieces if not p.strip(_MARKS).isalpha() and p.strip(_MARKS))
+
+
 def pattern_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns (code points, end exclusive)."""
     out = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
@@ -152,16 +165,16 @@ def all_spans(text: str, least: float = MIN_GUESSES) -> list[tuple[str, int, int
         taken = sorted((a, b) for _, a, b in base)
         k = at = 0
         while m := _CONTEXT.search(text, at):
-            a, at = m.span(1)
+            a, at = m.span(m.lastgroup)
             while k < len(taken) and taken[k][1] <= a:
                 k += 1
             value = text[a:at]
             if k < len(taken) and taken[k][0] < at:
-                # up to a base span that follows "&", and on after the span
+                # up to a base span, and on after the span
                 x, at = taken[k]
-                value = text[a : x - 1] if x > a and text[x - 1] == "&" else ""
-            value = value.rstrip(".:!?)")
-            if (cost := guess_cost(value)) >= least:
+                value = text[a:x].rstrip().rstrip(_BETWEEN) if x > a else ""
+            value = value.rstrip(".:!?)") if m.lastgroup == "plain" else value.rstrip()
+            if (cost := value_cost(value)) >= least:
                 out.append(("guess", a, a + len(value), False, cost))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 

@@ -274,3 +274,35 @@ def test_packing(spark):
         best_fit_pack(spark.createDataFrame([(1, 0, 0)], "doc_id long, piece int, length long"), ["doc_id", "piece"])
 
 
+
+
+def test_secrets_in_quotes_and_before_spans():
+    found = lambda t: [t[a:b] for kind, a, b, _, _ in secrets.all_spans(t) if kind == "guess"]
+    for mark in "&|/;,":
+        assert found(f"pwd=Xk9$mQ2!vL7z{mark}token=ABCDEFGH12") == ["Xk9$mQ2!vL7z"]
+    assert found('password is "Xk9$ mQ2! vL7z pp" and so on') == ["Xk9$ mQ2! vL7z pp"]
+    assert found("pwd: 'a,Kq7;Zp_4%w' x") == ["a,Kq7;Zp_4%w"]
+    assert found('the secret is "see the manual, page three (below)" he said') == []
+    assert found('pwd="unclosed Xk9$mQ2!vL7z') == [] and found('pwd="Xk9$mQ2!vL7zT unclosed') == ["Xk9$mQ2!vL7zT"]
+    assert found("pwd=my_token=ABCDEFGH12") == []
+
+
+def test_guess_cost_against_all_segmentations():
+    """The dynamic program finds the cheapest of all segmentations."""
+    import math
+    import random
+
+    rng = random.Random(8)
+    for _ in range(200):
+        s = "".join(rng.choice(["pass", "qwe", "19", "99", "a", "Z", "!", "x9", "abc", "summer"]) for _ in range(3))[:12]
+        parts = {}
+        for i, j, cost in secrets._parts(s):
+            parts[i, j] = min(cost, parts.get((i, j), math.inf))
+        each = math.log10(secrets._alphabet(s))
+
+        def cheapest(i):
+            if i == len(s):
+                return 0.0
+            return min([each + cheapest(i + 1), *[c + 0.3 + cheapest(j) for (a, j), c in parts.items() if a == i]])
+
+        assert math.isclose(secrets.guess_cost(s), cheapest(0), abs_tol=1e-9)
