@@ -34,7 +34,9 @@ from formwork.llm.tokens import SPLIT, PieceEncoder, Vocabulary, vocabulary_path
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 #: Characters of a block; a longer text is a block of its own.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 3_000_000
+#: Recent pieces of text that the first tokenizer remembers: memory only.
+CACHED_PIECES = 150_000
 #: A text of more documents than HOT_LEAST and one in HOT_PART of all is hot: there are
 #: fewer than HOT_PART such texts, whatever the input.
 HOT_PART = 1000
@@ -59,7 +61,7 @@ class ByteLevel(Tokenizer):
         v = Vocabulary(path)
         super().__init__([v.labels.get(i, b"") for i in range(max(v.labels) + 1)])
         bpe = tiktoken.Encoding("vocabulary", pat_str=SPLIT.pattern, mergeable_ranks=v.ids, special_tokens={})
-        self._piece = PieceEncoder(lambda t: np.array(bpe.encode_ordinary(t), "<u4").tobytes(), {})  # special tokens are plain text
+        self._piece = PieceEncoder(lambda t: np.array(bpe.encode_ordinary(t), "<u4").tobytes(), {}, CACHED_PIECES)  # special tokens are plain text
         self._mark = self._piece.encode("x")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -128,7 +130,7 @@ class Aligner:
         high = np.searchsorted(end_b, end_a, "left")
         count = high - low + 1
         first = np.repeat(np.arange(len(a)), count)
-        second = np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        second = np.arange(len(first)) + np.repeat(low - (np.cumsum(count) - count), count)
         n_links = np.bincount(of_a[first], minlength=len(texts))
         # texts of the groups: the first side of each group, then its second side
         group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
