@@ -9,12 +9,14 @@ counts its hashes and returns the positions of repeated windows, which join the
 documents by row. The number of buckets follows the number of characters, so a bucket
 holds about ``BUCKET_WINDOWS`` hashes at any input size.
 
-Two different windows are taken for equal when their 64-bit hashes agree: about
-n * n / 2**65 false pairs for n windows (1e-3 for a GB of text).
+Words are hashed by BLAKE2, windows by two polynomials of them modulo the prime
+2**61 - 1. Windows are taken for equal when 80 bits of both agree: about n * n / 2**81
+false pairs for n windows (1e-8 for a GB of text, 1e-5 for 30 GB).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,73 +36,88 @@ MIN_BUCKETS = 32
 BLOCK_WINDOWS = 2_000_000
 PIECE_BYTES = 2_000_000
 
-_BYTE_BASE = 0x9E3779B97F4A7C15 | 5
-_WORD_BASE = 0xC2B2AE3D27D4EB4D | 5
-_MASK = (1 << 64) - 1
+#: Distinct short words whose hashes a task keeps at hand.
+HELD_WORDS = 500_000
+
+_PRIME = (1 << 61) - 1
+_BASES = (0x1E3779B97F4A7C15, 0x02B2AE3D27D4EB4F)
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 
 
-class _Powers:
-    """base**i and base**-i modulo 2**64 (an odd base has an inverse)."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
 
-    def __init__(self, base: int) -> None:
-        self.base, self.inverse, self.n = base, pow(base, -1, 1 << 64), 0
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.n:
-            self.n = max(n, 2 * self.n)
-            self.up, self.down = (self._table(x) for x in (self.base, self.inverse))
-        return self.up[:n], self.down[:n]
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit numbers modulo the prime."""
+    x = (x & np.uint64(_PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(_PRIME), x - np.uint64(_PRIME), x)
 
-    def _table(self, base: int) -> np.ndarray:
-        out = np.ones(self.n, np.uint64)
-        done = 1
-        while done < self.n:
-            more = min(done, self.n - done)
-            out[done : done + more] = out[:more] * np.uint64(pow(base, done, 1 << 64))
-            done += more
-        return out
 
+def _times(x: np.ndarray, factor: int) -> np.ndarray:
+    """x * factor modulo the prime, from products of halves that fit 64 bits."""
+    low, high = x & np.uint64(0x7FFFFFFF), x >> np.uint64(31)
+    f_low, f_high = np.uint64(factor & 0x7FFFFFFF), np.uint64(factor >> 31)
+    middle = high * f_low + low * f_high
+    middle = (middle >> np.uint64(30)) + ((middle & np.uint64(0x3FFFFFFF)) << np.uint64(31))
+    return _reduced(low * f_low + middle + ((high * f_high) << np.uint64(1)))
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
 
+class _WordHashes(dict):
+    """64-bit hashes of words; those of short words are kept."""
 
-def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: _Powers) -> np.ndarray:
-    """Rabin-Karp hash of values[start:end] for each span, from one prefix sum."""
-    up, down = powers.upto(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], out=prefix[1:])
-    return (prefix[ends] - prefix[starts]) * down[starts]
+    def __missing__(self, word: bytes) -> int:
+        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 64:
+            if len(self) >= HELD_WORDS:
+                self.clear()
+            self[word] = h
+        return h
 
 
 class WindowHasher:
     """Hashes of words and of word windows, a piece of text at a time."""
 
     def __init__(self, window: int) -> None:
-        self.window, self._bytes, self._words = window, _Powers(_BYTE_BASE), _Powers(_WORD_BASE)
+        self.window, self._hashes = window, _WordHashes()
 
     def words(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Start offset and hash of every word of one piece of UTF-8."""
         raw = np.frombuffer(data, np.uint8)
         sep = np.ones(len(raw) + 2, bool)
         sep[1:-1] = _SEPARATOR[raw]
-        edge = np.flatnonzero(sep[1:] != sep[:-1])
-        starts, ends = edge[::2], edge[1::2]
-        if not len(starts):
-            return starts, np.zeros(0, np.uint64)
-        h = _spans(raw.astype(np.uint64) + np.uint64(1), starts, ends, self._bytes)
-        return starts, _mixed(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-
-    def windows(self, words: np.ndarray) -> np.ndarray:
-        n = len(words) - self.window + 1
-        if n <= 0:
+        starts = np.flatnonzero(sep[:-1] & ~sep[1:])
+        return starts, np.fromiter(map(self._hashes.__getitem__, data.split()), np.uint64, len(starts))
+
+    def windows(self, words: np.ndarray, lane: int = 0) -> np.ndarray:
+        """Mixed Rabin-Karp hash of every window."""
+        return _mixed(self.polynomial(words, lane))
+
+    def polynomial(self, words: np.ndarray, lane: int = 0) -> np.ndarray:
+        """Sum of word * base**i modulo the prime, highest power first, joined from runs
+        of 1, 2, 4, ... words."""
+        if len(words) < self.window:
             return np.zeros(0, np.uint64)
-        at = np.arange(n)
-        return _mixed(_spans(words, at, at + self.window, self._words))
+        run, size, whole, done, left = _reduced(words), 1, None, 0, self.window
+        while True:
+            power = pow(_BASES[lane], size, _PRIME)
+            if left & 1:
+                own = run[done:]
+                whole = own if whole is None else _reduced(_times(whole[: len(own)], power) + own)
+                done += size
+            left >>= 1
+            if not left:
+                return whole
+            run = _reduced(_times(run[:-size], power) + run[size:])
+            size *= 2
+
+    def keys(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """64 bits to sort every window by, and 16 more to compare."""
+        first, second = self.polynomial(words), self.polynomial(words, 1)
+        return _mixed(first | (second << np.uint64(61))), (second >> np.uint64(3)).astype(np.uint16)
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
@@ -165,33 +182,51 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(keys, runs), np.cumsum(step, dtype=np.uint32)
 
 
-def _block_rows(h: np.ndarray, keys: np.ndarray, pos: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """Rows (bucket, hashes, repeated flags, positions) of one block of windows; the
-    positions of windows that repeat inside the block go to buckets from -1 down."""
-    order = np.argsort(h, kind="stable")
-    same = h[order[1:]] == h[order[:-1]]
-    first = np.concatenate(([True], ~same))
-    many = np.zeros(len(h), bool)
-    many[order[np.concatenate((same, [False])) | np.concatenate(([False], same))]] = True
-    sent = np.zeros(len(h), bool)
-    sent[order[first]] = True
+def _repeats(h: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flags of the windows that occur more than once, and of one of each kind."""
+    order = np.lexsort((check, h)) if len(h) else np.zeros(0, int)
+    same = (h[order[1:]] == h[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
+    many, first = np.zeros(len(h), bool), np.ones(len(h), bool)
+    many[order[1:][same]] = True
+    many[order[:-1][same]] = True
+    first[order[1:][same]] = False
+    return many, first
+
+
+def _block_rows(h: np.ndarray, check: np.ndarray, keys: np.ndarray, pos: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes]]:
+    """Rows (bucket, hashes, their check bits, repeated flags, positions) of one block of
+    windows; the positions of windows that repeat inside the block go to buckets from -1
+    down by row key, once for rows that are equal."""
+    many, first = _repeats(h, check)
     known = np.flatnonzero(many)
-    for a in range(0, len(known), BLOCK_WINDOWS // 8):
-        at = known[a : a + BLOCK_WINDOWS // 8]
-        yield -1 - int(keys[at[0]] % buckets), b"", b"", _pack(keys[at], pos[at])
-    entry = np.flatnonzero(sent)
+    part = keys[known] % buckets
+    order = np.lexsort((pos[known], keys[known], part))
+    known, part = known[order], part[order]
+    new = np.ones(len(known), bool)
+    new[1:] = (keys[known[1:]] != keys[known[:-1]]) | (pos[known[1:]] != pos[known[:-1]])
+    known, part = known[new], part[new]
+    for a, b in _runs(part):
+        at = known[a:b]
+        yield -1 - int(part[a]), b"", b"", b"", _pack(keys[at], pos[at])
+    entry = np.flatnonzero(first)
     bucket = (((h[entry] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.uint32)
     by = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
     entry, bucket = entry[by], bucket[by]
-    cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else np.zeros(0, int)
-    for a, b in zip(cut, np.append(cut[1:], len(bucket))):
+    for a, b in _runs(bucket):
         at = entry[a:b]
-        yield int(bucket[a]), h[at].tobytes(), np.packbits(many[at]).tobytes(), _pack(keys[at], pos[at])
+        yield int(bucket[a]), h[at].tobytes(), check[at].tobytes(), np.packbits(many[at]).tobytes(), _pack(keys[at], pos[at])
+
+
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Index ranges of equal neighbours."""
+    cut = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return zip([0, *cut], [*cut, len(values)]) if len(values) else iter(())
 
 
 _BLOCKS = T.StructType([
     T.StructField("bucket", T.LongType()),
     T.StructField("hashes", T.BinaryType()),
+    T.StructField("checks", T.BinaryType()),
     T.StructField("many", T.BinaryType()),
     T.StructField("places", T.BinaryType()),
 ])
@@ -199,21 +234,20 @@ _BLOCKS = T.StructType([
 
 def _send_windows(window: int, buckets: int):
     names = [f.name for f in _BLOCKS.fields]
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int64(), *[pa.binary()] * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WindowHasher(window)
-        block: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        block: list[tuple[np.ndarray, ...]] = []
         held = 0
 
         def flush():
-            h, keys, pos = (np.concatenate(x) for x in zip(*block))
-            for row in _block_rows(h, keys, pos, buckets):
+            for row in _block_rows(*(np.concatenate(x) for x in zip(*block)), buckets):
                 yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
 
         rows = ((k, utf8(t)) for batch in batches for part in _rows_of(batch) for k, t in part)
         for keys, counts, words in _hashed(rows, hasher):
-            h = hasher.windows(words)
+            h, check = hasher.keys(words)
             ends = np.cumsum(counts)
             starts = ends - counts
             doc = np.repeat(np.arange(len(keys)), counts)[: len(h)]
@@ -222,7 +256,7 @@ def _send_windows(window: int, buckets: int):
             at, doc = at[whole], doc[whole]
             if not len(at):
                 continue
-            block.append((h[at], keys[doc], (at - starts[doc]).astype(np.uint32)))
+            block.append((h[at], check[at], keys[doc], (at - starts[doc]).astype(np.uint32)))
             held += len(at)
             if held >= BLOCK_WINDOWS:
                 yield from flush()
@@ -248,21 +282,19 @@ def _count_bucket(group: pd.DataFrame) -> pd.DataFrame:
     keys, pos = (np.concatenate([x[i] for x in places]) for i in (0, 1))
     if group["bucket"].iat[0] >= 0:
         h = np.concatenate([np.frombuffer(x, np.uint64) for x in group["hashes"]])
+        check = np.concatenate([np.frombuffer(x, np.uint16) for x in group["checks"]])
         many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8))[: len(x) // 8] for m, x in zip(group["many"], group["hashes"])]).astype(bool)
-        order = np.argsort(h, kind="stable")
-        same = h[order[1:]] == h[order[:-1]]
-        again = np.zeros(len(h), bool)
-        again[order[1:][same]] = True
-        again[order[:-1][same]] = True
-        again &= ~many  # the positions of the others travel apart
+        again = _repeats(h, check)[0] & ~many  # the positions of the others travel apart
         keys, pos = keys[again], pos[again]
     order = np.lexsort((pos, keys))
     keys, pos = keys[order], pos[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (pos[1:] != pos[:-1])  # equal rows have one list
+    keys, pos = keys[new], pos[new]
     if not len(keys):
         return pd.DataFrame({"row": np.zeros(0, np.int64), "at": []})
-    cut = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    ends = np.append(cut[1:], len(keys))
-    return pd.DataFrame({"row": keys[cut], "at": [pos[a:b].tobytes() for a, b in zip(cut, ends)]})
+    runs = list(_runs(keys))
+    return pd.DataFrame({"row": [keys[a] for a, _ in runs], "at": [pos[a:b].tobytes() for a, b in runs]})
 
 
 def removal_intervals(starts: np.ndarray, window: int) -> list[tuple[int, int]]:

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from tokenizers import Tokenizer
 
@@ -10,7 +12,7 @@ from formwork.llm.bpe_automaton import codec, encode_decode
 from formwork.llm.minhash_dedup import drop_near_duplicates, near_duplicates
 from formwork.llm.packing import best_fit_pack, cut_lengths, plan, sequences, token_pieces
 from formwork.llm.quality import judge_quality
-from formwork.llm.substring_dedup import remove_repeated_passages
+from formwork.llm.substring_dedup import _BASES, _PRIME, WindowHasher, _block_rows, _count_bucket, remove_repeated_passages
 from formwork.llm.tokens import vocabulary_path
 
 from .helpers import EDGE, LONG, classes, edge_frame, personal, quality, removed_words, secret
@@ -51,6 +53,44 @@ def test_substring_dedup_small_buckets_and_blocks(spark, monkeypatch):
     assert key(remove_repeated_passages(docs)) == key(remove_repeated_passages(docs.repartition(7), bucket_windows=500))
 
 
+def test_substring_dedup_of_built_words(spark):
+    """Words and windows on which polynomials modulo a power of two agree."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"r{i}" for i in range(34))
+    signs = ["p" if c == "a" else "q" for c in word[:64]]
+    rows = [(1, f"{word} {rest}"), (2, f"{other} {rest}"), (3, " ".join(signs)), (4, " ".join("q" if c == "p" else "p" for c in signs))]
+    got = {r.doc_id: r.n_removed for r in remove_repeated_passages(edge_frame(spark, rows)).collect()}
+    want = removed_words([t for _, t in rows])
+    assert got == {i: n for (i, _), (_, n) in zip(rows, want)} and got[1] == got[2] == 0
+
+
+def test_window_hashes_are_polynomials_modulo_a_prime():
+    for window in (1, 2, 5, 35):
+        hasher = WindowHasher(window)
+        words = hasher.words(b" ".join(b"w%d" % (i * i % 31) for i in range(80)))[1]
+        for lane, base in enumerate(_BASES):
+            want = [sum(int(w) * pow(base, window - 1 - k, _PRIME) for k, w in enumerate(words[a : a + window])) % _PRIME for a in range(81 - window)]
+            assert hasher.polynomial(words, lane).tolist() == want
+
+
+def test_places_of_equal_rows_do_not_grow_with_their_number():
+    """Rows with one id and text share a list of places, however many there are."""
+
+    def places(copies):
+        hasher = WindowHasher(35)
+        h, check = hasher.keys(hasher.words(b" ".join(b"w%d" % i for i in range(500)))[1])
+        n = len(h)
+        rows = list(_block_rows(np.tile(h, copies), np.tile(check, copies), np.full(n * copies, 7), np.tile(np.arange(n, dtype=np.uint32), copies), 8))
+        frame = pd.DataFrame(rows, columns=["bucket", "hashes", "checks", "many", "places"])
+        return sum(len(x) for _, group in frame.groupby("bucket") for x in _count_bucket(group)["at"])
+
+    assert places(2) == places(50) == 4 * 466
+    assert places(1) == 0
+
+
 def test_quality_against_brute_force(spark):
     lang = lambda n: "en" if n % 2 else None
     rows = [*EDGE, (9, "the the the\nthe the the\n\nof of | # $ and"), (10, ("| tab # le " * 30)), (11, " ".join(f"the w{i} of x{i}" for i in range(90)))]
