@@ -1,11 +1,11 @@
 """License scans by conditional compression.
 
-Every template is aligned word by word with a block of text around a licence word, from
-every word it can begin at. It is confirmed where nearly all of its words stand in order
-and every word that tells licences apart (versions, numbers, ``not``, ``non-commercial``
-and the like) agrees exactly. The block is compressed alone and with each confirmed
-template as a zstandard raw dictionary: of places that overlap, the one whose template
-saves most bytes is taken. The differences are returned.
+A block of text around licence words is compressed alone and with each template as a
+zstandard raw dictionary. The templates are ranked by the bytes they save and confirmed
+in that order, to the end of the ranking: a template is confirmed where nearly all of its
+words stand in order and every word that tells licences apart (versions, numbers, ``not``,
+``non-commercial`` and the like) agrees exactly. A confirmed place takes its words, and
+templates further down find notices only in what is left. The differences are returned.
 """
 
 from __future__ import annotations
@@ -113,11 +113,11 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def savings(block: str, among: list[Template] | None = None) -> list[tuple[int, Template]]:
-    """Bytes saved by each template as a dictionary, most first (ties: longest)."""
+def savings(block: str) -> list[tuple[int, Template]]:
+    """All templates by the bytes each saves as a dictionary, most first (ties: longest)."""
     data = block.encode("utf-8", "surrogatepass")
     alone = len(_alone().compress(data))
-    saved = [(alone - len(t.press.compress(data)), t) for t in (templates() if among is None else among)]
+    saved = [(alone - len(t.press.compress(data)), t) for t in templates()]
     return sorted(saved, key=lambda s: (-s[0], -len(s[1].words)))
 
 
@@ -193,13 +193,15 @@ def find_notices(text: str) -> list[tuple[str, int, int, int, list[str], list[st
     for a, b in blocks(text) if _HINT.search(text) else []:
         block = text[a:b]
         words = words_of(block)
-        while hits := {id(t): h for t in templates() if (h := confirm(t, words))}:
+        while True:
             taken = bytearray(len(words))
-            for saved, t in savings(block, [t for t in templates() if id(t) in hits]):
-                for first, last, missing, added in hits[id(t)]:
+            for saved, t in savings(block):
+                for first, last, missing, added in confirm(t, words):
                     if not any(taken[first:last]):
                         taken[first:last] = b"\1" * (last - first)
                         out.append((t.name, a + words[first][1], a + words[last - 1][2], saved, missing, added))
+            if not any(taken):
+                break
             at, left = 0, []
             for k, (_, start, end) in enumerate(words):
                 if taken[k]:
