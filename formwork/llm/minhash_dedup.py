@@ -11,7 +11,8 @@ Equal texts are taken as one. Of every key's texts each is compared with the one
 shares most keys in all (of a family of copies: the text they come from). After the
 components of these links are known, the texts of a key that spans several components
 are compared across them, inside groups of bounded size: small keys travel together, a
-key with more than ``BLOCK`` texts is cut into blocks and each pair of blocks is a group.
+key with more than ``BLOCK`` texts or ``BLOCK_BYTES`` is cut into blocks and each pair of
+blocks is a group.
 So no pair within a component is enumerated, no pair is written out, and no link between
 different components is left out. Every comparison is exact: the probability Jaccard
 similarity of the two texts must reach ``SIMILARITY``.
@@ -41,9 +42,12 @@ BANDS = 20
 ROWS = 4
 #: A prime of at least BANDS * ROWS: shingles visit the registers in steps modulo it.
 REGISTERS = 83
-#: Texts of a block, and rows that travel together.
-BLOCK = 192
+#: Texts of a block and their bytes, and rows that travel together: memory of a task. A
+#: text of a key with n texts travels to n / BLOCK groups.
+BLOCK = 512
+BLOCK_BYTES = 4_000_000
 GROUP = 4_000
+GROUP_BYTES = 64_000_000
 #: Texts whose shingles a group keeps at hand.
 HELD = 1024
 
@@ -147,7 +151,7 @@ def probability_jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return float((x[order] / np.repeat(total, np.diff(np.append(first, len(order))))).sum())
 
 
-_KEYS = T.StructType([T.StructField("id", T.LongType()), T.StructField("d", T.BinaryType()), T.StructField("keys", T.BinaryType())])
+_KEYS = T.StructType([T.StructField("id", T.LongType()), T.StructField("d", T.BinaryType()), T.StructField("keys", T.BinaryType()), T.StructField("bytes", T.LongType())])
 
 
 def _signed(size: int, bands: int, rows: int):
@@ -171,7 +175,7 @@ def _signed(size: int, bands: int, rows: int):
                 some = np.bincount(doc, minlength=len(data)) > 0
                 packed = pa.array([k.tobytes() if s else None for k, s in zip(keys, some)], pa.binary())
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), packed], names=["id", "d", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), packed, pa.array([len(t) for t in data], pa.int64())], names=_KEYS.names)
 
     return run
 
@@ -231,7 +235,7 @@ def _shared_mass(elements: list[np.ndarray], weights: list[np.ndarray]) -> tuple
     order = np.argsort(column, kind="stable")
     column, doc, weight = column[order], doc[order], weight[order]
     count, mass = np.zeros((n, n), np.float32), np.zeros((n, n))
-    width = 8192
+    width = 4096
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         a, b = np.searchsorted(column, (at, at + width))
         has = np.zeros((n, width), np.float32)
@@ -299,13 +303,13 @@ def _across(size: int, least: float):
     return run
 
 
-def _owned(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def _owned(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
     """Rows (id, digest d, text), and the digest, smallest id and component of every
     distinct text with words."""
     text = F.col(quoted(text_col)).cast("string")
     rows_ = docs.select(F.col(quoted(id_col)).cast("long").alias("id"), F.unhex(F.md5(text)).alias("d"), text.alias("text"))
     signed = rows_.mapInArrow(_signed(size, bands, rows), _KEYS)
-    unique = stored(signed.where("keys is not null").groupBy("d").agg(F.min("id").alias("id"), F.first("keys").alias("keys")), "unique")
+    unique = stored(signed.where("keys is not null").groupBy("d").agg(F.min("id").alias("id"), F.first("keys").alias("keys"), F.first("bytes").alias("bytes")), "unique")
     entries = unique.select("d", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"), "keys").select("d", "band", F.xxhash64("band", F.substring("keys", F.col("band") * 8 + 1, 8)).alias("key"))
     counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(entries.join(counts, "key").select("key", "band", "d", "n"), "shared")
@@ -319,16 +323,17 @@ def _owned(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, lea
     links = stored(_links(pairs, texts, size, least), "links")
     # texts that share a key but no component so far
     label = components(links, "p", "q").withColumnRenamed("vertex", "d")
-    member = stored(shared.join(label, "d", "left").select("key", "band", "d", F.coalesce("component", "d").alias("label")), "member")
-    mixed = member.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n")).where("a != b")
-    mixed = stored(mixed.join(hubs, "key").select("key", "hub", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n"), "mixed")
-    total = mixed.agg(F.sum("n")).first()[0] or 0
-    spread = member.join(mixed.drop("n"), "key").withColumn("blk", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
+    member = stored(shared.join(unique.select("d", "bytes"), "d").join(label, "d", "left").select("key", "band", "d", "bytes", F.coalesce("component", "d").alias("label")), "member")
+    mixed = member.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")).where("a != b")
+    blocks = F.least(F.col("n"), F.ceil(F.greatest(F.col("n") / block, F.col("bytes") / block_bytes))).cast("int")
+    mixed = stored(mixed.join(hubs, "key").select("key", "hub", "n", "bytes", blocks.alias("blocks")), "mixed")
+    n, size_all = (x or 0 for x in mixed.agg(F.sum("n"), F.sum("bytes")).first())
+    spread = member.drop("bytes").join(mixed.drop("n", "bytes"), "key").withColumn("blk", F.pmod(F.xxhash64("d"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = spread.withColumn("x", F.least("blk", "o")).withColumn("y", F.greatest("blk", "o"))
     # small keys of one hub (at most one for each band) travel together: they hold much
     # the same texts, and a text is sent once to a group
-    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("hub"), F.lit(total // GROUP + 1))).otherwise(F.xxhash64("key", "x", "y"))
+    group = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("hub"), F.lit(n // GROUP + size_all // GROUP_BYTES + 1))).otherwise(F.xxhash64("key", "x", "y"))
     spread = stored(spread.withColumn("g", group).select("g", "key", "band", "d", "label", "blk", "x", "y"), "spread")
     sent = spread.select(F.col("g").alias("to"), F.col("d").alias("e")).distinct()
     sent = sent.join(texts.withColumnRenamed("d", "e"), "e")
@@ -339,7 +344,7 @@ def _owned(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, lea
     return rows_, owned
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The class of every document: documents linked by similarity, directly or through
     others.
 
@@ -350,7 +355,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     without an id take part, and are kept only in a class without any id. No rows give
     no rows; other columns are not read.
     """
-    rows_, owned = _owned(docs, id_col, text_col, size, least, bands, rows, block)
+    rows_, owned = _owned(docs, id_col, text_col, size, least, bands, rows, block, block_bytes)
     ids = docs.schema[id_col].dataType
     smallest = owned.groupBy("component").agg(F.min("id").alias("smallest"))
     classes = owned.join(smallest, "component").select(F.col("d").alias("e"), "smallest")

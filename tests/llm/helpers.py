@@ -6,7 +6,6 @@ import collections
 import math
 import re
 
-from formwork.llm.minhash_dedup import Shingler, probability_jaccard
 from formwork.llm.quality import COMMON_WORDS, LIMITS
 
 LONG = " ".join(f"w{i * i % 9973}" for i in range(30_000))
@@ -39,15 +38,29 @@ def removed_words(texts, window=35):
     return out
 
 
+def similarity(a, b):
+    """Probability Jaccard similarity of two counters."""
+    both = a.keys() & b.keys()
+    total = {}
+    for r in {a[x] / b[x] for x in both}:
+        total[r] = sum(max(a[x], r * b[x]) for x in a.keys() | b.keys())
+    return sum(a[x] / total[a[x] / b[x]] for x in both)
+
+
+def shingles(text, size=5):
+    """Runs of ``size`` words and their counts; fewer words are one run."""
+    w = text.encode().split()
+    return collections.Counter(tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1)))
+
+
 def classes(rows, least=0.8):
     """Smallest id of the class of every (id, text), by comparing all texts."""
-    shingler = Shingler()
     texts = {}
     for i, t in rows:
         if (t or "").encode().split():
             texts.setdefault(t, []).append(i)
     keys = list(texts)
-    sets = [shingler.of(t.encode()) for t in keys]
+    sets = [shingles(t) for t in keys]
     root = list(range(len(keys)))
 
     def find(a):
@@ -57,7 +70,7 @@ def classes(rows, least=0.8):
 
     for a in range(len(keys)):
         for b in range(a):
-            if probability_jaccard(sets[a], sets[b]) >= least:
+            if similarity(sets[a], sets[b]) >= least:
                 root[find(a)] = find(b)
     low = {}
     for a, t in enumerate(keys):

@@ -105,7 +105,8 @@ def test_quality_filter_keeps_the_plan_small(spark):
     assert len(plan_text) < 200_000 and "Python" not in plan_text
 
 
-def test_minhash_against_all_pairs(spark):
+@pytest.mark.parametrize("size", [{"block": 8}, {"block_bytes": 12_000}])
+def test_minhash_against_all_pairs(spark, size):
     rng = random.Random(4)
     base = [f"b{i}" for i in range(300)]
     family = []
@@ -115,7 +116,7 @@ def test_minhash_against_all_pairs(spark):
             words[rng.randrange(300)] = f"n{rng.random()}"
         family.append((100 + k, " ".join(words)))
     rows = [*EDGE, *family, (200, "one two three"), (201, "one  two\nthree"), (202, "one two four"), (203, family[0][1])]
-    got = near_duplicates(edge_frame(spark, rows), block=8).collect()
+    got = near_duplicates(edge_frame(spark, rows), **size).collect()
     want = classes(rows)
     assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got) == sorted((str(i), str(c), i == c) for (i, _), c in zip(rows, want))
 
@@ -258,6 +259,26 @@ def test_licenses_behind_near_misses():
     assert [n[0] for n in licenses.find_notices(f"{gpl.replace('3', '4')} {gpl} {gpl.replace('3', '5')}")] == ["GPL-3.0"]
 
 
+def test_licenses_are_confirmed_in_the_order_of_savings():
+    """Of wordings that share their place, the one that saves most bytes is reported, and
+    all differences from it are the exact ones."""
+    rng = random.Random(8)
+    every = licenses.templates()
+    for name, wordings in licenses.TEMPLATES.items():
+        for text in wordings:
+            words = text.split()
+            plain = [k for k, w in enumerate(words) if k and not any(licenses._telling(x) for x, _, _ in licenses.words_of(w))]
+            for extra in (None, rng.choice(plain)):
+                changed = words if extra is None else [*words[:extra], "verily", *words[extra:]]
+                block = " ".join(changed)
+                found = licenses.find_notices(block)
+                ranked = licenses.savings(block)
+                assert len(ranked) == len(every) and [x for x, _ in ranked] == sorted((x for x, _ in ranked), reverse=True)
+                first = next(t for _, t in ranked if licenses.confirm(t, licenses.words_of(block)))
+                assert found[0][0] == first.name == name and found[0][3] == dict((id(t), x) for x, t in ranked)[id(first)]
+                assert found[0][4:] == ([], [] if extra is None else ["verily"])
+
+
 def test_bpe_against_the_library(spark):
     own, other = codec(vocabulary_path()), Tokenizer.from_file(vocabulary_path())
     rng = random.Random(7)
