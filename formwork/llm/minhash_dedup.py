@@ -51,6 +51,10 @@ GROUP_BYTES = 64_000_000
 #: Texts whose shingles a group keeps at hand.
 HELD = 1024
 
+#: Bits (a power of two) of the bitmap that sorts out texts before they are shuffled: 8 MB
+#: at any input size. More texts than bits let more through, never less.
+NEEDED_BITS = 1 << 26
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -303,6 +307,15 @@ def _across(size: int, least: float):
     return run
 
 
+def _only_near(rows: DataFrame, needed: DataFrame) -> DataFrame:
+    """The rows whose digest d may be among the needed ones: their bit is set."""
+    bit = F.pmod(F.xxhash64("d"), F.lit(NEEDED_BITS)) + 1
+    maps = needed.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, 1)), 16, 10).cast("int")
+    return rows.join(F.broadcast(maps), (F.bitmap_bucket_number(bit) == F.col("part")) & (F.pmod((byte / F.pow(F.lit(2), at % 8)).cast("int"), F.lit(2)) == 1), "left_semi")
+
+
 def _owned(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, least: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
     """Rows (id, digest d, text), and the digest, smallest id and component of every
     distinct text with words."""
@@ -317,8 +330,8 @@ def _owned(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE, lea
     best = shared.join(degree, "d").groupBy("key").agg(F.max(F.struct("degree", "d")).alias("hub")).select("key", F.col("hub.d").alias("hub"))
     hubs = stored(best, "hubs")
     pairs = stored(shared.join(hubs, "key").where("d != hub").select(F.col("hub").alias("p"), F.col("d").alias("q")).distinct(), "pairs")
-    needed = pairs.select(F.col("p").alias("d")).union(pairs.select(F.col("q").alias("d"))).distinct()
-    pressed = rows_.select("d", "text").where("d is not null").mapInArrow(_pressed, T.StructType([T.StructField("d", T.BinaryType()), T.StructField("z", T.BinaryType())]))
+    needed = stored(pairs.select(F.col("p").alias("d")).union(pairs.select(F.col("q").alias("d"))).distinct(), "needed")
+    pressed = _only_near(rows_.select("d", "text").where("d is not null"), needed).mapInArrow(_pressed, T.StructType([T.StructField("d", T.BinaryType()), T.StructField("z", T.BinaryType())]))
     texts = stored(pressed.groupBy("d").agg(F.first("z").alias("z")).join(needed, "d", "left_semi").join(unique.select("d", "keys"), "d"), "texts")
     links = stored(_links(pairs, texts, size, least), "links")
     # texts that share a key but no component so far

@@ -5,11 +5,12 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from formwork.llm import licenses, personal_data, secrets
 from formwork.llm.bpe_automaton import codec, encode_decode
-from formwork.llm.minhash_dedup import drop_near_duplicates, near_duplicates
+from formwork.llm.minhash_dedup import _only_near, drop_near_duplicates, near_duplicates
 from formwork.llm.packing import best_fit_pack, cut_lengths, plan, sequences, token_pieces
 from formwork.llm.quality import judge_quality
 from formwork.llm.substring_dedup import _BASES, _PRIME, WindowHasher, _block_rows, _count_bucket, remove_repeated_passages
@@ -121,6 +122,14 @@ def test_minhash_against_all_pairs(spark, size):
     assert sorted((str(r.doc_id), str(r.component_id), r.kept) for r in got) == sorted((str(i), str(c), i == c) for (i, _), c in zip(rows, want))
 
 
+def test_bitmap_lets_every_needed_text_through(spark):
+    rows = spark.range(5000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("d"), "id")
+    needed = rows.where("id % 7 = 0").select("d")
+    got = {r.id for r in _only_near(rows, needed).collect()}
+    assert got >= set(range(0, 5000, 7)) and len(got) < 730
+    assert _only_near(rows, needed.limit(0)).count() == 0
+
+
 def test_minhash_on_documents(spark):
     docs = documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
