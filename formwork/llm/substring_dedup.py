@@ -170,6 +170,8 @@ def _hashed(rows: Iterator[tuple[int, bytes]], hasher: WindowHasher) -> Iterator
 
 def _pack(keys: np.ndarray, pos: np.ndarray) -> bytes:
     """Row keys as runs and positions as differences, compressed."""
+    if not len(keys):
+        return b""
     new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     runs = np.diff(np.append(new, len(keys))).astype(np.uint32)
     step = np.diff(pos.astype(np.uint32), prepend=np.uint32(0))
@@ -179,6 +181,8 @@ def _pack(keys: np.ndarray, pos: np.ndarray) -> bytes:
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    if not blob:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n_runs, n = (int(x) for x in np.frombuffer(raw, np.uint32, 2))
     at = 8
@@ -222,7 +226,7 @@ def _block_rows(h: np.ndarray, check: np.ndarray, keys: np.ndarray, pos: np.ndar
     entry, bucket = entry[by], bucket[by]
     for a, b in _runs(bucket):
         at = entry[a:b]
-        yield int(bucket[a]), h[at].tobytes(), check[at].tobytes(), np.packbits(many[at]).tobytes(), _pack(keys[at], pos[at])
+        yield int(bucket[a]), h[at].tobytes(), check[at].tobytes(), np.packbits(many[at]).tobytes(), _pack(keys[at[~many[at]]], pos[at[~many[at]]])
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -292,7 +296,7 @@ def _count_bucket(group: pd.DataFrame) -> pd.DataFrame:
         h = np.concatenate([np.frombuffer(x, np.uint64) for x in group["hashes"]])
         check = np.concatenate([np.frombuffer(x, np.uint16) for x in group["checks"]])
         many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8))[: len(x) // 8] for m, x in zip(group["many"], group["hashes"])]).astype(bool)
-        again = _repeats(h, check)[0] & ~many  # the positions of the others travel apart
+        again = _repeats(h, check)[0][~many]  # the positions of the others travel apart
         keys, pos = keys[again], pos[again]
     order = np.lexsort((pos, keys))
     keys, pos = keys[order], pos[order]
