@@ -13,8 +13,9 @@ when no gap does.
 
 from __future__ import annotations
 
+import struct
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from formwork.llm.frames import quoted, slices, without
-from formwork.llm.tokens import PieceEncoder, Vocabulary, vocabulary_path
+from formwork.llm.frames import SLICE_ROWS, quoted, slices, without
+from formwork.llm.tokens import SPLIT, Vocabulary, vocabulary_path
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
@@ -35,13 +36,23 @@ PARTS = 256
 
 
 @lru_cache(maxsize=2)
-def token_encoder(path: str) -> PieceEncoder:
-    """Encoder of one vocabulary file, made once per Python worker."""
+def token_encoder(path: str) -> Callable[[str], bytes]:
+    """Encoder of one vocabulary file, made once per Python worker: a text to its ids as
+    little-endian 32-bit integers. It remembers no texts, so a worker that goes on to
+    other tasks holds no more than the vocabulary."""
     import tiktoken
 
     v = Vocabulary(path)
-    bpe = tiktoken.Encoding("vocabulary", pat_str=r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+", mergeable_ranks=v.ids, special_tokens={})
-    return PieceEncoder(lambda t: np.array(bpe.encode_ordinary(t), "<u4").tobytes(), v.special)
+    bpe = tiktoken.Encoding("vocabulary", pat_str=SPLIT.pattern, mergeable_ranks=v.ids, special_tokens={})
+
+    def encode(text: str) -> bytes:
+        for token, i in v.special.items():
+            if token in text:
+                return i.to_bytes(4, "little").join([encode(part) for part in text.split(token)])
+        ids = bpe.encode_ordinary(text)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    return encode
 
 
 def cut_lengths(n: int, capacity: int) -> list[int]:
@@ -76,7 +87,7 @@ def token_pieces(docs: DataFrame, text_col: str = "text", capacity: int = CAPACI
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = token_encoder(vocabulary or vocabulary_path())
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             for a, b in slices(texts := batch.column(batch.num_columns - 1).to_pylist()):
                 rows, of = [], []
                 for i in range(a, b):

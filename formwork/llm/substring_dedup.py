@@ -194,10 +194,14 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(keys, runs), np.cumsum(step, dtype=np.uint32)
 
 
+def _next_equal(values: np.ndarray) -> np.ndarray:
+    return values[1:] == values[:-1]
+
+
 def _repeats(h: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Flags of the windows that occur more than once, and of one of each kind."""
     order = np.lexsort((check, h)) if len(h) else np.zeros(0, int)
-    same = (h[order[1:]] == h[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
+    same = _next_equal(h[order]) & _next_equal(check[order])
     many, first = np.zeros(len(h), bool), np.ones(len(h), bool)
     many[order[1:][same]] = True
     many[order[:-1][same]] = True
@@ -221,7 +225,10 @@ def _block_rows(h: np.ndarray, check: np.ndarray, keys: np.ndarray, pos: np.ndar
         at = known[a:b]
         yield -1 - int(part[a]), b"", b"", b"", _pack(keys[at], pos[at])
     entry = np.flatnonzero(first)
-    bucket = (((h[entry] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.uint32)
+    bucket = h[entry] >> np.uint64(32)
+    bucket *= np.uint64(buckets)
+    bucket >>= np.uint64(32)
+    bucket = bucket.astype(np.uint32)
     by = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
     entry, bucket = entry[by], bucket[by]
     for a, b in _runs(bucket):
@@ -254,7 +261,9 @@ def _send_windows(window: int, buckets: int):
         held = 0
 
         def flush():
-            for row in _block_rows(*(np.concatenate(x) for x in zip(*block)), buckets):
+            whole = [np.concatenate(x) for x in zip(*block)]
+            block.clear()  # not held beside its copy
+            for row in _block_rows(*whole, buckets):
                 yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
 
         rows = ((k, utf8(t)) for batch in batches for part in _rows_of(batch) for k, t in part)
@@ -272,7 +281,7 @@ def _send_windows(window: int, buckets: int):
             held += len(at)
             if held >= BLOCK_WINDOWS:
                 yield from flush()
-                block, held = [], 0
+                held = 0
         if block:
             yield from flush()
 

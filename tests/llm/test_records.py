@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 
 import duckdb
@@ -151,6 +152,17 @@ def test_pipeline_against_brute_force(spark):
     assert all(sum(n for _, n in places) <= 2048 for places in used.values())
 
 
+def test_packing_workers_hold_no_texts():
+    encode = token_encoder(vocabulary_path())
+    encode("the first text")
+    tracemalloc.start()
+    for i in range(20):
+        encode(" ".join(f"own{i}word{k}" for k in range(1000)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 200_000
+
+
 def test_pipeline_takes_clashing_columns(spark):
     docs = spark.createDataFrame([(1, " ".join(f"the w{i} of x{i}" for i in range(30)), "en", "s", 9, "own", "own"), (2, None, "en", "s", 0, "own", "own")], "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words string")
     for _, stage in corpus_pipeline.STAGES[:4]:
