@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -20,6 +21,11 @@ from formwork.session import scratch_path
 SLICE_ROWS = 512
 SLICE_CHARS = 4_000_000
 
+#: Bytes of rows after which ``small_batches`` sends a batch to a Python worker. Spark's
+#: own limits (10,000 rows, 64 MB) send all texts of a task at once.
+BATCH_BYTES = 4_000_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
     """Send the package to the Python workers, once per application: they need not find
@@ -63,6 +69,26 @@ def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python workers in batches of about ``BATCH_BYTES``, for the rest of
+    the session; a limit that the session has set itself stays. A batch is held by the
+    executor and by its worker, for every task at once; results do not depend on it."""
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
+def released(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """``run``, after which the worker gives back the memory of its batches: it waits
+    for further tasks beside an executor that may need it."""
+
+    @wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def map_text(
     docs: DataFrame,
     text_col: str,
@@ -82,6 +108,7 @@ def map_text(
     schema = T.StructType([f for f in inner.schema.fields[:-1]] + list(new.fields))
     arrow_new = to_arrow_schema(new)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formwork.llm.frames import quoted, slices, stored, utf8
+from formwork.llm.frames import quoted, released, slices, stored, utf8
 from formwork.llm.graph import components, roots
 from formwork.llm.substring_dedup import PIECE_BYTES, WindowHasher
 
@@ -159,6 +159,7 @@ _KEYS = T.StructType([T.StructField("id", T.LongType()), T.StructField("d", T.Bi
 
 
 def _signed(size: int, bands: int, rows: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
         for batch in batches:
@@ -184,6 +185,7 @@ def _signed(size: int, bands: int, rows: int):
     return run
 
 
+@released
 def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=1)
     for batch in batches:
@@ -192,6 +194,7 @@ def _pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(size: int, least: float):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, press = Shingler(size), zstandard.ZstdDecompressor()
         held: dict[bytes, np.ndarray] = {}

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from formwork.llm.frames import SLICE_ROWS, quoted, slices, without
+from formwork.llm.frames import SLICE_ROWS, quoted, released, slices, without
 from formwork.llm.tokens import SPLIT, Vocabulary, vocabulary_path
 
 CAPACITY = 2048
@@ -85,6 +85,7 @@ def token_pieces(docs: DataFrame, text_col: str = "text", capacity: int = CAPACI
     kinds = [f.type for f in to_arrow_schema(PIECES)]
     end = int(END_OF_DOCUMENT).to_bytes(4, "little")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = token_encoder(vocabulary or vocabulary_path())
         for batch in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
@@ -254,6 +255,7 @@ def best_fit_pack(pieces: DataFrame, key: list[str], length_col: str = "length",
     numbered = numbered.select(*[F.col(quoted(c)) for c in kept], "__llm_size", (F.col("__llm_before") + F.col("__llm_k") - 1).alias("__llm_number"))
     schema = T.StructType([*[pieces.schema[c] for c in kept], *NEW.fields])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s, k = (batch.column(batch.num_columns - i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 1))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from formwork.llm.frames import quoted, utf8, without
+from formwork.llm.frames import quoted, released, utf8, without
 
 WINDOW = 35
 BUCKET_WINDOWS = 2_000_000
@@ -255,6 +255,7 @@ def _send_windows(window: int, buckets: int):
     names = [f.name for f in _BLOCKS.fields]
     kinds = [pa.int64(), *[pa.binary()] * 4]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WindowHasher(window)
         block: list[tuple[np.ndarray, ...]] = []
@@ -356,6 +357,7 @@ def _cut(window: int, layout: str, schema: T.StructType, n_kept: int):
 
     fields = list(to_arrow_schema(schema))[n_kept:]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
@@ -372,6 +374,7 @@ def _cut(window: int, layout: str, schema: T.StructType, n_kept: int):
     return run
 
 
+@released
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The last column (text) as compressed bytes: less to shuffle."""
     press = zstandard.ZstdCompressor(level=1)

@@ -7,16 +7,20 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from formwork.llm import personal_data
 from formwork.llm.embedding_dedup import link_vectors
+from formwork.llm.frames import BATCH_BYTES, small_batches
 from formwork.llm.graph import components, roots
+from formwork.llm.minhash_dedup import _KEYS, _pressed, _signed
 from formwork.llm.packing import token_encoder
 from formwork.llm.queries import ORACLE, QUERIES
 from formwork.llm.revisits import resolve_revisits
+from formwork.llm.substring_dedup import _packed, _send_windows
 from formwork.llm.tokens import vocabulary_path
 
 from .helpers import classes, quality, removed_words
@@ -163,6 +167,45 @@ def test_packing_workers_hold_no_texts():
     assert held < 200_000
 
 
+def test_pipeline_stages_send_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(1, "a few words only", "en", "s", 16)], "doc_id long, text string, lang string, source string, n_chars long")
+    large = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('word ', 1000) text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(key)
+            stage(spark, docs, SF)
+            sent = [r.n for r in large.mapInArrow(sizes, "n long").collect()]
+            assert sum(sent) > 3 * BATCH_BYTES and max(sent) < 1.5 * BATCH_BYTES, name
+        spark.conf.set(key, "1m")
+        small_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_workers_give_back_memory_of_batches(monkeypatch):
+    given = []
+
+    class Pool:
+        def release_unused(self):
+            given.append(True)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    text = " ".join(f"w{i}" for i in range(100))
+    ids, digests, texts = pa.array([1]), pa.array([b"d"]), pa.array([text])
+    for run, columns in ((_signed(5, 20, 4), [ids, digests, texts]), (_pressed, [digests, texts]), (_send_windows(35, 32), [ids, texts]), (_packed, [ids, texts])):
+        out = run(iter([pa.RecordBatch.from_arrays(columns, names=_KEYS.names[: len(columns)])]))
+        assert next(out).num_rows and not given
+        list(out)
+        assert given.pop() and not given
+
+
 def test_pipeline_takes_clashing_columns(spark):
     docs = spark.createDataFrame([(1, " ".join(f"the w{i} of x{i}" for i in range(30)), "en", "s", 9, "own", "own"), (2, None, "en", "s", 0, "own", "own")], "doc_id long, text string, lang string, source string, n_chars long, kept string, n_words string")
     for _, stage in corpus_pipeline.STAGES[:4]:
